@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import ADOPTION_LEVELS, AT_RISK_LEVELS, OPEN_STATUSES, URGENT_PRIORITIES
 
@@ -45,13 +45,12 @@ def not_empty(value: Column) -> Column:
     return value.isNotNull() & (value != "")
 
 
-def blank_to_null(value: Column) -> Column:
-    return F.nullif(trim_all(value), F.lit(""))
+BLANKS = " \t\n\r\x0b\x0c\u00a0\ufeff"
 
 
 def trim_all(value: Column) -> Column:
-    """Trim every kind of white space (``trim`` removes plain blanks only)."""
-    return F.regexp_replace(value, r"^[\s\x{A0}\x{FEFF}]+|[\s\x{A0}\x{FEFF}]+$", "")
+    """Trim every kind of white space (plain ``trim`` removes spaces only)."""
+    return F.trim(value, F.lit(BLANKS))
 
 
 def strip_fences(value: Column) -> Column:
@@ -100,6 +99,18 @@ def null_if_empty(collection: Column) -> Column:
     return F.when(F.size(collection) > 0, collection)
 
 
+def with_computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that later filters and projections reuse as they are.
+
+    The optimizer copies plain projected expressions into every filter and
+    expression above them; for long ones that repeats the work per row and
+    grows generated methods past what the JVM compiles. Generated columns are
+    never copied.
+    """
+    fields = [value.alias(name) for name, value in columns.items()]
+    return df.select("*", F.inline(F.array(F.struct(*fields))))
+
+
 def stable_bucket(key: Column, buckets: int | Column) -> Column:
     """Bucket of a text key, the same in every engine and every run."""
     head = F.conv(F.substring(F.md5(key), 1, 7), 16, 10).cast("bigint")

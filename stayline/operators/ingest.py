@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.columns import blank_to_null
+from ..functions.columns import trim_all, with_computed
 from ..schemas import TABLE_RULES
 
 MALFORMED = "_malformed"
@@ -23,20 +23,23 @@ def usage_key() -> Column:
     return F.xxhash64("user_id", "feature")
 
 
-def _typed(field: T.StructField) -> Column:
-    return blank_to_null(F.col(field.name)).try_cast(field.dataType)
+def _staged(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Adds ``text_<c>`` (trimmed) and ``value_<c>`` (typed) for every column."""
+    trimmed = with_computed(raw, {f"text_{c}": trim_all(F.col(c)) for c in schema.names})
+    return with_computed(trimmed, {
+        f"value_{f.name}": F.when(F.col(f"text_{f.name}") != "", F.col(f"text_{f.name}"))
+        .try_cast(f.dataType)
+        for f in schema.fields
+    })
 
 
-def clean_blanks(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Blank text to NULL, then the declared type; bad values become NULL too."""
-    return raw.select(*[_typed(f).alias(f.name) for f in schema.fields])
+def _values(staged: DataFrame, schema: T.StructType) -> DataFrame:
+    return staged.select(*[F.col(f"value_{c}").alias(c) for c in schema.names])
 
 
-def _problem(field: T.StructField, required: bool) -> Column:
-    text = blank_to_null(F.col(field.name))
-    bad = text.isNotNull() & _typed(field).isNull()
-    reason = F.when(bad, "bad_value")
-    return reason.when(text.isNull(), "missing") if required else reason
+def clean_blanks(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Blank text to NULL, then the declared type; bad values become NULL too."""
+    return _values(_staged(raw, schema), schema)
 
 
 def split_rejects(raw: DataFrame, table: str) -> Split:
@@ -46,29 +49,36 @@ def split_rejects(raw: DataFrame, table: str) -> Split:
     rejected as a whole.
     """
     spec = TABLE_RULES[table]
-    malformed = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(None).cast("string")
-    fields = [
+    if MALFORMED not in raw.columns:
+        raw = raw.withColumn(MALFORMED, F.lit(None).cast("string"))
+
+    def problem(name: str) -> Column:
+        text = F.col(f"text_{name}")
+        blank = text.isNull() | (text == "")
+        bad = ~blank & F.col(f"value_{name}").isNull()
+        reason = F.when(bad, "bad_value")
+        reason = reason.when(blank, "missing") if name in spec.required else reason
+        return F.when(F.col(MALFORMED).isNull(), reason)
+
+    names = spec.schema.names
+    staged = _staged(raw, spec.schema)
+    checked = with_computed(staged, {
+        "reason_*": F.when(F.col(MALFORMED).isNotNull(), "malformed_line"),
+        **{f"reason_{c}": problem(c) for c in names},
+    })
+    reasons = {"*": MALFORMED, **{c: c for c in names}}
+    faults = F.array(*[
         F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.col(f.name).alias("raw_value"),
-            F.when(malformed.isNull(), _problem(f, f.name in spec.required)).alias("reason"),
+            F.lit(name).alias("column_name"), F.col(source).alias("raw_value"),
+            F.col(f"`reason_{name}`").alias("reason"),
         )
-        for f in spec.schema.fields
-    ]
-    line = F.struct(
-        F.lit("*").alias("column_name"),
-        malformed.alias("raw_value"),
-        F.when(malformed.isNotNull(), "malformed_line").alias("reason"),
-    )
-    key = F.col(spec.schema.names[0]).alias("row_key")
-    rejects = (
-        raw.select(F.lit(table).alias("table_name"), key, F.inline(F.array(line, *fields)))
-        .where("reason IS NOT NULL")
-    )
-    clean = malformed.isNull()
-    for f in spec.schema.fields:
-        clean = clean & _problem(f, f.name in spec.required).isNull()
-    return Split(clean_blanks(raw.where(clean), spec.schema), rejects)
+        for name, source in reasons.items()
+    ])
+    rejects = checked.select(
+        F.lit(table).alias("table_name"), F.col(names[0]).alias("row_key"), F.inline(faults)
+    ).where("reason IS NOT NULL")
+    clean = F.coalesce(*[F.col(f"`reason_{name}`") for name in reasons]).isNull()
+    return Split(_values(checked.where(clean), spec.schema), rejects)
 
 
 def split_orphans(children: DataFrame, users: DataFrame, table: str) -> Split:

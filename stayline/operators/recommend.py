@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import is_at_risk
+from ..functions.columns import is_at_risk, with_computed
 from ..rules import AdviceRules
 from ..schemas import PLANS
 
@@ -44,6 +44,12 @@ def urgency(rules: AdviceRules = AdviceRules()) -> Column:
     )
 
 
+def with_urgency(scored: DataFrame, rules: AdviceRules = AdviceRules()) -> DataFrame:
+    """Adds ``urgency``; NULL for low-risk users."""
+    risky = is_at_risk(F.col("risk_level"))
+    return with_computed(scored, {"urgency": F.when(risky, urgency(rules))})
+
+
 def action_conditions(rules: AdviceRules = AdviceRules()) -> dict[str, Column]:
     level, plan = F.col("risk_level"), F.col("plan")
     high, medium = level == "alto", level == "medio"
@@ -133,29 +139,32 @@ def _fill(text: str, values: dict[str, Column]) -> Column:
     return F.lit(text)
 
 
-def _named(names: Column, fallback: str) -> Column:
-    return F.coalesce(F.nullif(F.array_join(names, ", "), F.lit("")), F.lit(fallback))
+def _opening() -> Column:
+    opening = F
+    for name, text in OPENINGS.items():
+        opening = opening.when(F.col("urgency") == name, text)
+    return opening.otherwise(F.lit(None).cast("string"))
+
 
+def _or_default(column: str, default: str) -> Column:
+    return F.when(F.col(column) == "", default).otherwise(F.col(column))
 
-def _advice_text(rules: AdviceRules) -> Column:
+
+def _steps_text(rules: AdviceRules) -> Column:
+    """All fitting actions as one text; reads ``learn_text`` and ``offer_text``."""
     values = {
         "critical": F.col("open_critical").cast("string"),
-        "learn": _named(
-            F.sort_array(F.array_except("features", "adopted")), "las features sin adoptar"
-        ),
-        "offer": _named(F.col("offers"), "un plan superior"),
+        "learn": _or_default("learn_text", "las features sin adoptar"),
+        "offer": _or_default("offer_text", "un plan superior"),
         "open": F.col("open_tickets").cast("string"),
     }
-    opening = F
-    for name, text in OPENINGS.items():
-        opening = opening.when(F.col("urgency") == name, text)
     parts = [
         F.when(condition, _fill(ACTION_TEXTS[kind], values))
         for kind, condition in action_conditions(rules).items()
     ]
     parts.append(F.when(F.col("open_tickets") > 0, _fill(FOLLOW_UP, values)))
     parts.append(F.when(F.size("offers") > 0, _fill(SHOW_OFFER, values)))
-    return F.concat_ws(": ", opening, F.nullif(F.concat_ws("; ", *parts), F.lit("")))
+    return F.concat_ws("; ", *parts)
 
 
 def _reasoning_text() -> Column:
@@ -175,14 +184,26 @@ def advise(
     Low-risk users keep their row, with NULL advice: the report needs them.
     """
     risky = is_at_risk(F.col("risk_level"))
+    not_adopted = F.sort_array(F.array_except("features", "adopted"))
+    # Text is built in steps, each a column: nested once more per use, it would
+    # grow into generated methods too large for the JVM to compile.
     return (
-        with_offers(scored, rules, fit)
-        .withColumn("urgency", F.when(risky, urgency(rules)))
+        with_offers(with_urgency(scored, rules), rules, fit)
+        .withColumns({
+            "offer_text": F.array_join("offers", ", "),
+            "learn_text": F.array_join(not_adopted, ", "),
+        })
+        .withColumn("steps_text", _steps_text(rules))
         .withColumns({
-            "recommendation": F.when(risky, _advice_text(rules)),
+            "recommendation": F.when(risky, F.concat(
+                _opening(),
+                F.when(F.col("steps_text") == "", "")
+                .otherwise(F.concat(F.lit(": "), F.col("steps_text"))),
+            )),
             "reasoning": F.when(risky, _reasoning_text()),
             "created_at": F.lit(run_ts).cast("timestamp_ntz"),
         })
+        .drop("offer_text", "learn_text", "steps_text")
     )
 
 

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.columns import first_non_empty, not_empty, strip_fences, trim_all
+from ..functions.columns import (
+    first_non_empty, not_empty, strip_fences, trim_all, with_computed,
+)
 from ..rules import ScoringRules
 from ..schemas import AT_RISK_LEVELS, URGENCIES
 from .ingest import Split
@@ -50,19 +52,9 @@ def _fields(value: Column, names: tuple[str, ...]) -> Column:
     return F.from_json(value, ", ".join(f"{n} string" for n in names), STRICT)
 
 
-def _once(value: Column) -> Column:
-    """Generates the value, so that filters above reuse it.
-
-    A filter pushed through a plain projection would repeat the JSON parsing in
-    each of its terms.
-    """
-    return F.explode(F.array(value))
-
-
 def _with_value(replies: DataFrame) -> DataFrame:
-    return replies.select(
-        "reply_id", _once(_json_value(reply_text(F.col("raw")))).alias("value")
-    )
+    value = _json_value(reply_text(F.col("raw")))
+    return with_computed(replies, {"value": value}).select("reply_id", "value")
 
 
 def read_scoring_replies(replies: DataFrame) -> DataFrame:
@@ -79,9 +71,8 @@ def read_scoring_replies(replies: DataFrame) -> DataFrame:
     # An empty array holds no rows and is no fault.
     rows = rows.where(F.col("failure").isNotNull() | F.col("position").isNotNull())
     element = F.col("element")
-    parsed = rows.select(
-        "reply_id", "position", "failure",
-        _once(F.when(element.startswith("{"), _fields(element, SCORING_FIELDS))).alias("f"),
+    parsed = with_computed(
+        rows, {"f": F.when(element.startswith("{"), _fields(element, SCORING_FIELDS))}
     )
     score = F.col("f.score").try_cast("bigint")
     reason = (
@@ -146,9 +137,9 @@ def parse_scoring_replies(
 
 def read_recommendation_replies(replies: DataFrame) -> DataFrame:
     value = F.col("value")
-    parsed = _with_value(replies).select(
-        "reply_id", "value",
-        _once(F.when(value.startswith("{"), _fields(value, RECOMMENDATION_FIELDS))).alias("f"),
+    parsed = with_computed(
+        _with_value(replies),
+        {"f": F.when(value.startswith("{"), _fields(value, RECOMMENDATION_FIELDS))},
     )
     reason = (
         F.when(value.isNull(), "bad_json")
@@ -168,9 +159,7 @@ def parse_recommendation_replies(replies: DataFrame, users: DataFrame) -> Split:
 def parse_report_reply(replies: DataFrame) -> DataFrame:
     """First reply by id; the two structured fields stay JSON text."""
     first = replies.orderBy("reply_id").limit(1)
-    return (
-        _with_value(first)
-        .where(F.col("value").startswith("{"))
-        .select(_once(_fields(F.col("value"), REPORT_FIELDS)).alias("f"))
-        .select("f.*", F.lit("ai_agent").alias("generated_by"))
+    rows = _with_value(first).where(F.col("value").startswith("{"))
+    return with_computed(rows, {"f": _fields(F.col("value"), REPORT_FIELDS)}).select(
+        "f.*", F.lit("ai_agent").alias("generated_by")
     )

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.columns import with_computed
 from ..rules import PointRule, ScoringRules
 
 SCORE_COLUMNS = ("user_id", "score", "risk_level", "reasons", "analyzed_at")
@@ -64,8 +65,8 @@ def score_users(
 ) -> DataFrame:
     """Adds ``points_<signal>``, ``score``, ``risk_level``, ``reasons`` and ``analyzed_at``."""
     signals = rules.signals()
-    scored = facts.withColumns(
-        {f"points_{signal}": signal_points(rules, signal) for signal in signals}
+    scored = with_computed(
+        facts, {f"points_{signal}": signal_points(rules, signal) for signal in signals}
     )
     total = F.lit(0).cast("bigint")
     for signal in signals:

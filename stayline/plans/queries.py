@@ -53,15 +53,21 @@ def _scored(inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
     return scoring.score_users(_facts(inputs, as_of), run_ts=RUN_TS)
 
 
-def _advised(inputs: Inputs) -> DataFrame:
-    return recommend.advise(_scored(inputs), run_ts=RUN_TS)
+def _stored_profiles(spark: SparkSession, inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
+    """Scored users, written once: the steps behind read them several times."""
+    path = shared_dir(spark, "profiles")
+    scored = _scored(inputs, as_of)
+    scored.write.parquet(path)
+    return spark.read.schema(scored.schema).parquet(path)
+
+
+def _advised(spark: SparkSession, inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
+    return recommend.advise(_stored_profiles(spark, inputs, as_of), run_ts=RUN_TS)
 
 
 def _urgency(inputs: Inputs) -> DataFrame:
     """Results with urgency only: the cube needs no advice text."""
-    scored = _scored(inputs)
-    level = summary.is_at_risk(F.col("risk_level"))
-    return scored.withColumn("urgency", F.when(level, recommend.urgency()))
+    return recommend.with_urgency(_scored(inputs))
 
 
 def _cube(inputs: Inputs) -> DataFrame:
@@ -120,10 +126,11 @@ def ingest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _checked_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     inputs = testdata.load(spark, sf_dir)
+    advised = _advised(spark, inputs)
     return {
         **testdata.faulty(inputs)._asdict(),
-        "churn_scores": scoring.churn_scores(_scored(inputs)),
-        "recommendations": recommend.recommendations(_advised(inputs)),
+        "churn_scores": scoring.churn_scores(advised),
+        "recommendations": recommend.recommendations(advised),
     }
 
 
@@ -286,9 +293,9 @@ def churn_reasons_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def churn_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = testdata.load(spark, sf_dir)
+    profiles = _stored_profiles(spark, testdata.load(spark, sf_dir))
     detail = summary.churn_detail(
-        scoring.churn_scores(_scored(inputs)), summary.user_summary(*inputs, AS_OF)
+        scoring.churn_scores(profiles), profiles.select(*summary.SUMMARY_COLUMNS)
     )
     return detail.withColumn("analyzed_at", F.col("analyzed_at").cast("string"))
 
@@ -320,13 +327,13 @@ def feature_gap_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = recommend.recommendations(_advised(testdata.load(spark, sf_dir)))
+    recs = recommend.recommendations(_advised(spark, testdata.load(spark, sf_dir)))
     return recs.drop("created_at")
 
 
 @query
 def alert_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.alert_queue(_advised(testdata.load(spark, sf_dir)))
+    return alerts.alert_queue(_advised(spark, testdata.load(spark, sf_dir)))
 
 
 @query
@@ -337,12 +344,12 @@ def alert_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.alerts_table(_advised(testdata.load(spark, sf_dir)))
+    return alerts.alerts_table(_advised(spark, testdata.load(spark, sf_dir)))
 
 
 @query
 def alerts_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = alerts.alerts_table(_advised(testdata.load(spark, sf_dir)))
+    table = alerts.alerts_table(_advised(spark, testdata.load(spark, sf_dir)))
     return alerts.alerts_filtered(
         table, risk_level="alto", urgency="esta_semana", country="México", plan="Free"
     )
@@ -350,7 +357,7 @@ def alerts_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.alerts_search(alerts.alerts_table(_advised(testdata.load(spark, sf_dir))), "104")
+    return alerts.alerts_search(alerts.alerts_table(_advised(spark, testdata.load(spark, sf_dir))), "104")
 
 
 # Report and dashboard ----------------------------------------------------------------
@@ -398,17 +405,17 @@ def open_tickets_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top_risk_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.top_risk_clients(_advised(testdata.load(spark, sf_dir)))
+    return report.top_risk_clients(_advised(spark, testdata.load(spark, sf_dir)))
 
 
-def _report(inputs: Inputs) -> DataFrame:
-    return report.report_struct(_advised(inputs), inputs.support_tickets)
+def _report(spark: SparkSession, inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
+    return report.report_struct(_advised(spark, inputs, as_of), inputs.support_tickets)
 
 
 @query
 def report_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON document, read back into plain text columns for comparison."""
-    doc = report.report_metrics(_report(testdata.load(spark, sf_dir))).select(
+    doc = report.report_metrics(_report(spark, testdata.load(spark, sf_dir))).select(
         F.from_json(
             "metrics",
             "total_users bigint, risk_distribution map<string,bigint>, "
@@ -447,12 +454,12 @@ def report_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_key_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.report_key_metrics(_report(testdata.load(spark, sf_dir)))
+    return report.report_key_metrics(_report(spark, testdata.load(spark, sf_dir)))
 
 
 @query
 def dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.dashboard_kpis(_report(testdata.load(spark, sf_dir)))
+    return report.dashboard_kpis(_report(spark, testdata.load(spark, sf_dir)))
 
 
 def _flat_report(reports: DataFrame) -> DataFrame:
@@ -465,7 +472,7 @@ def _flat_report(reports: DataFrame) -> DataFrame:
 
 @query
 def weekly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = report.weekly_report(_report(testdata.load(spark, sf_dir)), AS_OF, "weekly", RUN_TS)
+    row = report.weekly_report(_report(spark, testdata.load(spark, sf_dir)), AS_OF, "weekly", RUN_TS)
     return _flat_report(row)
 
 
@@ -475,8 +482,7 @@ def report_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = testdata.load(spark, sf_dir)
     tables = ResultTables(spark, shared_dir(spark, "reports"))
     for day in (EARLIER, AS_OF):
-        results = recommend.advise(_scored(inputs, day), run_ts=RUN_TS)
-        doc = report.report_struct(results, inputs.support_tickets)
+        doc = _report(spark, inputs, day)
         tables.write_run(
             "weekly_reports", report.weekly_report(doc, day, "weekly", RUN_TS), day
         )
@@ -599,37 +605,40 @@ def _stored(spark: SparkSession, canned: DataFrame) -> DataFrame:
     return replies.read_replies(spark, path)
 
 
-def _parsed_scores(spark: SparkSession, inputs: Inputs) -> ingest.Split:
-    canned = _stored(spark, scoring_replies(_scored(inputs)))
+def _parsed_scores(spark: SparkSession, inputs: Inputs, profiles: DataFrame) -> ingest.Split:
+    canned = _stored(spark, scoring_replies(profiles))
     return replies.parse_scoring_replies(canned, inputs.users)
 
 
-def _parsed_advice(spark: SparkSession, inputs: Inputs) -> ingest.Split:
-    canned = _stored(spark, recommendation_replies(_advised(inputs)))
+def _parsed_advice(spark: SparkSession, inputs: Inputs, profiles: DataFrame) -> ingest.Split:
+    canned = _stored(spark, recommendation_replies(recommend.advise(profiles, run_ts=RUN_TS)))
     return replies.parse_recommendation_replies(canned, inputs.users)
 
 
 @query
 def parse_scoring_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parsed_scores(spark, testdata.load(spark, sf_dir)).accepted
+    inputs = testdata.load(spark, sf_dir)
+    return _parsed_scores(spark, inputs, _scored(inputs)).accepted
 
 
 @query
 def parse_recommendation_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parsed_advice(spark, testdata.load(spark, sf_dir)).accepted
+    inputs = testdata.load(spark, sf_dir)
+    return _parsed_advice(spark, inputs, _stored_profiles(spark, inputs)).accepted
 
 
 @query
 def reply_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = testdata.load(spark, sf_dir)
-    scores, advice = _parsed_scores(spark, inputs), _parsed_advice(spark, inputs)
+    profiles = _stored_profiles(spark, inputs)
+    scores, advice = _parsed_scores(spark, inputs, profiles), _parsed_advice(spark, inputs, profiles)
     return scores.rejects.unionByName(advice.rejects)
 
 
 @query
 def parse_report_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weekly report as a fenced reply, parsed back."""
-    row = report.weekly_report(_report(testdata.load(spark, sf_dir)), AS_OF, "weekly", RUN_TS)
+    row = report.weekly_report(_report(spark, testdata.load(spark, sf_dir)), AS_OF, "weekly", RUN_TS)
     text = F.to_json(F.struct(
         "title", "executive_summary",
         F.struct("key_metrics.total_analyzed", "key_metrics.high_risk").alias("key_metrics"),
