@@ -90,29 +90,32 @@ def report_rollup(cube: DataFrame) -> DataFrame:
     return grouped.select(tag.alias("grouping"), *CUBE_KEYS, "cnt", "avg_score", "mrr_at_risk")
 
 
+TOP_FIELDS = (
+    "user_id", "score", "risk_level", "reasons", "plan", "country", "mrr_usd", "urgency",
+    "recommendation",
+)
+
+
+def top_scores(scored: DataFrame, n: int = 10) -> DataFrame:
+    """The n highest scores; ties go by user id. Advice is written for these only."""
+    return scored.orderBy(F.desc("score"), "user_id").limit(n)
+
+
 def top_risk_clients(results: DataFrame, n: int = 10) -> DataFrame:
-    """The n highest scores; ties go by user id."""
-    return (
-        results.select(
-            "user_id", "score", "risk_level", "reasons", "plan", "country", "mrr_usd",
-            "urgency", "recommendation",
-        )
-        .orderBy(F.desc("score"), "user_id")
-        .limit(n)
-    )
+    return top_scores(results.select(*TOP_FIELDS), n)
 
 
 def top_risk_from_tables(
     scores: DataFrame, users: DataFrame, recommendations: DataFrame, n: int = 10
 ) -> DataFrame:
-    """As ``top_risk_clients``, from stored tables: n scores first, joins after."""
+    """The same from stored tables: n scores first, joins after."""
     known = scores.join(users.select("user_id"), "user_id", "left_semi")
-    top = known.orderBy(F.desc("score"), "user_id").limit(n)
     profile = users.select("user_id", "plan", "country", "mrr_usd")
     advice = recommendations.select("user_id", "urgency", "recommendation")
-    return top_risk_clients(
-        F.broadcast(top).join(profile, "user_id").join(advice, "user_id", "left"), n
-    )
+    top = F.broadcast(top_scores(known, n))  # n rows, on either use
+    kept = profile.join(top, "user_id")
+    written = advice.join(top.select("user_id"), "user_id", "left_semi")
+    return top_risk_clients(kept.join(written, "user_id", "left"), n)
 
 
 def open_tickets_summary(tickets: DataFrame) -> DataFrame:
@@ -136,11 +139,12 @@ def _object(rows: Column, key: str) -> Column:
     return null_if_empty(F.map_from_entries(pairs))
 
 
-def report_struct(results: DataFrame, tickets: DataFrame, n: int = 10) -> DataFrame:
+def report_struct(results: DataFrame, tickets: DataFrame, top_clients: DataFrame) -> DataFrame:
     """The nine report figures as one row of typed columns.
 
-    Reads the scored users once for the cube and once for the top list. The
-    lists hold one entry per group of the cube, never one per user.
+    ``results`` needs the cube's columns only; ``top_clients`` are the few rows
+    of ``top_risk_clients``. The lists hold one entry per group of the cube,
+    never one per user.
     """
     def grouping(name: str) -> Column:
         return F.col("grouping") == name
@@ -149,9 +153,8 @@ def report_struct(results: DataFrame, tickets: DataFrame, n: int = 10) -> DataFr
         return F.max(F.when(grouping(name), F.col(column)))
 
     by_score = (-F.col("avg_score")).alias("o")
-    top_fields = top_risk_clients(results, n)
-    top = top_fields.agg(
-        _sorted_list(F.lit(True), list(top_fields.columns),
+    top = top_clients.agg(
+        _sorted_list(F.lit(True), list(TOP_FIELDS),
                      [(-F.col("score")).alias("o"), F.col("user_id")]).alias("top")
     )
     open_tickets = open_tickets_summary(tickets).select(

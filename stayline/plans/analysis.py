@@ -51,7 +51,11 @@ def run_analysis(
     queue = tables.write_run("alert_queue", alerts.alert_queue(advised), as_of)
     digest = tables.write_run("alert_digest", alerts.alert_digest(queue, as_of), as_of)
 
-    weekly = report.weekly_report(report.report_struct(advised, tickets), as_of, run_id, run_ts)
+    top = recommend.advise(report.top_scores(profiles), advice, run_ts, fit)
+    doc = report.report_struct(
+        recommend.with_urgency(profiles, advice), tickets, report.top_risk_clients(top)
+    )
+    weekly = report.weekly_report(doc, as_of, run_id, run_ts)
     reports = tables.write_run("weekly_reports", weekly, as_of)
     return RunTables(scores, recs, queue, digest, reports)
 

@@ -405,11 +405,21 @@ def open_tickets_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top_risk_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.top_risk_clients(_advised(spark, testdata.load(spark, sf_dir)))
+    return _top(_stored_profiles(spark, testdata.load(spark, sf_dir)))
+
+
+def _top(profiles: DataFrame) -> DataFrame:
+    fit = recommend.feature_fit(profiles)
+    return report.top_risk_clients(
+        recommend.advise(report.top_scores(profiles), run_ts=RUN_TS, fit=fit)
+    )
 
 
 def _report(spark: SparkSession, inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
-    return report.report_struct(_advised(spark, inputs, as_of), inputs.support_tickets)
+    profiles = _stored_profiles(spark, inputs, as_of)
+    return report.report_struct(
+        recommend.with_urgency(profiles), inputs.support_tickets, _top(profiles)
+    )
 
 
 @query

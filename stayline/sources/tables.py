@@ -50,11 +50,25 @@ def upsert(existing: DataFrame, changes: DataFrame, key: str = "user_id") -> Dat
     return kept.select(*existing.columns).unionByName(changes.select(*existing.columns))
 
 
+def save_clustered(
+    df: DataFrame, path: str, cluster_by: list[str], partition_by: str | None = None
+) -> None:
+    """Store a table for lookups: folders by one column, files sorted by others.
+
+    Row-group statistics then skip nearly everything in a lookup by the leading
+    column. Ranges over several columns also split one user's many rows; put
+    the row's own key last, for instance ``["user_id", "ticket_id"]``.
+    """
+    keys = ([partition_by] if partition_by else []) + cluster_by
+    writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+
+
 def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "user_id") -> None:
-    """Store a base table bucketed and sorted by user.
+    """Store a table holding one row per key in buckets of that key.
 
-    Joins and per-user aggregates over tables with equal bucket counts need no
-    shuffle at all.
+    Joins between such tables of equal bucket count need no shuffle. Not for
+    child tables: a key with very many rows would fill one bucket.
     """
     (
         df.repartition(buckets, F.col(key)).write.mode("overwrite").format("parquet")

@@ -74,7 +74,7 @@ class ScoreRefresh:
         bucket = F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
         (
             df.withColumn("bucket", bucket)
-            .repartition("bucket", F.pmod(F.xxhash64(F.col(df.columns[0])), F.lit(4)))
+            .hint("rebalance", "bucket")  # few files per folder, large folders split
             .write.mode("overwrite").partitionBy("bucket")
             .parquet(f"{self.root}/{table}/batch_id={batch_id}")
         )
