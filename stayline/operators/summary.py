@@ -3,6 +3,13 @@
 Both child tables are aggregated by user before any join, so no join multiplies
 rows, the heavy shuffles carry partial aggregates only, and a user holding a
 large share of a child table arrives as one small record per map task.
+
+Value lists (features, ticket categories) are aggregated as bit masks over
+their known domain. Values outside it are kept by a side branch, which reads
+them by a filter that Parquet dictionaries answer; where there are none,
+adaptive execution drops its join. For tables that passed the accepted-values
+check (``quality.domain_violations``), ``closed=True`` saves the branch: an
+unlisted value then fails the job, it is never lost.
 """
 
 from __future__ import annotations
@@ -12,9 +19,11 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import (
-    adoption_ordinal, days_between, is_at_risk, is_open, is_urgent_open, joined_or_null,
+    adoption_ordinal, days_between, domain_mask, in_mask, is_at_risk, is_open, is_urgent_open,
+    joined_or_null, masked_values,
 )
 from ..rules import AdviceRules
+from ..schemas import CATEGORIES
 
 SUMMARY_COLUMNS = (
     "user_id", "country", "plan", "signup_date", "source", "mrr_usd", "original_churn_score",
@@ -38,57 +47,77 @@ def usage_with_ordinal(usage: DataFrame) -> DataFrame:
 
 
 def usage_by_user(
-    usage: DataFrame, as_of: dt.date, advice: AdviceRules = AdviceRules()
+    usage: DataFrame, as_of: dt.date, advice: AdviceRules = AdviceRules(), closed: bool = False
 ) -> DataFrame:
-    rank = F.col("adoption_rank")
-    return (
-        usage_with_ordinal(usage)
-        .groupBy("user_id")
-        .agg(
-            F.max("last_used_date").alias("last_activity"),
-            F.min(rank).alias("worst_adoption_level"),
-            F.max(rank).alias("best_adoption_level"),
-            F.collect_set("feature").alias("features"),
-            F.collect_set(F.when(rank >= advice.adopted_from, F.col("feature")))
-            .alias("adopted"),
-        )
-        .withColumn("days_since_last_activity", days_between(as_of, F.col("last_activity")))
+    rank, feature = F.col("adoption_rank"), F.col("feature")
+    adopted = rank >= advice.adopted_from
+    ranked = usage_with_ordinal(usage)
+    bit = domain_mask(feature, advice.catalogue, closed)
+    main = ranked.groupBy("user_id").agg(
+        F.max("last_used_date").alias("last_activity"),
+        F.min(rank).alias("worst_adoption_level"),
+        F.max(rank).alias("best_adoption_level"),
+        F.bit_or(bit).alias("feature_mask"),
+        F.bit_or(F.when(adopted, bit)).alias("adopted_mask"),
     )
+    if not closed:
+        unlisted = ranked.where(~in_mask(feature, advice.catalogue)).groupBy("user_id").agg(
+            F.collect_set(feature).alias("more_features"),
+            F.collect_set(F.when(adopted, feature)).alias("more_adopted"),
+        )
+        main = main.join(unlisted, "user_id", "left")
+    return main.withColumns({
+        "features": _values("feature_mask", "more_features", advice.catalogue, closed),
+        "adopted": _values("adopted_mask", "more_adopted", advice.catalogue, closed),
+        "days_since_last_activity": days_between(as_of, F.col("last_activity")),
+    }).drop("feature_mask", "adopted_mask", "more_features", "more_adopted")
+
 
+def _values(mask: str, more: str, domain: tuple[str, ...], closed: bool) -> Column:
+    """Listed values of the mask, plus unlisted ones if the user has any."""
+    listed = masked_values(F.coalesce(mask, F.lit(0).cast("bigint")), domain)
+    if closed:
+        return listed
+    return F.when(F.col(more).isNull(), listed).otherwise(F.concat(listed, F.col(more)))
 
-def tickets_by_user(tickets: DataFrame) -> DataFrame:
+
+def tickets_by_user(tickets: DataFrame, closed: bool = False) -> DataFrame:
     """Ticket figures per user; ``ticket_id`` is unique in the input."""
     status, priority = F.col("status"), F.col("priority")
     critical, high = priority == "Critical", priority == "High"
     count_if = lambda cond: F.count(F.when(cond, 1))
-    return (
-        tickets.groupBy("user_id")
-        .agg(
-            F.count("*").alias("total_tickets"),
-            count_if(is_open(status)).alias("open_tickets"),
-            count_if(is_urgent_open(status, priority)).alias("critical_open_tickets"),
-            count_if(is_open(status) & critical).alias("open_critical"),
-            count_if(is_open(status) & high).alias("open_high"),
-            F.min("csat_score").alias("worst_csat"),
-            F.round(F.avg("csat_score"), 1).alias("avg_csat"),
-            F.collect_set("category").alias("categories"),
-        )
-        .withColumn(
-            "open_other", F.col("open_tickets") - F.col("open_critical") - F.col("open_high")
-        )
+    category = F.col("category")
+    main = tickets.groupBy("user_id").agg(
+        F.count("*").alias("total_tickets"),
+        count_if(is_open(status)).alias("open_tickets"),
+        count_if(is_urgent_open(status, priority)).alias("critical_open_tickets"),
+        count_if(is_open(status) & critical).alias("open_critical"),
+        count_if(is_open(status) & high).alias("open_high"),
+        F.min("csat_score").alias("worst_csat"),
+        F.round(F.avg("csat_score"), 1).alias("avg_csat"),
+        F.bit_or(domain_mask(category, CATEGORIES, closed)).alias("category_mask"),
     )
+    if not closed:
+        unlisted = tickets.where(~in_mask(category, CATEGORIES)).groupBy("user_id").agg(
+            F.collect_set(category).alias("more_categories")
+        )
+        main = main.join(unlisted, "user_id", "left")
+    return main.withColumns({
+        "open_other": F.col("open_tickets") - F.col("open_critical") - F.col("open_high"),
+        "categories": _values("category_mask", "more_categories", CATEGORIES, closed),
+    }).drop("category_mask", "more_categories")
 
 
 def user_facts(
     users: DataFrame, usage: DataFrame, tickets: DataFrame, as_of: dt.date,
-    advice: AdviceRules = AdviceRules(),
+    advice: AdviceRules = AdviceRules(), closed: bool = False,
 ) -> DataFrame:
     """All per-user figures; list columns stay arrays for later operators."""
     empty = F.array().cast("array<string>")
     facts = (
         user_profile(users)
-        .join(usage_by_user(usage, as_of, advice), "user_id", "left")
-        .join(tickets_by_user(tickets), "user_id", "left")
+        .join(usage_by_user(usage, as_of, advice, closed), "user_id", "left")
+        .join(tickets_by_user(tickets, closed), "user_id", "left")
     )
     return facts.withColumns(
         {
@@ -104,9 +133,10 @@ def user_facts(
 
 
 def user_summary(
-    users: DataFrame, usage: DataFrame, tickets: DataFrame, as_of: dt.date
+    users: DataFrame, usage: DataFrame, tickets: DataFrame, as_of: dt.date, closed: bool = False
 ) -> DataFrame:
-    return user_facts(users, usage, tickets, as_of).select(*SUMMARY_COLUMNS, *SPLIT_COUNTS)
+    facts = user_facts(users, usage, tickets, as_of, closed=closed)
+    return facts.select(*SUMMARY_COLUMNS, *SPLIT_COUNTS)
 
 
 def left_join_on_user(users: DataFrame, child: DataFrame) -> DataFrame:

@@ -31,16 +31,17 @@ class RunTables(NamedTuple):
 def run_analysis(
     tables: ResultTables, users: DataFrame, usage: DataFrame, tickets: DataFrame,
     as_of: dt.date, rules: ScoringRules = ScoringRules(), advice: AdviceRules = AdviceRules(),
-    run_id: str = "weekly",
+    run_id: str = "weekly", closed: bool = False,
 ) -> RunTables:
     """Runs every step for one date and stores the result tables.
 
     The base tables are read and shuffled once: the scored profiles are written
     first, and all later steps read that table. A repeated run of the same date
-    replaces its rows.
+    replaces its rows. ``closed`` is for tables that passed the quality jobs.
     """
     run_ts = dt.datetime.combine(as_of, dt.time())
-    scored = scoring.score_users(user_facts(users, usage, tickets, as_of, advice), rules, run_ts)
+    facts = user_facts(users, usage, tickets, as_of, advice, closed)
+    scored = scoring.score_users(facts, rules, run_ts)
     profiles = tables.write_run("risk_profiles", scored.select(*RUN_PROFILE), as_of)
     scores = tables.write_run("churn_scores", scoring.churn_scores(profiles), as_of)
 

@@ -411,7 +411,9 @@ SELECT user_id, last_activity, days_since_last_activity FROM facts
 WHERE last_activity IS NOT NULL""")
 check("user_adoption_range", """
 SELECT user_id, worst_adoption_level, best_adoption_level FROM usage_agg""")
-check("user_features_list", "SELECT user_id, features_list FROM facts")
+check("user_features_list", """
+SELECT user_id, array_to_string(list_sort(list_distinct(list(feature))), ', ') AS features_list
+FROM bad_usage GROUP BY user_id""")
 check("user_ticket_categories", "SELECT user_id, ticket_categories FROM facts")
 check("user_ticket_counts", """
 SELECT user_id, total_tickets, open_tickets, critical_open_tickets, open_critical, open_high,

@@ -45,8 +45,9 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _facts(inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
-    return summary.user_facts(*inputs, as_of)
+def _facts(inputs: Inputs, as_of: dt.date = AS_OF, closed: bool = True) -> DataFrame:
+    """The derived tables hold listed features and categories only: closed domains."""
+    return summary.user_facts(*inputs, as_of, closed=closed)
 
 
 def _scored(inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
@@ -218,7 +219,7 @@ def users_tickets_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def user_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.user_summary(*testdata.load(spark, sf_dir), AS_OF)
+    return summary.user_summary(*testdata.load(spark, sf_dir), AS_OF, closed=True)
 
 
 @query
@@ -235,7 +236,9 @@ def user_adoption_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def user_features_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _facts(testdata.load(spark, sf_dir)).select("user_id", "features_list")
+    inputs = testdata.faulty(testdata.load(spark, sf_dir))
+    usage = summary.usage_by_user(inputs.feature_usage, AS_OF)  # holds unlisted features too
+    return usage.select("user_id", summary.joined_or_null(F.col("features")).alias("features_list"))
 
 
 @query
@@ -682,7 +685,7 @@ def upsert_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = ResultTables(spark, shared_dir(spark, "pipeline"))
-    run = analysis.run_analysis(tables, *testdata.load(spark, sf_dir), AS_OF)
+    run = analysis.run_analysis(tables, *testdata.load(spark, sf_dir), AS_OF, closed=True)
     return analysis.run_counts(run)
 
 

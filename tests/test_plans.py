@@ -47,7 +47,7 @@ def test_summary_shuffles_each_table_once(no_broadcast, make):
 
     df = user_summary(
         make.users(dict(user_id="a")), make.usage(dict(user_id="a")),
-        make.tickets(dict(user_id="a", ticket_id="T")), AS_OF)
+        make.tickets(dict(user_id="a", ticket_id="T")), AS_OF, closed=True)
     assert plan(df).count("Exchange hashpartitioning(user_id") == 3
     assert plan(df).count("Exchange") == 3
 

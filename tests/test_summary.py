@@ -94,3 +94,24 @@ def test_left_join_keeps_all_users_and_rows(make):
     assert sorted((r.user_id, r.ticket_id or "") for r in rows) == [
         ("U1", "T0"), ("U1", "T1"), ("U1", "T2"), ("U2", "")
     ]
+
+
+def test_unlisted_values_are_kept_unless_the_domain_is_closed(make):
+    import pytest
+
+    users = make.users(dict(user_id="U1"), dict(user_id="U2"))
+    usage = make.usage(dict(user_id="U1", feature="Beta", adoption_level="used_1x"),
+                       dict(user_id="U1"), dict(user_id="U1", feature="Alfa"),
+                       dict(user_id="U2", feature="Nómina"))
+    tickets = make.tickets(dict(user_id="U2", ticket_id="T1", category="Zeta"),
+                           dict(user_id="U2", ticket_id="T2"))
+    facts = summary.user_facts(users, usage, tickets, AS_OF)
+    assert by_user(facts, "features_list", "ticket_categories") == {
+        "U1": ("Alfa, Beta, Inventario", None), "U2": ("Nómina", "Bug, Zeta")}
+    assert sorted(by_user(facts, "adopted")["U1"]) == ["Alfa", "Inventario"]
+    with pytest.raises(Exception, match="outside the closed domain"):
+        summary.user_facts(users, usage, tickets, AS_OF, closed=True).collect()
+    fine = summary.user_facts(users, usage.where("user_id = 'U2'"),
+                              tickets.where("category = 'Bug'"), AS_OF, closed=True)
+    assert by_user(fine, "features_list", "ticket_categories") == {
+        "U1": (None, None), "U2": ("Nómina", "Bug")}
