@@ -27,6 +27,25 @@ def user_detail_tickets(users: DataFrame, tickets: DataFrame) -> DataFrame:
     )
 
 
+BROADCAST_ROWS = 100_000  # an id and a number each: a few megabytes
+
+
+def _ticket_pages(scored: DataFrame, tickets: DataFrame, page_size: int) -> DataFrame:
+    """Tickets with their page; all but large accounts have page 0 only.
+
+    The large accounts are counted first. A few are broadcast, so tickets need
+    no shuffle for this; many are shuffled straight from the stored table, and
+    adaptive execution splits a hot account of such a join.
+    """
+    large = scored.where(F.col("total_tickets") > page_size).select("user_id", "pages")
+    if large.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        large = F.broadcast(large)
+    page = F.when(F.col("pages").isNull(), F.lit(0).cast("bigint")).otherwise(
+        stable_bucket(F.col("ticket_id"), F.col("pages"))
+    )
+    return tickets.join(large, "user_id", "left").withColumn("page", page).drop("pages")
+
+
 def user_360(
     scored: DataFrame, usage: DataFrame, tickets: DataFrame, as_of: dt.date,
     page_size: int = 1000,
@@ -36,7 +55,8 @@ def user_360(
     A user with up to ``page_size`` tickets is one row (page 0 of 1). The
     tickets of a larger account are dealt by a hash of the ticket id into as
     many pages as it needs, so nothing is left out and no row or task has to
-    hold an unbounded list. Features come once, on page 0.
+    hold an unbounded list. Features come once, on page 0. ``scored`` should be
+    a stored table: it is read more than once.
     """
     profile = scored.select(
         "user_id", "country", "plan", "mrr_usd", "score", "risk_level", "reasons",
@@ -44,19 +64,20 @@ def user_360(
         F.greatest(F.lit(1), F.ceil(F.col("total_tickets") / page_size)).cast("bigint")
         .alias("pages"),
     )
+    # Equal rows collapse in a plain aggregate before lists are built.
     features = (
         user_detail_features(usage, as_of)
+        .select("user_id", "feature", "adoption_level", "days_since_use")
+        .distinct()
         .groupBy("user_id")
-        .agg(F.sort_array(F.collect_set(
+        .agg(F.sort_array(F.collect_list(
             F.struct("feature", "adoption_level", "days_since_use"))).alias("features"))
         .withColumn("page", F.lit(0).cast("bigint"))
     )
-    # The page count is joined to the ticket rows; adaptive execution splits a
-    # hot user there. Shuffling on (user, page) afterwards spreads that user.
+    # Shuffling on (user, page) spreads a large account over many tasks.
     ticket = F.struct("ticket_id", "category", "priority", "status", "created_date", "csat_score")
     pages = (
-        tickets.join(profile.select("user_id", "pages"), "user_id")
-        .withColumn("page", stable_bucket(F.col("ticket_id"), F.col("pages")))
+        _ticket_pages(profile, tickets, page_size)
         .repartition("user_id", "page")
         .groupBy("user_id", "page")
         .agg(F.sort_array(F.collect_list(ticket)).alias("tickets"))

@@ -95,27 +95,27 @@ def _incomplete(struct: str, names: tuple[str, ...]) -> Column:
 
 
 def _identity_checked(rows: DataFrame, users: DataFrame) -> DataFrame:
-    """Marks unknown users, and repeats after a user's first readable row.
+    """Marks unknown users, and every readable row after a user's first.
 
     First rows come from an aggregate, so an id repeated endlessly collapses
-    map-side; the join back keeps the rows on its splittable left side.
+    map-side. They are joined back by their place, which is unique: no task
+    meets all rows of one id.
     """
     place = F.struct("reply_id", "position")
     first = (
         rows.where("reason IS NULL")
         .groupBy("user_id")
-        .agg(F.min(place).alias("first"))
+        .agg(F.min(place).alias("place"))
         .join(users.select("user_id", F.lit(True).alias("known")), "user_id", "left")
+        .select("place.*", F.coalesce("known", F.lit(False)).alias("known"))
     )
-    reason = (
-        F.coalesce(
-            F.col("reason"),
-            F.when(F.col("known").isNull(), "unknown_user"),
-            F.when(place != F.col("first"), "repeated_user"),
-        )
+    reason = F.coalesce(
+        F.col("reason"),
+        F.when(F.col("known").isNull(), "repeated_user").when(~F.col("known"), "unknown_user"),
     )
     return (
-        rows.join(first, "user_id", "left").withColumn("reason", reason).drop("known", "first")
+        rows.join(first, ["reply_id", "position"], "left")
+        .withColumn("reason", reason).drop("known")
     )
 
 

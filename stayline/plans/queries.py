@@ -522,8 +522,9 @@ def user_detail_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested document with its lists as text; pages of four tickets."""
     inputs = testdata.load(spark, sf_dir)
+    profiles = _stored_profiles(spark, inputs)
     pages = dashboard.user_360(
-        _scored(inputs), inputs.feature_usage, inputs.support_tickets, AS_OF, page_size=4
+        profiles, inputs.feature_usage, inputs.support_tickets, AS_OF, page_size=4
     )
     feature = lambda f: F.concat_ws(
         ":", f.feature, f.adoption_level, f.days_since_use.cast("string"))

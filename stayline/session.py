@@ -26,6 +26,7 @@ def local_session(app: str = "stayline", cpus: str = "*", **conf: str) -> SparkS
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)

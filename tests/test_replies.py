@@ -121,3 +121,18 @@ def test_payload_keeps_null_fields(spark):
     batches = handoff.agent_batches(people, 20, 1)
     assert handoff.agent_payloads(batches, ["user_id", "n"]).first().payload == (
         '{"user_id":"USR-1","n":null}')
+
+
+def test_one_id_in_a_third_of_all_replies(spark):
+    texts = [
+        json.dumps([dict(GOOD, user_id="USR-1" if i % 3 == 0 else f"USR-{i}")])
+        for i in range(600)
+    ]
+    known = users(spark, 500)
+    out = replies.parse_scoring_replies(rows_for(spark, texts).repartition(4), known)
+    accepted = sorted(r.user_id for r in out.accepted.collect())
+    assert accepted == sorted({f"USR-{i}" for i in range(500) if i % 3} | {"USR-1"})
+    reasons = [r.reason for r in out.rejects.collect()]
+    # USR-1 comes 201 times: 200 copies plus its own entry, one of which is first.
+    assert reasons.count("repeated_user") == 200
+    assert reasons.count("unknown_user") == len([i for i in range(500, 600) if i % 3])
