@@ -17,7 +17,7 @@ from stayline.session import local_session
 
 HEADLINE = (
     "user_summary", "churn_scores", "churn_detail", "report_rollup", "report_metrics",
-    "recommendations", "feature_gap_ranked", "alerts_table", "user_360", "run_pipeline",
+    "recommendations", "feature_gap_ranked", "alerts_table", "user_360", "run_analysis",
 )
 RUNS = 3
 

@@ -12,6 +12,10 @@ from ..functions.columns import (
 from ..schemas import RISK_LEVELS
 
 
+# The headline of the alert mail
+HEADLINE = ("Se identificaron ", " cliente", " que requieren contacto inmediato")
+
+
 def join_results(scores: DataFrame, recommendations: DataFrame, users: DataFrame) -> DataFrame:
     """Stored results side by side, one row per scored user."""
     advice = recommendations.select("user_id", "urgency", "recommendation", "reasoning")
@@ -39,8 +43,8 @@ def alert_digest(queue: DataFrame, as_of: dt.date) -> DataFrame:
         .withColumns({
             "date_text": spanish_long_date(F.lit(as_of)),
             "headline": F.concat(
-                F.lit("Se identificaron "), total.cast("string"), F.lit(" cliente"),
-                plural_s(total), F.lit(" que requieren contacto inmediato"),
+                F.lit(HEADLINE[0]), total.cast("string"), F.lit(HEADLINE[1]),
+                plural_s(total), F.lit(HEADLINE[2]),
             ),
         })
     )

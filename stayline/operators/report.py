@@ -15,6 +15,9 @@ from ..functions.columns import is_at_risk, is_open, json_text, null_if_empty
 CUBE_KEYS = ("plan", "country", "risk_level", "urgency")
 
 
+TITLE = "Reporte Semanal — "  # fixed value: how every report title begins
+
+
 def report_cube(results: DataFrame) -> DataFrame:
     return results.groupBy(*CUBE_KEYS).agg(
         F.count("*").alias("cnt"),
@@ -229,7 +232,7 @@ def weekly_report(
                          clients.alias("top_risk_clients")).select(
         F.lit(report_date).alias("report_date"),
         F.lit(run_id).alias("run_id"),
-        F.concat(F.lit("Reporte Semanal — "), number("high_risk"),
+        F.concat(F.lit(TITLE), number("high_risk"),
                  F.lit(" clientes en riesgo alto")).alias("title"),
         F.concat(number("total_analyzed"), F.lit(" clientes analizados: "),
                  number("high_risk"), F.lit(" alto, "), number("medium_risk"),

@@ -31,31 +31,50 @@ class RunTables(NamedTuple):
 def run_analysis(
     tables: ResultTables, users: DataFrame, usage: DataFrame, tickets: DataFrame,
     as_of: dt.date, rules: ScoringRules = ScoringRules(), advice: AdviceRules = AdviceRules(),
-    run_id: str = "weekly", closed: bool = False,
+    run_id: str = "weekly", closed: bool = False, scores: DataFrame | None = None,
+    recommendations: DataFrame | None = None,
 ) -> RunTables:
     """Runs every step for one date and stores the result tables.
 
     The base tables are read and shuffled once: the scored profiles are written
     first, and all later steps read that table. A repeated run of the same date
     replaces its rows. ``closed`` is for tables that passed the quality jobs.
+
+    ``scores`` and ``recommendations`` may come from parsed replies instead of
+    the rules; then only users with a given score are analysed.
     """
     run_ts = dt.datetime.combine(as_of, dt.time())
     facts = user_facts(users, usage, tickets, as_of, advice, closed)
-    scored = scoring.score_users(facts, rules, run_ts)
+    if scores is None:
+        scored = scoring.score_users(facts, rules, run_ts)
+    else:
+        given = scores.select("user_id", "score", "risk_level", "reasons")
+        scored = facts.join(given, "user_id").withColumn(
+            "analyzed_at", F.lit(run_ts).cast("timestamp_ntz")
+        )
     profiles = tables.write_run("risk_profiles", scored.select(*RUN_PROFILE), as_of)
     scores = tables.write_run("churn_scores", scoring.churn_scores(profiles), as_of)
 
-    fit = tables.write_run("feature_fit", recommend.feature_fit(profiles, advice), as_of)
-    advised = recommend.advise(profiles, advice, run_ts, fit)
-    recs = tables.write_run("recommendations", recommend.recommendations(advised), as_of)
+    if recommendations is None:
+        fit = tables.write_run("feature_fit", recommend.feature_fit(profiles, advice), as_of)
+        results = recommend.advise(profiles, advice, run_ts, fit)
+        recs = tables.write_run("recommendations", recommend.recommendations(results), as_of)
+        cube_input = recommend.with_urgency(profiles, advice)
+        top = report.top_risk_clients(
+            recommend.advise(report.top_scores(profiles), advice, run_ts, fit)
+        )
+    else:
+        given = recommendations.withColumn("created_at", F.lit(run_ts).cast("timestamp_ntz"))
+        recs = tables.write_run(
+            "recommendations", given.select(*recommend.RECOMMENDATION_COLUMNS), as_of
+        )
+        results = cube_input = alerts.join_results(scores, recs, profiles)
+        top = report.top_risk_from_tables(scores, profiles, recs)
 
-    queue = tables.write_run("alert_queue", alerts.alert_queue(advised), as_of)
+    queue = tables.write_run("alert_queue", alerts.alert_queue(results), as_of)
     digest = tables.write_run("alert_digest", alerts.alert_digest(queue, as_of), as_of)
 
-    top = recommend.advise(report.top_scores(profiles), advice, run_ts, fit)
-    doc = report.report_struct(
-        recommend.with_urgency(profiles, advice), tickets, report.top_risk_clients(top)
-    )
+    doc = report.report_struct(cube_input, tickets, top)
     weekly = report.weekly_report(doc, as_of, run_id, run_ts)
     reports = tables.write_run("weekly_reports", weekly, as_of)
     return RunTables(scores, recs, queue, digest, reports)

@@ -613,7 +613,7 @@ check("upsert_scores", """
 SELECT o.user_id, CASE WHEN n.risk_level = 'bajo' THEN o.score ELSE n.score END AS score,
        CASE WHEN n.risk_level = 'bajo' THEN o.risk_level ELSE n.risk_level END AS risk_level
 FROM scored_old o JOIN scored n ON n.user_id = o.user_id""")
-check("run_pipeline", """
+check("run_analysis", """
 SELECT 'churn_scores' AS table_name, count(*) AS n FROM scored
 UNION ALL SELECT 'recommendations', count(*) FROM recs
 UNION ALL SELECT 'alert_queue', count(*) FROM recs WHERE urgency = 'inmediata'

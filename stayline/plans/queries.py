@@ -684,8 +684,8 @@ def upsert_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = ResultTables(spark, shared_dir(spark, "pipeline"))
+def run_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = ResultTables(spark, shared_dir(spark, "analysis"))
     run = analysis.run_analysis(tables, *testdata.load(spark, sf_dir), AS_OF, closed=True)
     return analysis.run_counts(run)
 

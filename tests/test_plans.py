@@ -21,7 +21,7 @@ def no_broadcast(spark):
 
 
 WRITES = {
-    "load_users", "load_feature_usage", "load_support_tickets", "report_history", "run_pipeline",
+    "load_users", "load_feature_usage", "load_support_tickets", "report_history", "run_analysis",
     "insert_results", "stream_score_refresh",
 }
 

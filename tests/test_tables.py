@@ -92,3 +92,35 @@ def test_shared_dir_is_the_clusters(spark):
     if named:
         assert one.startswith(named)
     assert pytest.approx(len(one)) == len(two)
+
+
+def test_chained_run_from_replies_equals_the_rules(spark, make, tmp_path):
+    users = make.users(*[dict(user_id=f"u{i}", plan="Free" if i % 2 else "Plus") for i in range(15)])
+    usage = make.usage(*[
+        dict(user_id=f"u{i}", last_used_date=AS_OF - dt.timedelta(days=15 * i),
+             adoption_level="activated") for i in range(12)])
+    tickets = make.tickets(*[
+        dict(user_id=f"u{i}", ticket_id=f"T{i}", status="Open", priority="Critical")
+        for i in range(5, 9)])
+    ruled = run_analysis(ResultTables(spark, str(tmp_path / "a")), users, usage, tickets, AS_OF)
+    given = run_analysis(
+        ResultTables(spark, str(tmp_path / "b")), users, usage, tickets, AS_OF,
+        scores=ruled.churn_scores, recommendations=ruled.recommendations.drop("created_at"))
+    for one, other in zip(ruled, given):
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    assert ruled.alert_queue.count() > 0
+
+
+def test_queue_from_stored_tables_reads_one_urgency_folder(spark, make, tmp_path):
+    from stayline.operators import alerts
+
+    tables = ResultTables(spark, str(tmp_path))
+    users = make.users(dict(user_id="a"), dict(user_id="b"))
+    tickets = make.tickets(*[dict(user_id="a", ticket_id=f"T{i}", status="Open",
+                                  priority="Critical") for i in range(3)])
+    run = run_analysis(tables, users, make.usage(), tickets, AS_OF)
+    joined = alerts.join_results(run.churn_scores, run.recommendations, users)
+    queue = alerts.alert_queue(joined)
+    assert [r.user_id for r in queue.collect()] == ["a"]
+    plan = queue._jdf.queryExecution().executedPlan().toString()
+    assert "urgency" in plan.split("PartitionFilters: [")[1]
