@@ -159,3 +159,8 @@ def churn_detail(scores: DataFrame, summary: DataFrame) -> DataFrame:
     return risky.join(summary.select(*profile), "user_id").select(
         "user_id", "score", "risk_level", "reasons", "analyzed_at", *profile[1:]
     )
+
+
+def by_score(rows: DataFrame) -> DataFrame:
+    """Highest score first, for sinks that show or export an ordered list."""
+    return rows.orderBy(F.desc("score"), "user_id")

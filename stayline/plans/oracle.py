@@ -448,7 +448,7 @@ CTES["reason_rows"] = " UNION ALL ".join(
         ("volumen_tickets", "concat(total_tickets, ' tickets en total')", "p_volume"),
     ))
 check("churn_reasons", "SELECT * FROM reason_rows")
-check("churn_reasons_text", "SELECT user_id, score, reasons FROM scored")
+check("churn_reasons_text", "SELECT user_id, score, risk_level, reasons FROM scored")
 check("churn_detail", f"""
 SELECT user_id, score, risk_level, reasons, '{AS_OF} 00:00:00' AS analyzed_at, country, plan,
        signup_date, source, mrr_usd, features_count, days_since_last_activity,

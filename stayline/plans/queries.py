@@ -291,7 +291,9 @@ def churn_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def churn_reasons_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(testdata.load(spark, sf_dir)).select("user_id", "score", "reasons")
+    return _scored(testdata.load(spark, sf_dir)).select(
+        "user_id", "score", "risk_level", "reasons"
+    )
 
 
 @query

@@ -18,10 +18,14 @@ def landing_schema(table: str) -> T.StructType:
 
 
 def read_landing(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """All fields as text; lines with a wrong field count keep their raw line."""
+    """All fields as text; lines with a wrong field count keep their raw line.
+
+    A header that does not name the columns in their order fails the load.
+    """
     return (
         spark.read.schema(landing_schema(table))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MALFORMED)

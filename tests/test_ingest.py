@@ -89,3 +89,11 @@ def test_profile(spark):
     for exact in (True, False):
         got = ingest.profile(df, rejects, exact=exact).collect()
         assert {r.column_name: tuple(r)[1:] for r in got} == want
+
+
+def test_header_in_another_order_fails_loudly(spark, tmp_path):
+    lines = USAGE_CSV.splitlines()
+    lines[0] = "feature,user_id,adoption_level,last_used_date"
+    (tmp_path / "f.csv").write_text("\n".join(lines), encoding="utf-8")
+    with pytest.raises(Exception, match="CSV header"):
+        csv_files.load_feature_usage(spark, str(tmp_path / "f.csv")).accepted.collect()

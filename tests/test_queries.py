@@ -22,7 +22,7 @@ def test_each_query_has_check_sql():
 
 
 def test_entry(spark):
-    assert entry(spark).columns == ["user_id", "score", "reasons"]
+    assert entry(spark).columns == ["user_id", "score", "risk_level", "reasons"]
 
 
 @pytest.mark.parametrize("name", sorted(queries()))

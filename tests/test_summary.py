@@ -115,3 +115,18 @@ def test_unlisted_values_are_kept_unless_the_domain_is_closed(make):
                               tickets.where("category = 'Bug'"), AS_OF, closed=True)
     assert by_user(fine, "features_list", "ticket_categories") == {
         "U1": (None, None), "U2": ("Nómina", "Bug")}
+
+
+def test_detail_holds_risky_users_only(spark, make):
+    from stayline.operators import scoring
+
+    users = make.users(dict(user_id="U1"), dict(user_id="U2"), dict(user_id="U3"))
+    tickets = make.tickets(*[
+        dict(user_id=u, ticket_id=f"{u}{i}", status="Open", priority="Critical")
+        for u, n in (("U1", 2), ("U2", 3)) for i in range(n)])
+    facts = summary.user_facts(users, make.usage(), tickets, AS_OF)
+    detail = summary.churn_detail(
+        scoring.churn_scores(scoring.score_users(facts)), facts.select(*summary.SUMMARY_COLUMNS))
+    assert len(detail.columns) == 21 and "original_churn_score" not in detail.columns
+    assert [(r.user_id, r.score) for r in summary.by_score(detail).collect()] == [
+        ("U2", 75), ("U1", 50)]
