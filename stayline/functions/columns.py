@@ -21,6 +21,12 @@ def days_between(as_of: dt.date, day: Column) -> Column:
     return F.datediff(F.lit(as_of), day)
 
 
+def run_timestamp(run_ts: dt.datetime | None) -> Column:
+    """The run clock as a zone-less timestamp, whatever the session's zone."""
+    text = None if run_ts is None else run_ts.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def adoption_ordinal(level: Column) -> Column:
     """1 (activated) .. 5 (power_user); unknown levels give NULL."""
     chain = F.when(level == ADOPTION_LEVELS[0], 1)

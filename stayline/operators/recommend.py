@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import is_at_risk, with_computed
+from ..functions.columns import is_at_risk, run_timestamp, with_computed
 from ..rules import AdviceRules
 from ..schemas import PLANS
 
@@ -201,7 +201,7 @@ def advise(
                 .otherwise(F.concat(F.lit(": "), F.col("steps_text"))),
             )),
             "reasoning": F.when(risky, _reasoning_text()),
-            "created_at": F.lit(run_ts).cast("timestamp_ntz"),
+            "created_at": run_timestamp(run_ts),
         })
         .drop("offer_text", "learn_text", "steps_text")
     )

@@ -10,7 +10,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import is_at_risk, is_open, json_text, null_if_empty
+from ..functions.columns import (
+    is_at_risk, is_open, json_text, null_if_empty, run_timestamp,
+)
 
 CUBE_KEYS = ("plan", "country", "risk_level", "urgency")
 
@@ -247,7 +249,7 @@ def weekly_report(
                  F.lit(" tickets critical abiertos\n3. Revisar "), number("medium_risk"),
                  F.lit(" clientes en riesgo medio")).alias("action_items"),
         F.lit("rules").alias("generated_by"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("created_at"),
+        run_timestamp(run_ts).alias("created_at"),
     )
 
 

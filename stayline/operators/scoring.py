@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import with_computed
+from ..functions.columns import run_timestamp, with_computed
 from ..rules import PointRule, ScoringRules
 
 SCORE_COLUMNS = ("user_id", "score", "risk_level", "reasons", "analyzed_at")
@@ -75,7 +75,7 @@ def score_users(
         {
             "risk_level": classify(F.col("score"), rules),
             "reasons": F.concat_ws(", ", *[_reason_line(rules, s) for s in signals]),
-            "analyzed_at": F.lit(run_ts).cast("timestamp_ntz"),
+            "analyzed_at": run_timestamp(run_ts),
         }
     )
 

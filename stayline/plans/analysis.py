@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.columns import run_timestamp
 from ..operators import alerts, recommend, report, scoring
 from ..operators.summary import user_facts
 from ..rules import AdviceRules, ScoringRules
@@ -49,9 +50,7 @@ def run_analysis(
         scored = scoring.score_users(facts, rules, run_ts)
     else:
         given = scores.select("user_id", "score", "risk_level", "reasons")
-        scored = facts.join(given, "user_id").withColumn(
-            "analyzed_at", F.lit(run_ts).cast("timestamp_ntz")
-        )
+        scored = facts.join(given, "user_id").withColumn("analyzed_at", run_timestamp(run_ts))
     profiles = tables.write_run("risk_profiles", scored.select(*RUN_PROFILE), as_of)
     scores = tables.write_run("churn_scores", scoring.churn_scores(profiles), as_of)
 
@@ -64,7 +63,7 @@ def run_analysis(
             recommend.advise(report.top_scores(profiles), advice, run_ts, fit)
         )
     else:
-        given = recommendations.withColumn("created_at", F.lit(run_ts).cast("timestamp_ntz"))
+        given = recommendations.withColumn("created_at", run_timestamp(run_ts))
         recs = tables.write_run(
             "recommendations", given.select(*recommend.RECOMMENDATION_COLUMNS), as_of
         )

@@ -131,3 +131,16 @@ def test_point_table_is_checked(spark):
         "'a' equals", "false per_unit")
     with pytest.raises(ValueError, match="more than"):
         load_points(long)
+
+
+def test_run_clock_ignores_the_session_zone(spark):
+    import datetime as dt
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        scored = scoring.score_users(facts(spark, u={}), run_ts=dt.datetime(2025, 1, 2, 3, 4, 5))
+        assert scored.selectExpr("string(analyzed_at)").first()[0] == "2025-01-02 03:04:05"
+        assert scored.schema["analyzed_at"].dataType.simpleString() == "timestamp_ntz"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
