@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, toxicity
+from . import bpe, decontaminate, secret_scan, simhash, toxicity
 from .learning import fold
 from .tables import table
 
@@ -29,6 +29,17 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+def benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item it holds."""
+    return decontaminate.findings(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).drop("key")
+
+
 def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
@@ -41,7 +52,9 @@ def bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": secrets,
     "op3_toxicity": toxicity_scores,
+    "op7_decontamination": benchmark_passages,
     "op8_simhash_near_dedup": simhash_classes,
     "op10_bpe": bpe_digests,
 }

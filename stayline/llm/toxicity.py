@@ -131,8 +131,10 @@ def train(sample: DataFrame, bits: int = BITS, shards: int = SHARDS, rounds: int
     return Weights(place.tolist(), weights[place].tolist(), bits)
 
 
-def score(docs: DataFrame, weights: Weights, keep: dict[str, str]) -> DataFrame:
-    """The columns of ``keep`` (name to type) and the ``score`` of ``text``, from 0 to 1."""
+def score(
+    docs: DataFrame, weights: Weights, keep: dict[str, str], name: str = "score"
+) -> DataFrame:
+    """The columns of ``keep`` (name to type) and the score of ``text``, from 0 to 1, as ``name``."""
     import numpy as np
 
     size = 1 << weights.bits
@@ -149,9 +151,9 @@ def score(docs: DataFrame, weights: Weights, keep: dict[str, str]) -> DataFrame:
             at = np.unique(at[table[at] != 0])
             return float(1 / (1 + np.exp(-np.clip(table[at].sum() + table[size], -35, 35))))
 
-        return lambda columns: {"score": [one(t) for t in columns["text"]]}
+        return lambda columns: {name: [one(t) for t in columns["text"]]}
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in {**keep, "score": "double"}.items())
+    schema = ", ".join(f"`{n}` {t}" for n, t in {**keep, name: "double"}.items())
     return in_batches(docs.select(*dict.fromkeys([*keep, "text"])), make, schema)
 
 
