@@ -5,8 +5,9 @@ words and encoded. The words that a partition has not met before are encoded
 together by a pair occurrence index: every adjacent pair of symbols is mapped to
 all its positions, the mergeable pairs wait in a heap by rank, and the lowest
 rank is applied at all its positions at once, which updates the lists of the
-neighbouring pairs only. The ids of a word are kept packed in a bounded store, so
-a text costs one look-up a word.
+neighbouring pairs only. The ids of words and of their runs between white space are
+kept packed in two bounded stores, so a text costs one look-up a run. The stores
+live with the broadcast vocabulary and serve all tasks of a Python worker.
 
 The vocabulary is a fixed file; its size does not follow the data. It is read
 once by the driver and broadcast.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from .tables import in_batches
 
-KEPT_WORDS = 400_000  # words a task remembers; beyond it the store starts anew
+KEPT_WORDS = 600_000  # words and runs a worker remembers; beyond it a store starts anew
 
 # Fixed values of the vocabulary's format: white space, word pattern, printable bytes.
 SPACES = "[\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
@@ -78,6 +79,7 @@ class Encoder:
         self.special = vocabulary.special
         self.tokens = {i: t for t, i in {**ids, **vocabulary.special}.items()}
         self.kept: dict[str, bytes] = {}
+        self.packed: dict[str, bytes] = {}
         self.kept_words = kept_words
         self.spaces = regex.compile(SPACES)
         self.words = regex.compile(WORDS)
@@ -135,29 +137,37 @@ class Encoder:
             done.append(ids)
         return done
 
-    def _normal(self, text: str) -> str:
+    def _runs(self, text: str) -> list[str]:
+        """The normalised text, cut at white space."""
         import unicodedata
 
-        text = unicodedata.normalize("NFC", text)
         # Lower case letter by letter: no special rule for a sigma at the end of a word.
-        return self.spaces.sub(" ", text).replace("Σ", "σ").lower()
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if any(mark in text for mark in "\x1c\x1d\x1e\x1f"):  # white space to str.split only
+            return self.spaces.split(text)
+        return text.split()
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, runs: set[str]) -> None:
         import numpy as np
 
-        if len(self.kept) + len(chunks) > self.kept_words:
-            self.kept.clear()
-        parts = {chunk: self.words.findall(chunk) for chunk in chunks}
-        words = list(dict.fromkeys(w for found in parts.values() for w in found))
-        raw = [w.encode() for w in words]
+        packed = self.packed
+        if len(packed) > self.kept_words:
+            packed.clear()
+        parts = {run: self.words.findall(run) for run in runs}
+        words = list({w for found in parts.values() for w in found if w not in packed})
+        inner, last = self.inner, self.last
         lists = self.merge(
-            [[*(self.inner[b] for b in r[:-1]), self.last[r[-1]]] for r in raw]
+            [[*map(inner.__getitem__, r[:-1]), last[r[-1]]] for r in map(str.encode, words)]
         )
-        packed = {
-            w: np.array(ids, dtype="<u4").tobytes() for w, ids in zip(words, lists, strict=True)
-        }
-        for chunk, found in parts.items():
-            self.kept[chunk] = b"".join([packed[w] for w in found])
+        flat = np.array([i for ids in lists for i in ids], dtype="<u4").tobytes()
+        at = 0
+        for word, ids in zip(words, lists, strict=True):
+            packed[word] = flat[at:at + 4 * len(ids)]
+            at += 4 * len(ids)
+        for run, found in parts.items():
+            self.kept[run] = (
+                packed[found[0]] if len(found) == 1 else b"".join([packed[w] for w in found])
+            )
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -169,22 +179,17 @@ class Encoder:
                 if i % 2:
                     pieces.append(self.special[piece].to_bytes(4, "little"))
                 else:
-                    pieces.append(self._normal(piece).split(" "))
+                    pieces.append(self._runs(piece))
             cut.append(pieces)
-        kept = self.kept
-        new = {c for p in cut for x in p if not isinstance(x, bytes) for c in x if c not in kept}
+        used = {run for p in cut for x in p if not isinstance(x, bytes) for run in x}
+        if len(self.kept) > self.kept_words:
+            self.kept.clear()
+        new = used.difference(self.kept)
         if new:
-            held = len(kept)
             self._learn(new)
-            if len(kept) < held + len(new):  # the store was emptied: learn all of these texts
-                self._learn({
-                    c for p in cut for x in p if not isinstance(x, bytes) for c in x
-                    if c not in kept
-                })
+        kept = self.kept.__getitem__
         return [
-            b"".join([
-                x if isinstance(x, bytes) else b"".join(map(kept.__getitem__, x)) for x in pieces
-            ])
+            b"".join([x if isinstance(x, bytes) else b"".join(map(kept, x)) for x in pieces])
             for pieces in cut
         ]
 
@@ -207,12 +212,15 @@ def encode(
     ``ids`` (binary, packed), ``n_tokens``, ``decoded``, ``ids_sha256``, ``decoded_sha256``."""
     outputs = outputs or {"ids": "binary", "n_tokens": "bigint"}
     spark = docs.sparkSession
-    vocabulary = spark.sparkContext.broadcast(tuple(read_vocabulary(path)))
+    shared = spark.sparkContext.broadcast((*read_vocabulary(path), {}))
 
     def make():
         import hashlib
 
-        coder = Encoder(Vocabulary(*vocabulary.value), kept_words)
+        *vocabulary, here = shared.value  # the last is a store of this worker's own
+        coder = here.get("coder") or here.setdefault(
+            "coder", Encoder(Vocabulary(*vocabulary), kept_words)
+        )
 
         def step(columns):
             packed = coder.encode(columns["text"])
@@ -236,7 +244,7 @@ def encode(
         return step
 
     schema = ", ".join(f"`{n}` {t}" for n, t in {**keep, **outputs}.items())
-    return in_batches(docs.select(*dict.fromkeys([*keep, "text"])), make, schema, slice_rows=500)
+    return in_batches(docs.select(*dict.fromkeys([*keep, "text"])), make, schema, slice_rows=2000)
 
 
 def decode(rows: DataFrame, path: str, keep: dict[str, str]) -> DataFrame:
