@@ -7,11 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, secret_scan, simhash, toxicity
+from . import (
+    bpe,
+    decontaminate,
+    pii,
+    quality_fm,
+    quality_rules,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    tool_calls,
+    toxicity,
+)
 from .learning import fold
 from .tables import table
 
 TOXIC_FROM = 0.7
+GOOD_FROM = 0.3
 
 
 def vocabulary_path() -> str:
@@ -33,6 +45,37 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def linked_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calls and results that the turns of all conversations give."""
+    messages = tool_calls.messages_from(table(spark, sf_dir, "conversations"))
+    return tool_calls.link(messages, tool_calls.SCHEMAS)
+
+
+def rule_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_fm.fit(docs, labels)
+    return quality_fm.score(docs, model, {"doc_id": "bigint"}).select(
+        "doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"),
+    )
+
+
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), {
+        "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string",
+    })
+
+
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item it holds."""
     return decontaminate.findings(
@@ -53,9 +96,14 @@ def bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secrets,
+    "op2_chat_tool_calls": linked_tool_calls,
     "op3_toxicity": toxicity_scores,
+    "op4_quality_rules": rule_verdicts,
+    "op5_quality_classifier": quality_scores,
+    "op6_suffix_dedup": repeated_bytes,
     "op7_decontamination": benchmark_passages,
     "op8_simhash_near_dedup": simhash_classes,
+    "op9_pii": personal_data,
     "op10_bpe": bpe_digests,
 }
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stayline.session import shared_dir
 
 # The characters that separate words in all contracts: space and \x09 to \x0D.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE = "\\x20\\x09-\\x0D"
 
 
@@ -21,11 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in the folder all executors share.
 
-    It cuts the lineage: a lost executor costs its running tasks only.
+    It cuts the lineage: a lost executor costs its running tasks only. The shuffle files
+    behind it are of no further use and go as soon as the table stands.
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
