@@ -74,36 +74,39 @@ def shorten(value: Column, width: int) -> Column:
     ).otherwise(value)
 
 
-MASK_BITS = 63
+MASK_BITS = 63  # values in one mask word; a longer domain takes several words
 
 
-def domain_mask(value: Column, domain: tuple[str, ...], closed: bool = False) -> Column:
-    """One bit per value of a fixed domain; 0 for any other value.
+def _mask_words(domain: tuple[str, ...]) -> list[tuple[str, ...]]:
+    return [domain[i:i + MASK_BITS] for i in range(0, len(domain), MASK_BITS)]
 
-    OR-ing these aggregates sets of values in a plain number, several times
+
+def domain_masks(value: Column, domain: tuple[str, ...], closed: bool = False) -> list[Column]:
+    """One bit per value of a fixed domain, in as many words as it needs; 0 for any other value.
+
+    OR-ing these aggregates sets of values in plain numbers, several times
     faster than collecting them. With ``closed`` another value fails the job.
     """
     none = F.lit(0).cast("bigint")
-    chain = F.when(value.isNull(), none)
-    for bit, name in enumerate(domain[:MASK_BITS]):
-        chain = chain.when(value == name, F.lit(1 << bit).cast("bigint"))
-    if closed:
-        return chain.otherwise(
-            F.raise_error(F.concat(F.lit("value outside the closed domain: "), value))
-            .cast("bigint")
-        )
-    return chain.otherwise(none)
-
-
-def in_mask(value: Column, domain: tuple[str, ...]) -> Column:
-    return value.isin(*domain[:MASK_BITS])
-
-
-def masked_values(mask: Column, domain: tuple[str, ...]) -> Column:
+    masks = []
+    for word in _mask_words(domain):
+        chain = F.when(value.isNull(), none)
+        for bit, name in enumerate(word):
+            chain = chain.when(value == name, F.lit(1 << bit).cast("bigint"))
+        if closed and not masks:
+            chain = chain.when(~value.isin(*domain), F.raise_error(
+                F.concat(F.lit("value outside the closed domain: "), value)
+            ).cast("bigint"))
+        masks.append(chain.otherwise(none))
+    return masks
+
+
+def masked_values(masks: list[Column], domain: tuple[str, ...]) -> Column:
     """The values whose bits are set."""
     values = [
         F.when(mask.bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0, name)
-        for bit, name in enumerate(domain[:MASK_BITS])
+        for mask, word in zip(masks, _mask_words(domain), strict=True)
+        for bit, name in enumerate(word)
     ]
     return F.array_except(F.array(*values), F.array(F.lit(None).cast("string")))
 

@@ -27,23 +27,18 @@ def user_detail_tickets(users: DataFrame, tickets: DataFrame) -> DataFrame:
     )
 
 
-BROADCAST_ROWS = 100_000  # an id and a number each: a few megabytes
+def _paged(rows: DataFrame, profile: DataFrame, part_key: str) -> DataFrame:
+    """Rows with their page: a hash of their own key deals those of large accounts.
 
-
-def _ticket_pages(scored: DataFrame, tickets: DataFrame, page_size: int) -> DataFrame:
-    """Tickets with their page; all but large accounts have page 0 only.
-
-    The large accounts are counted first. A few are broadcast, so tickets need
-    no shuffle for this; many are shuffled straight from the stored table, and
-    adaptive execution splits a hot account of such a join.
+    Small accounts have page 0 only, so just the large ones are joined. That
+    join is left to adaptive execution: few accounts are broadcast, many are
+    shuffled and a hot one is split.
     """
-    large = scored.where(F.col("total_tickets") > page_size).select("user_id", "pages")
-    if large.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        large = F.broadcast(large)
+    large = profile.where(F.col("pages") > 1).select("user_id", "pages")
     page = F.when(F.col("pages").isNull(), F.lit(0).cast("bigint")).otherwise(
-        stable_bucket(F.col("ticket_id"), F.col("pages"))
+        stable_bucket(F.col(part_key), F.col("pages"))
     )
-    return tickets.join(large, "user_id", "left").withColumn("page", page).drop("pages")
+    return rows.join(large, "user_id", "left").withColumn("page", page).drop("pages")
 
 
 def user_360(
@@ -52,32 +47,30 @@ def user_360(
 ) -> DataFrame:
     """Profile, reasons, features and tickets nested, in pages.
 
-    A user with up to ``page_size`` tickets is one row (page 0 of 1). The
-    tickets of a larger account are dealt by a hash of the ticket id into as
-    many pages as it needs, so nothing is left out and no row or task has to
-    hold an unbounded list. Features come once, on page 0. ``scored`` should be
-    a stored table: it is read more than once.
+    A user with up to ``page_size`` tickets and feature rows is one row (page 0
+    of 1). Those of a larger account are dealt by a hash of the ticket id or
+    the feature into as many pages as it needs, so nothing is left out and no
+    row or task has to hold an unbounded list; equal feature rows count once.
+    ``scored`` should be a stored table: it is read more than once.
     """
-    profile = scored.select(
+    used = usage.groupBy("user_id").agg(F.count("*").alias("usage_rows"))
+    pages_of = lambda count: F.ceil(F.coalesce(count, F.lit(0)) / page_size)
+    profile = scored.join(used, "user_id", "left").select(
         "user_id", "country", "plan", "mrr_usd", "score", "risk_level", "reasons",
         "total_tickets",
-        F.greatest(F.lit(1), F.ceil(F.col("total_tickets") / page_size)).cast("bigint")
-        .alias("pages"),
+        F.greatest(F.lit(1), pages_of(F.col("total_tickets")), pages_of(F.col("usage_rows")))
+        .cast("bigint").alias("pages"),
     )
-    # Equal rows collapse in a plain aggregate before lists are built.
+    # Shuffling on (user, page) spreads a large account over many tasks.
+    feature = F.struct("feature", "adoption_level", "days_since_use")
     features = (
-        user_detail_features(usage, as_of)
-        .select("user_id", "feature", "adoption_level", "days_since_use")
-        .distinct()
-        .groupBy("user_id")
-        .agg(F.sort_array(F.collect_list(
-            F.struct("feature", "adoption_level", "days_since_use"))).alias("features"))
-        .withColumn("page", F.lit(0).cast("bigint"))
+        _paged(user_detail_features(usage, as_of), profile, "feature")
+        .groupBy("user_id", "page")
+        .agg(F.sort_array(F.collect_set(feature)).alias("features"))
     )
-    # Shuffling on (user, page) spreads a large account over many tasks.
     ticket = F.struct("ticket_id", "category", "priority", "status", "created_date", "csat_score")
     pages = (
-        _ticket_pages(profile, tickets, page_size)
+        _paged(tickets, profile, "ticket_id")
         .repartition("user_id", "page")
         .groupBy("user_id", "page")
         .agg(F.sort_array(F.collect_list(ticket)).alias("tickets"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import json_text, stable_bucket
 
-ROWS_PER_BUCKET = 100_000
+ROWS_PER_BUCKET = 10_000
 
 
 def buckets_for(rows: int) -> int:
@@ -16,12 +16,16 @@ def buckets_for(rows: int) -> int:
     return max(1, math.ceil(rows / ROWS_PER_BUCKET))
 
 
-def agent_batches(users: DataFrame, batch_size: int = 20, buckets: int = 64) -> DataFrame:
+def agent_batches(
+    users: DataFrame, batch_size: int = 20, buckets: int | None = None
+) -> DataFrame:
     """Deals users into batches of at most ``batch_size``.
 
     User ids are unique and hashed, so the buckets are even and every task
-    numbers its own bucket; choose ``buckets`` by ``buckets_for(row count)``.
+    numbers its own bucket. Their number follows the row count, so ``users``
+    should be a stored table unless ``buckets`` is given.
     """
+    buckets = buckets_for(users.count()) if buckets is None else buckets
     bucket = stable_bucket(F.col("user_id"), buckets)
     order = Window.partitionBy("bucket").orderBy("user_id")
     return users.withColumn("bucket", bucket).withColumn(

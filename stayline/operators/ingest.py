@@ -11,6 +11,7 @@ from ..functions.columns import trim_all, with_computed
 from ..schemas import TABLE_RULES
 
 MALFORMED = "_malformed"
+WHOLE_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
 class Split(NamedTuple):
@@ -26,9 +27,15 @@ def usage_key() -> Column:
 def _staged(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Adds ``text_<c>`` (trimmed) and ``value_<c>`` (typed) for every column."""
     trimmed = with_computed(raw, {f"text_{c}": trim_all(F.col(c)) for c in schema.names})
+
+    def readable(field: T.StructField) -> Column:
+        text = F.col(f"text_{field.name}")
+        if isinstance(field.dataType, T.DateType):  # a cast alone reads 2025-02 as a day
+            return text.rlike(WHOLE_DATE)
+        return text != ""
+
     return with_computed(trimmed, {
-        f"value_{f.name}": F.when(F.col(f"text_{f.name}") != "", F.col(f"text_{f.name}"))
-        .try_cast(f.dataType)
+        f"value_{f.name}": F.when(readable(f), F.col(f"text_{f.name}")).try_cast(f.dataType)
         for f in schema.fields
     })
 
@@ -81,6 +88,25 @@ def split_rejects(raw: DataFrame, table: str) -> Split:
     return Split(_values(checked.where(clean), spec.schema), rejects)
 
 
+def split_duplicates(rows: DataFrame, table: str) -> Split:
+    """One row per primary key, and one reject for every key that repeats.
+
+    Of repeated rows the smallest stays. A key repeated endlessly collapses
+    map-side.
+    """
+    key = TABLE_RULES[table].primary_key
+    whole = F.struct(*rows.columns)
+    by_key = rows.groupBy(F.col(key).alias("_key")).agg(
+        F.min(whole).alias("row"), F.count("*").alias("n")
+    )
+    repeated = by_key.where("n > 1").select(
+        F.lit(table).alias("table_name"), F.col("_key").alias("row_key"),
+        F.lit(key).alias("column_name"), F.col("_key").alias("raw_value"),
+        F.lit("duplicate_key").alias("reason"),
+    )
+    return Split(by_key.select("row.*"), repeated)
+
+
 def split_orphans(children: DataFrame, users: DataFrame, table: str) -> Split:
     """Children load after users; rows of unknown users go to the rejects."""
     known = users.select("user_id")
@@ -95,44 +121,41 @@ def split_orphans(children: DataFrame, users: DataFrame, table: str) -> Split:
     return Split(children.join(known, "user_id", "left_semi").select(*children.columns), lost)
 
 
-def profile(df: DataFrame, rejects: DataFrame | None = None, exact: bool = False) -> DataFrame:
-    """Per column: rows, NULLs, distinct values, smallest and largest as text.
+def profile(
+    df: DataFrame, rejects: DataFrame | None = None, exact: list[str] | None = None
+) -> DataFrame:
+    """Per column: rows, NULLs, distinct values, smallest and largest value printed.
 
-    One pass with approximate distinct counts. ``exact`` counts the distinct
-    values truly, by a shuffle on (column, value) after a map-side count, so a
+    One pass with approximate distinct counts. The columns of ``exact`` are
+    counted truly, by a shuffle of their values after a map-side count, so a
     value that fills much of a column is no burden.
     """
     names = df.columns
+    stats = df.agg(F.count("*").alias("rows"), *[
+        F.struct(
+            F.count(F.when(F.col(c).isNull(), 1)), F.approx_count_distinct(c),
+            F.min(c).cast("string"), F.max(c).cast("string"),
+        ).alias(c) for c in names
+    ])
+    out = stats.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(c).alias("column_name"), F.col("rows"),
+            F.col(f"{c}.col1").alias("nulls"), F.col(f"{c}.col2").alias("distinct_values"),
+            F.col(f"{c}.col3").alias("min_value"), F.col(f"{c}.col4").alias("max_value"),
+        ) for c in names
+    ])))
     if exact:
         cells = df.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-            for c in names
+            for c in exact
         ])))
-        out = (
-            cells.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-            .groupBy("column_name").agg(
-                F.sum("n").alias("rows"),
-                F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
-                F.count("value").alias("distinct_values"),
-                F.min("value").alias("min_value"),
-                F.max("value").alias("max_value"),
-            )
+        true = cells.where("value IS NOT NULL").distinct().groupBy("column_name").agg(
+            F.count("*").alias("true_values")
         )
-    else:
-        text = lambda c: F.col(c).cast("string")
-        stats = df.agg(F.count("*").alias("rows"), *[
-            F.struct(
-                F.count(F.when(F.col(c).isNull(), 1)), F.approx_count_distinct(c),
-                F.min(text(c)), F.max(text(c)),
-            ).alias(c) for c in names
-        ])
-        out = stats.select(F.inline(F.array(*[
-            F.struct(
-                F.lit(c).alias("column_name"), F.col("rows"),
-                F.col(f"{c}.col1").alias("nulls"), F.col(f"{c}.col2").alias("distinct_values"),
-                F.col(f"{c}.col3").alias("min_value"), F.col(f"{c}.col4").alias("max_value"),
-            ) for c in names
-        ])))
+        counted = F.when(F.col("column_name").isin(*exact), F.coalesce("true_values", F.lit(0)))
+        out = out.join(true, "column_name", "left").withColumn(
+            "distinct_values", F.coalesce(counted, "distinct_values")
+        ).drop("true_values")
     if rejects is None:
         return out
     bad = rejects.groupBy("column_name").agg(F.count("*").alias("rejected"))

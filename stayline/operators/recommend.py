@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import is_at_risk, run_timestamp, with_computed
 from ..rules import AdviceRules
-from ..schemas import PLANS
 
 RECOMMENDATION_COLUMNS = (
     "user_id", "risk_level", "urgency", "recommendation", "reasoning", "created_at",
@@ -81,18 +80,13 @@ def feature_gap(facts: DataFrame, rules: AdviceRules = AdviceRules()) -> DataFra
 def feature_fit(facts: DataFrame, rules: AdviceRules = AdviceRules()) -> DataFrame:
     """Per plan, the features worth offering: enough of the plan's users adopted them.
 
-    At most one row per known plan, with at most one entry per catalogue
-    feature; only that bound allows the broadcast in ``with_offers``.
+    One row per plan present, with at most one entry per catalogue feature.
     """
     adopters = [
         F.count(F.when(F.array_contains("adopted", name), 1)).alias(f"f{i}")
         for i, name in enumerate(rules.catalogue)
     ]
-    per_plan = (
-        facts.where(F.col("plan").isin(*PLANS))
-        .groupBy("plan")
-        .agg(F.count("*").alias("plan_users"), *adopters)
-    )
+    per_plan = facts.groupBy("plan").agg(F.count("*").alias("plan_users"), *adopters)
     rated = F.array(*[
         F.struct(
             (-F.col(f"f{i}") / F.col("plan_users")).alias("order_key"),
@@ -112,10 +106,15 @@ def feature_fit(facts: DataFrame, rules: AdviceRules = AdviceRules()) -> DataFra
 def with_offers(
     facts: DataFrame, rules: AdviceRules = AdviceRules(), fit: DataFrame | None = None
 ) -> DataFrame:
-    """Adds ``offers``: unused features that suit the user's plan, best first."""
+    """Adds ``offers``: unused features that suit the user's plan, best first.
+
+    The join is left to adaptive execution, which broadcasts the few rows of
+    ``fit`` once it has seen how small they are. Pass ``fit`` made from a stored
+    table, or ``facts`` are computed twice.
+    """
     fit = feature_fit(facts, rules) if fit is None else fit
     none = F.array().cast("array<string>")
-    return facts.join(F.broadcast(fit), "plan", "left").withColumn(
+    return facts.join(fit, "plan", "left").withColumn(
         "offers", F.array_except(F.coalesce("fit_features", none), F.col("features"))
     )
 
@@ -168,10 +167,11 @@ def _steps_text(rules: AdviceRules) -> Column:
 
 
 def _reasoning_text() -> Column:
-    return F.concat(
-        F.lit("Riesgo "), F.col("risk_level"), F.lit(" con "), F.col("score").cast("string"),
-        F.lit(" puntos: "), F.col("reasons"), F.lit(". Plan "), F.col("plan"), F.lit(", MRR "),
-        F.col("mrr_usd").cast("string"), F.lit(" USD."),
+    """Unknown parts read as blank: the text itself is never NULL."""
+    return F.concat_ws(
+        "", F.lit("Riesgo "), F.col("risk_level"), F.lit(" con "),
+        F.col("score").cast("string"), F.lit(" puntos: "), F.col("reasons"), F.lit(". Plan "),
+        F.col("plan"), F.lit(", MRR "), F.col("mrr_usd").cast("string"), F.lit(" USD."),
     )
 
 

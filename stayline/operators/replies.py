@@ -13,6 +13,7 @@ from ..functions.columns import (
 )
 from ..rules import ScoringRules
 from ..schemas import AT_RISK_LEVELS, URGENCIES
+from ..session import written
 from .ingest import Split
 from .scoring import classify
 
@@ -53,16 +54,32 @@ def _fields(value: Column, names: tuple[str, ...]) -> Column:
 
 
 def _with_value(replies: DataFrame) -> DataFrame:
+    """Each reply once, however often it was delivered; ``reply_key`` tells apart different
+    texts under one id."""
+    once = replies.dropDuplicates(["reply_id", "raw"])
     value = _json_value(reply_text(F.col("raw")))
-    return with_computed(replies, {"value": value}).select("reply_id", "value")
+    return with_computed(once, {"value": value, "reply_key": F.xxhash64("raw")}).select(
+        "reply_id", "reply_key", "value"
+    )
+
+
+def _whole_number(text: Column) -> Column:
+    """JSON numbers such as 45, 45.0 or 4.5e1 as a whole number; NULL for any other."""
+    number = text.try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
+
 
+def read_scoring_replies(
+    replies: DataFrame, rules: ScoringRules = ScoringRules()
+) -> DataFrame:
+    """One row per element; ``reason`` tells what is wrong, NULL if nothing is.
 
-def read_scoring_replies(replies: DataFrame) -> DataFrame:
-    """One row per element; ``reason`` tells what is wrong, NULL if nothing is."""
+    An empty text is a fine reason: it is what a score of 0 has.
+    """
     value = F.col("value")
     is_array = value.startswith("[")
     rows = _with_value(replies).select(
-        "reply_id",
+        "reply_id", "reply_key",
         F.when(value.isNull(), "bad_json").when(~is_array, "not_array").alias("failure"),
         F.posexplode_outer(
             F.when(is_array, F.from_json(value, "array<string>", STRICT))
@@ -74,15 +91,17 @@ def read_scoring_replies(replies: DataFrame) -> DataFrame:
     parsed = with_computed(
         rows, {"f": F.when(element.startswith("{"), _fields(element, SCORING_FIELDS))}
     )
-    score = F.col("f.score").try_cast("bigint")
+    score = _whole_number(F.col("f.score"))
+    incomplete = _incomplete("f", ("user_id", "score", "risk_level")) | F.col("f.reasons").isNull()
     reason = (
         F.when(F.col("failure").isNotNull(), F.col("failure"))
         .when(F.col("f").isNull(), "not_object")
-        .when(_incomplete("f", SCORING_FIELDS), "missing_field")
+        .when(incomplete, "missing_field")
         .when(score.isNull(), "bad_score")
+        .when(F.col("f.risk_level") != classify(score, rules), "level_mismatch")
     )
     return parsed.select(
-        "reply_id", "position", "f.user_id", score.alias("score"), "f.risk_level", "f.reasons",
+        "reply_id", "reply_key", "position", "f.user_id", score.alias("score"), "f.risk_level", "f.reasons",
         reason.alias("reason"),
     )
 
@@ -101,7 +120,7 @@ def _identity_checked(rows: DataFrame, users: DataFrame) -> DataFrame:
     map-side. They are joined back by their place, which is unique: no task
     meets all rows of one id.
     """
-    place = F.struct("reply_id", "position")
+    place = F.struct("reply_id", "reply_key", "position")
     first = (
         rows.where("reason IS NULL")
         .groupBy("user_id")
@@ -114,7 +133,7 @@ def _identity_checked(rows: DataFrame, users: DataFrame) -> DataFrame:
         F.when(F.col("known").isNull(), "repeated_user").when(~F.col("known"), "unknown_user"),
     )
     return (
-        rows.join(first, ["reply_id", "position"], "left")
+        rows.join(first, ["reply_id", "reply_key", "position"], "left")
         .withColumn("reason", reason).drop("known")
     )
 
@@ -129,10 +148,9 @@ def _split(rows: DataFrame, kind: str, columns: tuple[str, ...]) -> Split:
 def parse_scoring_replies(
     replies: DataFrame, users: DataFrame, rules: ScoringRules = ScoringRules()
 ) -> Split:
-    rows = _identity_checked(read_scoring_replies(replies), users)
-    off_band = F.when(F.col("risk_level") != classify(F.col("score"), rules), "level_mismatch")
-    rows = rows.withColumn("reason", F.coalesce("reason", off_band))
-    return _split(rows, "scoring", SCORING_FIELDS)
+    """Accepted rows and rejects. The replies are parsed once, into a written table."""
+    rows = written(read_scoring_replies(replies, rules), "parsed-scores")
+    return _split(_identity_checked(rows, users), "scoring", SCORING_FIELDS)
 
 
 def read_recommendation_replies(replies: DataFrame) -> DataFrame:
@@ -148,12 +166,15 @@ def read_recommendation_replies(replies: DataFrame) -> DataFrame:
         .when(~F.col("f.risk_level").isin(*AT_RISK_LEVELS), "bad_risk_level")
         .when(~F.col("f.urgency").isin(*URGENCIES), "bad_urgency")
     )
-    return parsed.select("reply_id", F.lit(0).alias("position"), "f.*", reason.alias("reason"))
+    return parsed.select(
+        "reply_id", "reply_key", F.lit(0).alias("position"), "f.*", reason.alias("reason")
+    )
 
 
 def parse_recommendation_replies(replies: DataFrame, users: DataFrame) -> Split:
-    rows = _identity_checked(read_recommendation_replies(replies), users)
-    return _split(rows, "recommendation", RECOMMENDATION_FIELDS)
+    """Accepted rows and rejects. The replies are parsed once, into a written table."""
+    rows = written(read_recommendation_replies(replies), "parsed-advice")
+    return _split(_identity_checked(rows, users), "recommendation", RECOMMENDATION_FIELDS)
 
 
 def parse_report_reply(replies: DataFrame) -> DataFrame:

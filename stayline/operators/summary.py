@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import (
-    adoption_ordinal, days_between, domain_mask, in_mask, is_at_risk, is_open, is_urgent_open,
+    MASK_BITS,
+    adoption_ordinal, days_between, domain_masks, is_at_risk, is_open, is_urgent_open,
     joined_or_null, masked_values,
 )
 from ..rules import AdviceRules
@@ -52,16 +53,16 @@ def usage_by_user(
     rank, feature = F.col("adoption_rank"), F.col("feature")
     adopted = rank >= advice.adopted_from
     ranked = usage_with_ordinal(usage)
-    bit = domain_mask(feature, advice.catalogue, closed)
+    bits = domain_masks(feature, advice.catalogue, closed)
     main = ranked.groupBy("user_id").agg(
         F.max("last_used_date").alias("last_activity"),
         F.min(rank).alias("worst_adoption_level"),
         F.max(rank).alias("best_adoption_level"),
-        F.bit_or(bit).alias("feature_mask"),
-        F.bit_or(F.when(adopted, bit)).alias("adopted_mask"),
+        *_or_all("feature_mask", bits),
+        *_or_all("adopted_mask", [F.when(adopted, bit) for bit in bits]),
     )
     if not closed:
-        unlisted = ranked.where(~in_mask(feature, advice.catalogue)).groupBy("user_id").agg(
+        unlisted = ranked.where(~feature.isin(*advice.catalogue)).groupBy("user_id").agg(
             F.collect_set(feature).alias("more_features"),
             F.collect_set(F.when(adopted, feature)).alias("more_adopted"),
         )
@@ -70,12 +71,22 @@ def usage_by_user(
         "features": _values("feature_mask", "more_features", advice.catalogue, closed),
         "adopted": _values("adopted_mask", "more_adopted", advice.catalogue, closed),
         "days_since_last_activity": days_between(as_of, F.col("last_activity")),
-    }).drop("feature_mask", "adopted_mask", "more_features", "more_adopted")
+    }).drop(*_mask_names("feature_mask", advice.catalogue),
+            *_mask_names("adopted_mask", advice.catalogue), "more_features", "more_adopted")
+
+
+def _mask_names(name: str, domain: tuple[str, ...]) -> list[str]:
+    return [f"{name}_{i}" for i in range(-(-len(domain) // MASK_BITS))]
+
+
+def _or_all(name: str, bits: list[Column]) -> list[Column]:
+    return [F.bit_or(bit).alias(f"{name}_{i}") for i, bit in enumerate(bits)]
 
 
 def _values(mask: str, more: str, domain: tuple[str, ...], closed: bool) -> Column:
     """Listed values of the mask, plus unlisted ones if the user has any."""
-    listed = masked_values(F.coalesce(mask, F.lit(0).cast("bigint")), domain)
+    none = F.lit(0).cast("bigint")
+    listed = masked_values([F.coalesce(m, none) for m in _mask_names(mask, domain)], domain)
     if closed:
         return listed
     return F.when(F.col(more).isNull(), listed).otherwise(F.concat(listed, F.col(more)))
@@ -95,17 +106,17 @@ def tickets_by_user(tickets: DataFrame, closed: bool = False) -> DataFrame:
         count_if(is_open(status) & high).alias("open_high"),
         F.min("csat_score").alias("worst_csat"),
         F.round(F.avg("csat_score"), 1).alias("avg_csat"),
-        F.bit_or(domain_mask(category, CATEGORIES, closed)).alias("category_mask"),
+        *_or_all("category_mask", domain_masks(category, CATEGORIES, closed)),
     )
     if not closed:
-        unlisted = tickets.where(~in_mask(category, CATEGORIES)).groupBy("user_id").agg(
+        unlisted = tickets.where(~category.isin(*CATEGORIES)).groupBy("user_id").agg(
             F.collect_set(category).alias("more_categories")
         )
         main = main.join(unlisted, "user_id", "left")
     return main.withColumns({
         "open_other": F.col("open_tickets") - F.col("open_critical") - F.col("open_high"),
         "categories": _values("category_mask", "more_categories", CATEGORIES, closed),
-    }).drop("category_mask", "more_categories")
+    }).drop(*_mask_names("category_mask", CATEGORIES), "more_categories")
 
 
 def user_facts(

@@ -75,10 +75,30 @@ def run_analysis(
 
     doc = report.report_struct(cube_input, tickets, top)
     weekly = report.weekly_report(doc, as_of, run_id, run_ts)
-    reports = tables.write_run("weekly_reports", weekly, as_of)
+    reports = tables.write_run("weekly_reports", weekly, as_of, report=run_id)
     return RunTables(scores, recs, queue, digest, reports)
 
 
+def run_contents(run: RunTables) -> DataFrame:
+    """The stored rows of one run as ``table_name, row_key, content``."""
+    def rows(table: str, key: str, *fields: str) -> DataFrame:
+        content = F.concat_ws("|", *[F.col(f).cast("string") for f in fields])
+        return getattr(run, table).select(
+            F.lit(table).alias("table_name"), F.col(key).cast("string").alias("row_key"),
+            content.alias("content"),
+        )
+
+    return (
+        rows("churn_scores", "user_id", "score", "risk_level", "reasons")
+        .unionByName(rows("recommendations", "user_id", "risk_level", "urgency",
+                          "recommendation", "reasoning"))
+        .unionByName(rows("alert_queue", "user_id", "score", "urgency", "plan", "recommendation"))
+        .unionByName(rows("alert_digest", "date_text", "total", "headline"))
+        .unionByName(rows("weekly_reports", "report_date", "title", "executive_summary",
+                          "action_items"))
+    )
+
+
 def run_counts(run: RunTables) -> DataFrame:
     """Rows per result table of one run."""
     parts = [

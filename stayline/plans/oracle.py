@@ -22,18 +22,16 @@ def _select(exprs: dict[str, str]) -> str:
 
 
 CTES["users"] = (
-    f"{_select(testdata.USERS)} FROM customer JOIN nation ON c_nationkey = n_nationkey"
+    f"{_select(testdata.USERS)} FROM (SELECT c_custkey, c_nationkey, c_mktsegment FROM customer "
+    f"UNION ALL {_select(testdata.SUPPLIER_ACCOUNTS)} FROM supplier) "
+    "JOIN nation ON c_nationkey = n_nationkey"
 )
 CTES["feature_usage"] = (
     f"{_select(testdata.FEATURE_USAGE)} FROM (SELECT o_custkey, p_type, count(*) AS uses, "
     "max(l_shipdate) AS last_use FROM lineitem JOIN part ON l_partkey = p_partkey "
-    "JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey "
-    f"WHERE c_acctbal >= {testdata.SUSPENDED_BELOW} GROUP BY o_custkey, p_type)"
-)
-CTES["support_tickets"] = (
-    f"{_select(testdata.SUPPORT_TICKETS)} FROM orders "
-    f"WHERE o_totalprice >= {testdata.TICKET_FROM}"
+    "JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, p_type)"
 )
+CTES["support_tickets"] = f"{_select(testdata.SUPPORT_TICKETS)} FROM orders"
 CTES["raw_tickets"] = f"{_select(testdata.RAW_TICKETS)} FROM support_tickets"
 CTES["bad_users"] = f"{_select(testdata.FAULTY_USERS)} FROM users"
 CTES["bad_usage"] = f"{_select(testdata.FAULTY_USAGE)} FROM feature_usage"
@@ -227,14 +225,15 @@ _key_ctes("")
 _key_ctes("_old")
 CTES["batches"] = """
 SELECT *, (row_number() OVER (PARTITION BY bucket ORDER BY user_id) - 1) // 20 AS batch_no
-FROM (SELECT *, CAST(('0x' || substr(md5(user_id), 1, 7)) AS BIGINT) % 64 AS bucket
+FROM (SELECT *, CAST(('0x' || substr(md5(user_id), 1, 7)) AS BIGINT)
+                % (SELECT CAST(greatest(1, ceil(count(*) / 10000)) AS BIGINT) FROM scored) AS bucket
       FROM scored)"""
 CTES["scoring_elements"] = """
-SELECT format('{:04d}-{:06d}', bucket, batch_no) AS reply_id, (bucket + batch_no) % 7 AS style,
+SELECT format('{:04d}-{:06d}', bucket, batch_no) AS reply_id,
        CAST(row_number() OVER (PARTITION BY bucket, batch_no ORDER BY user_id) - 1 AS INTEGER)
            AS position,
        user_id, score, CASE WHEN score = 35 THEN 'alto' ELSE risk_level END AS risk_level,
-       CASE WHEN score <> 50 AND reasons <> '' THEN reasons END AS reasons
+       CASE WHEN score <> 50 THEN reasons END AS reasons
 FROM batches"""
 CTES["recommendation_elements"] = """
 SELECT concat(user_id, '-', copy) AS reply_id, copy, style,
@@ -275,7 +274,7 @@ check("load_feature_usage", "SELECT * FROM feature_usage")
 check("load_support_tickets", "SELECT * FROM support_tickets")
 _CLEAN = """
 SELECT nullif(trim(ticket_id), '') AS ticket_id, nullif(trim(user_id), '') AS user_id, category,
-       priority, channel, CAST(created_date AS DATE) AS created_date,
+       priority, channel, TRY_CAST(created_date AS DATE) AS created_date,
        TRY_CAST(nullif(trim(resolved_date), '') AS DATE) AS resolved_date, status,
        TRY_CAST(nullif(trim(resolution_hours), '') AS INTEGER) AS resolution_hours,
        TRY_CAST(nullif(trim(csat_score), '') AS INTEGER) AS csat_score
@@ -289,18 +288,46 @@ UNION ALL
 SELECT 'support_tickets', ticket_id, 'resolved_date', resolved_date, 'bad_value'
 FROM raw_tickets WHERE resolved_date = 'pendiente'
 UNION ALL
+SELECT 'support_tickets', ticket_id, 'created_date', created_date, 'bad_value'
+FROM raw_tickets WHERE length(created_date) < 10
+UNION ALL
 SELECT 'support_tickets', ticket_id, 'csat_score', csat_score, 'bad_value'
 FROM raw_tickets WHERE csat_score = 'n/a'"""
 check("ingest_rejects", "SELECT * FROM rejected")
 _COLUMNS = list(testdata.SUPPORT_TICKETS)
 CTES["accepted"] = f"""{_CLEAN}
-WHERE trim(user_id) <> '' AND resolved_date <> 'pendiente' AND csat_score <> 'n/a'"""
+WHERE trim(user_id) <> '' AND resolved_date <> 'pendiente' AND csat_score <> 'n/a'
+AND length(created_date) = 10"""
 check("ingest_profile", f"""
 SELECT p.*, (SELECT count(*) FROM rejected r WHERE r.column_name = p.column_name) AS rejected
 FROM ({' UNION ALL '.join(
     f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, "
-    f"count(DISTINCT {c}) AS distinct_values, min(CAST({c} AS VARCHAR)) AS min_value, "
-    f"max(CAST({c} AS VARCHAR)) AS max_value FROM accepted" for c in _COLUMNS)}) p""")
+    f"count(DISTINCT {c}) AS distinct_values, CAST(min({c}) AS VARCHAR) AS min_value, "
+    f"CAST(max({c}) AS VARCHAR) AS max_value FROM accepted" for c in _COLUMNS)}) p""")
+CTES["raw_bad"] = f"{_select(testdata.RAW_TICKETS)} FROM bad_tickets"
+CTES["raw_ok"] = """
+SELECT * FROM raw_bad WHERE trim(user_id) <> '' AND resolved_date <> 'pendiente'
+AND csat_score <> 'n/a' AND status IS NOT NULL AND length(created_date) = 10"""
+check("load_all_rejects", """
+SELECT 'support_tickets' AS table_name, ticket_id AS row_key, 'user_id' AS column_name,
+       'missing' AS reason FROM raw_bad WHERE trim(user_id) = ''
+UNION ALL SELECT 'support_tickets', ticket_id, 'status', 'missing' FROM raw_bad
+WHERE status IS NULL
+UNION ALL SELECT 'support_tickets', ticket_id, 'resolved_date', 'bad_value' FROM raw_bad
+WHERE resolved_date = 'pendiente'
+UNION ALL SELECT 'support_tickets', ticket_id, 'csat_score', 'bad_value' FROM raw_bad
+WHERE csat_score = 'n/a'
+UNION ALL SELECT 'support_tickets', ticket_id, 'created_date', 'bad_value' FROM raw_bad
+WHERE length(created_date) < 10
+UNION ALL SELECT 'users', user_id, 'user_id', 'duplicate_key' FROM users WHERE plan = 'Plus'
+UNION ALL SELECT 'support_tickets', ticket_id, 'ticket_id', 'duplicate_key' FROM raw_ok
+GROUP BY ticket_id HAVING count(*) > 1
+UNION ALL SELECT DISTINCT 'support_tickets', ticket_id, 'user_id', 'unknown_user' FROM raw_ok
+WHERE user_id NOT IN (SELECT user_id FROM users)
+UNION ALL SELECT 'users', '', '*', concat('loaded ', count(*)) FROM users
+UNION ALL SELECT 'feature_usage', '', '*', concat('loaded ', count(*)) FROM feature_usage
+UNION ALL SELECT 'support_tickets', '', '*', concat('loaded ', count(DISTINCT ticket_id))
+FROM raw_ok WHERE user_id IN (SELECT user_id FROM users)""")
 
 # Integrity rules
 check("dq_duplicate_keys", """
@@ -329,7 +356,14 @@ _REQUIRED = {
 check("dq_null_counts", " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{c}' AS column_name, "
     f"count(*) FILTER ({c} IS NULL) AS nulls FROM {cte}"
-    for name, (cte, names) in _REQUIRED.items() for c in names))
+    for name, (cte, names) in _REQUIRED.items() for c in names
+) + "".join(
+    f" UNION ALL SELECT 'weekly_reports', '{c}', count(*) FILTER ({sql} IS NULL) FROM weekly"
+    for c, sql in {
+        "report_date": "report_date", "title": "title", "executive_summary": "executive_summary",
+        "key_metrics": "total_analyzed", "top_risk_clients": "top_users",
+        "action_items": "action_items", "generated_by": "generated_by",
+    }.items()))
 
 
 def _bad_values(table: str, cte: str, column: str, condition: str) -> str:
@@ -545,7 +579,9 @@ check("report_key_metrics", "SELECT * FROM key_metrics", "mrr_at_risk")
 check("dashboard_kpis", """
 SELECT total_analyzed, high_risk, medium_risk, immediate_action FROM key_metrics""")
 check("weekly_report", "SELECT * FROM weekly", "mrr_at_risk")
-check("report_history", "SELECT * FROM weekly UNION ALL SELECT * FROM weekly_old", "mrr_at_risk")
+check("report_history", """
+SELECT * FROM weekly UNION ALL SELECT * REPLACE ('extra' AS run_id) FROM weekly
+UNION ALL SELECT * FROM weekly_old""", "mrr_at_risk")
 check("user_detail_features", f"""
 SELECT user_id, feature, adoption_level, adoption_rank,
        CAST(DATE '{AS_OF}' - last_used_date AS INTEGER) AS days_since_use FROM usage_rank""")
@@ -555,15 +591,17 @@ FROM users u JOIN support_tickets t ON t.user_id = u.user_id""")
 check("user_360", f"""
 SELECT s.user_id, CAST(page AS BIGINT) AS page, country, plan, mrr_usd, score, risk_level,
   reasons, total_tickets, pages,
-  CASE WHEN page = 0 THEN coalesce((SELECT string_agg(concat_ws(':', feature, adoption_level,
+  coalesce((SELECT string_agg(concat_ws(':', feature, adoption_level,
       DATE '{AS_OF}' - last_used_date), ',' ORDER BY feature)
-    FROM feature_usage f WHERE f.user_id = s.user_id), '') ELSE '' END AS features,
+    FROM feature_usage f WHERE f.user_id = s.user_id
+    AND CAST(('0x' || substr(md5(feature), 1, 7)) AS BIGINT) % s.pages = page), '') AS features,
   coalesce((SELECT string_agg(concat_ws(':', ticket_id, category, priority, status, created_date,
       csat_score), ',' ORDER BY ticket_id)
     FROM support_tickets t WHERE t.user_id = s.user_id
     AND CAST(('0x' || substr(md5(ticket_id), 1, 7)) AS BIGINT) % s.pages = page), '') AS tickets
 FROM (SELECT *, unnest(range(pages)) AS page
-      FROM (SELECT *, CAST(greatest(1, ceil(total_tickets / 4)) AS BIGINT) AS pages
+      FROM (SELECT *, CAST(greatest(1, ceil(total_tickets / 4), ceil(len(features) / 4))
+                           AS BIGINT) AS pages
             FROM scored)) s""", "mrr_usd")
 
 # Hand-off, replies, result tables
@@ -579,24 +617,25 @@ SELECT bucket, batch_no, count(*) AS users,
 FROM batches GROUP BY bucket, batch_no""")
 check("parse_scoring_replies", f"""
 SELECT reply_id, user_id, score, risk_level, reasons FROM scoring_elements
-WHERE style < 5 AND reasons IS NOT NULL AND NOT ({_DIFFERENT_LEVEL})""")
+WHERE reasons IS NOT NULL AND NOT ({_DIFFERENT_LEVEL})""")
 check("parse_recommendation_replies", """
 SELECT reply_id, user_id, risk_level, urgency, recommendation, reasoning
 FROM recommendation_elements
-WHERE style % 6 < 5 AND copy = 1 AND user_id NOT LIKE 'X%'""")
+WHERE copy = 1 AND user_id NOT LIKE 'X%'""")
 check("reply_rejects", f"""
-SELECT DISTINCT 'scoring' AS kind, reply_id, CAST(NULL AS INTEGER) AS position,
-       CAST(NULL AS VARCHAR) AS user_id, 'bad_json' AS reason
-FROM scoring_elements WHERE style >= 5
+SELECT DISTINCT 'scoring' AS kind, reply_id || '-cut' AS reply_id,
+       CAST(NULL AS INTEGER) AS position, CAST(NULL AS VARCHAR) AS user_id, 'bad_json' AS reason
+FROM scoring_elements
 UNION ALL
 SELECT 'scoring', reply_id, position, user_id,
        CASE WHEN reasons IS NULL THEN 'missing_field' ELSE 'level_mismatch' END
-FROM scoring_elements WHERE style < 5 AND (reasons IS NULL OR {_DIFFERENT_LEVEL})
+FROM scoring_elements WHERE reasons IS NULL OR {_DIFFERENT_LEVEL}
+UNION ALL
+SELECT 'recommendation', reply_id, 0, user_id,
+       CASE WHEN user_id LIKE 'X%' THEN 'unknown_user' ELSE 'repeated_user' END
+FROM recommendation_elements WHERE user_id LIKE 'X%' OR copy = 2
 UNION ALL
-SELECT 'recommendation', reply_id, 0, CASE WHEN style % 6 < 5 THEN user_id END,
-       CASE WHEN style % 6 = 5 THEN 'bad_json' WHEN user_id LIKE 'X%' THEN 'unknown_user'
-            ELSE 'repeated_user' END
-FROM recommendation_elements WHERE style % 6 = 5 OR user_id LIKE 'X%' OR copy = 2""")
+SELECT 'recommendation', reply_id || '-cut', 0, NULL, 'bad_json' FROM recommendation_elements""")
 check("parse_report_reply", """
 SELECT title, executive_summary,
        format('{{"total_analyzed":{},"high_risk":{}}}', total_analyzed, high_risk)
@@ -613,10 +652,51 @@ check("upsert_scores", """
 SELECT o.user_id, CASE WHEN n.risk_level = 'bajo' THEN o.score ELSE n.score END AS score,
        CASE WHEN n.risk_level = 'bajo' THEN o.risk_level ELSE n.risk_level END AS risk_level
 FROM scored_old o JOIN scored n ON n.user_id = o.user_id""")
-check("run_analysis", """
-SELECT 'churn_scores' AS table_name, count(*) AS n FROM scored
-UNION ALL SELECT 'recommendations', count(*) FROM recs
-UNION ALL SELECT 'alert_queue', count(*) FROM recs WHERE urgency = 'inmediata'
-UNION ALL SELECT 'alert_digest', count(DISTINCT urgency) FROM recs WHERE urgency = 'inmediata'
-UNION ALL SELECT 'weekly_reports', 1""")
+CTES["reply_scores"] = f"""
+SELECT user_id, score, risk_level, reasons FROM scoring_elements
+WHERE reasons IS NOT NULL AND NOT ({_DIFFERENT_LEVEL})"""
+CTES["reply_recs"] = """
+SELECT user_id, risk_level, urgency, recommendation, reasoning FROM recommendation_elements
+WHERE copy = 1 AND user_id NOT LIKE 'X%'"""
+CTES["reply_results"] = """
+SELECT s.user_id, s.score, s.risk_level, u.plan, u.mrr_usd, r.urgency, r.recommendation
+FROM reply_scores s JOIN users u ON u.user_id = s.user_id
+LEFT JOIN reply_recs r ON r.user_id = s.user_id"""
+CTES["reply_metrics"] = """
+SELECT count(*) AS total_analyzed, count(*) FILTER (risk_level = 'alto') AS high_risk,
+       count(*) FILTER (risk_level = 'medio') AS medium_risk,
+       count(*) FILTER (risk_level = 'bajo') AS low_risk,
+       count(*) FILTER (urgency = 'inmediata') AS immediate_action,
+       CAST(coalesce(sum(mrr_usd) FILTER (risk_level <> 'bajo'), 0) AS DECIMAL(20,2))
+           AS mrr_at_risk,
+       (SELECT critical_tickets_open FROM key_metrics) AS critical_tickets_open
+FROM reply_results"""
+
+
+def _run_contents(scores: str, recs: str, results: str, metrics: str) -> str:
+    return f"""
+SELECT 'churn_scores' AS table_name, user_id AS row_key,
+       concat_ws('|', score, risk_level, reasons) AS content FROM {scores}
+UNION ALL SELECT 'recommendations', user_id,
+       concat_ws('|', risk_level, urgency, recommendation, reasoning) FROM {recs}
+UNION ALL SELECT 'alert_queue', user_id, concat_ws('|', score, urgency, plan, recommendation)
+FROM {results} WHERE urgency = 'inmediata'
+UNION ALL SELECT 'alert_digest', 'lunes, 5 de noviembre de 2001',
+       concat(count(*), '|Se identificaron ', count(*), ' cliente',
+              CASE WHEN count(*) > 1 THEN 's' ELSE '' END, ' que requieren contacto inmediato')
+FROM {results} WHERE urgency = 'inmediata' HAVING count(*) > 0
+UNION ALL SELECT 'weekly_reports', '{AS_OF}',
+       concat('Reporte Semanal — ', high_risk, ' clientes en riesgo alto|', total_analyzed,
+              ' clientes analizados: ', high_risk, ' alto, ', medium_risk, ' medio, ', low_risk,
+              ' bajo. MRR en riesgo: ', mrr_at_risk, ' USD.|1. Contactar hoy a ',
+              immediate_action, ' clientes', chr(10), '2. Resolver ', critical_tickets_open,
+              ' tickets critical abiertos', chr(10), '3. Revisar ', medium_risk,
+              ' clientes en riesgo medio')
+FROM {metrics}"""
+
+
+check("run_analysis", _run_contents("scored", "recs", "recs", "key_metrics"))
+check("run_from_replies",
+      _run_contents("reply_scores", "reply_recs", "reply_results", "reply_metrics"))
+check("top_from_tables", "SELECT * FROM top10", "mrr_usd")
 check("stream_score_refresh", "SELECT user_id, score, risk_level FROM scored")

@@ -12,7 +12,7 @@ from ..operators import (
     alerts, dashboard, handoff, ingest, quality, recommend, replies, report, scoring, summary,
 )
 from ..schemas import SUPPORT_TICKETS
-from ..session import shared_dir
+from ..session import shared_dir, written
 from ..sources import csv_files, testdata
 from ..sources.tables import ResultTables, upsert
 from ..sources.testdata import AS_OF, Inputs
@@ -45,9 +45,9 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _facts(inputs: Inputs, as_of: dt.date = AS_OF, closed: bool = True) -> DataFrame:
-    """The derived tables hold listed features and categories only: closed domains."""
-    return summary.user_facts(*inputs, as_of, closed=closed)
+def _facts(inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
+    """The open form, which takes any feature and category: what a user gets by default."""
+    return summary.user_facts(*inputs, as_of)
 
 
 def _scored(inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
@@ -56,10 +56,7 @@ def _scored(inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
 
 def _stored_profiles(spark: SparkSession, inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
     """Scored users, written once: the steps behind read them several times."""
-    path = shared_dir(spark, "profiles")
-    scored = _scored(inputs, as_of)
-    scored.write.parquet(path)
-    return spark.read.schema(scored.schema).parquet(path)
+    return written(_scored(inputs, as_of), "profiles")
 
 
 def _advised(spark: SparkSession, inputs: Inputs, as_of: dt.date = AS_OF) -> DataFrame:
@@ -119,7 +116,28 @@ def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = testdata.raw_tickets(testdata.load(spark, sf_dir))
     accepted, rejects = ingest.split_rejects(raw, "support_tickets")
-    return ingest.profile(accepted, rejects, exact=True)
+    return ingest.profile(accepted, rejects, exact=accepted.columns)
+
+
+@query
+def load_all_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of all three files with every kind of fault: rejects and rows loaded."""
+    inputs = testdata.load(spark, sf_dir)
+    tickets = testdata.faulty(inputs).support_tickets.selectExpr(*testdata.columns(testdata.RAW_TICKETS))
+    loaded = csv_files.load_all(
+        spark, _as_csv(spark, inputs.users.unionAll(inputs.users.where("plan = 'Plus'"))),
+        _as_csv(spark, inputs.feature_usage), _as_csv(spark, tickets),
+    )
+    counts = [
+        df.agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("table_name"), F.lit("").alias("row_key"),
+            F.lit("*").alias("column_name"), F.concat(F.lit("loaded "), F.col("n")).alias("reason"),
+        ) for name, df in loaded._asdict().items() if name != "rejects"
+    ]
+    out = loaded.rejects.drop("raw_value")
+    for part in counts:
+        out = out.unionByName(part)
+    return out
 
 
 # Integrity rules -------------------------------------------------------------------
@@ -132,6 +150,7 @@ def _checked_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         **testdata.faulty(inputs)._asdict(),
         "churn_scores": scoring.churn_scores(advised),
         "recommendations": recommend.recommendations(advised),
+        "weekly_reports": report.weekly_report(_report(spark, inputs), AS_OF, "weekly", RUN_TS),
     }
 
 
@@ -219,7 +238,7 @@ def users_tickets_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def user_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.user_summary(*testdata.load(spark, sf_dir), AS_OF, closed=True)
+    return summary.user_summary(*testdata.load(spark, sf_dir), AS_OF)
 
 
 @query
@@ -327,7 +346,7 @@ def feature_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_gap_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recommend.feature_gap_ranked(_facts(testdata.load(spark, sf_dir)))
+    return recommend.feature_gap_ranked(written(_facts(testdata.load(spark, sf_dir)), "facts"))
 
 
 @query
@@ -493,14 +512,15 @@ def weekly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports of two run dates, stored and read back, latest first."""
+    """Reports of two run dates, two of them on one date, stored and read back, latest first."""
     inputs = testdata.load(spark, sf_dir)
     tables = ResultTables(spark, shared_dir(spark, "reports"))
-    for day in (EARLIER, AS_OF):
+    for day, names in ((EARLIER, ("weekly",)), (AS_OF, ("weekly", "extra", "extra"))):
         doc = _report(spark, inputs, day)
-        tables.write_run(
-            "weekly_reports", report.weekly_report(doc, day, "weekly", RUN_TS), day
-        )
+        for name in names:
+            tables.write_run(
+                "weekly_reports", report.weekly_report(doc, day, name, RUN_TS), day, report=name
+            )
     return _flat_report(report.report_history(tables.read("weekly_reports")))
 
 
@@ -544,13 +564,13 @@ def user_360(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agent_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored(testdata.load(spark, sf_dir))
-    return handoff.agent_batches(scored.select("user_id", "score", "risk_level"))
+    profiles = _stored_profiles(spark, testdata.load(spark, sf_dir))
+    return handoff.agent_batches(profiles.select("user_id", "score", "risk_level"))
 
 
 @query
 def agent_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _facts(testdata.load(spark, sf_dir))
+    facts = _stored_profiles(spark, testdata.load(spark, sf_dir))
     fields = [
         "user_id", "country", "plan", "days_since_last_activity", "worst_adoption_level",
         "features_list", "total_tickets", "open_tickets", "critical_open_tickets",
@@ -560,21 +580,31 @@ def agent_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wrapped(text: Column, style: Column) -> Column:
-    """Reply text in one of the envelope forms, chosen by ``style``."""
+    """Reply text in one of the five envelope forms, chosen by ``style``."""
     fenced = F.concat(F.lit("```json\n"), text, F.lit("\n```"))
+    style = F.pmod(style, F.lit(5))
     return (
         F.when(style == 0, text)
         .when(style == 1, F.concat(F.lit("\n  "), fenced, F.lit("  \n")))
         .when(style == 2, F.to_json(F.struct(F.struct(fenced.alias("content")).alias("message"))))
         .when(style == 3, F.to_json(F.struct(text.alias("text"))))
-        .when(style == 4, F.to_json(F.struct(F.array(F.struct(
+        .otherwise(F.to_json(F.struct(F.array(F.struct(
             F.array(F.struct(fenced.alias("text"))).alias("content"))).alias("output"))))
-        .otherwise(F.substring(text, 1, 40))  # cut off: not readable as JSON
     )
 
 
+def _with_damage(whole: DataFrame) -> DataFrame:
+    """Every whole reply, once more as delivered twice, and a copy whose end is lost."""
+    cut = whole.select(
+        F.concat("reply_id", F.lit("-cut")).alias("reply_id"),
+        F.substring("text", F.lit(1), F.length("text") - 1).alias("raw"),
+    )
+    raw = whole.select("reply_id", "raw")
+    return raw.unionByName(raw).unionByName(cut)
+
+
 def scoring_replies(scored: DataFrame) -> DataFrame:
-    """Canonical replies: one array per batch of users, two of every seven cut off."""
+    """Canonical replies: one array per batch of users, and damaged copies."""
     batches = handoff.agent_batches(
         scored.select("user_id", F.col("score").cast("string").alias("score"), "risk_level",
                       "reasons")
@@ -583,19 +613,19 @@ def scoring_replies(scored: DataFrame) -> DataFrame:
     level = F.when(F.col("score") == "35", "alto").otherwise(F.col("risk_level"))
     reasons = F.when(F.col("score") != "50", F.col("reasons"))
     entry = F.struct("user_id", "score", level.alias("risk_level"), reasons.alias("reasons"))
-    return (
+    return _with_damage(
         batches.groupBy("bucket", "batch_no")
         .agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("text"))
         .select(
             F.concat_ws("-", F.lpad(F.col("bucket").cast("string"), 4, "0"),
                         F.lpad(F.col("batch_no").cast("string"), 6, "0")).alias("reply_id"),
-            _wrapped(F.col("text"), (F.col("bucket") + F.col("batch_no")) % 7).alias("raw"),
+            "text", _wrapped(F.col("text"), F.col("bucket") + F.col("batch_no")).alias("raw"),
         )
     )
 
 
 def recommendation_replies(advised: DataFrame) -> DataFrame:
-    """One object per risky user; unknown, repeated and cut-off ones among them."""
+    """One object per risky user, unknown and repeated ones among them, and damaged copies."""
     recs = recommend.recommendations(advised)
     style = F.col("style")
     one = F.to_json(F.struct(
@@ -604,12 +634,12 @@ def recommendation_replies(advised: DataFrame) -> DataFrame:
         "risk_level", "urgency", "recommendation", "reasoning",
     ))
     copies = F.when(style == 2, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return (
+    return _with_damage(
         recs.withColumn("style", F.substring("user_id", -1, 1).cast("int"))
         .withColumn("copy", F.explode(copies))
         .select(
             F.concat_ws("-", "user_id", F.col("copy").cast("string")).alias("reply_id"),
-            _wrapped(one, style % 6).alias("raw"),
+            one.alias("text"), _wrapped(one, style).alias("raw"),
         )
     )
 
@@ -634,7 +664,7 @@ def _parsed_advice(spark: SparkSession, inputs: Inputs, profiles: DataFrame) ->
 @query
 def parse_scoring_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = testdata.load(spark, sf_dir)
-    return _parsed_scores(spark, inputs, _scored(inputs)).accepted
+    return _parsed_scores(spark, inputs, _stored_profiles(spark, inputs)).accepted
 
 
 @query
@@ -678,18 +708,42 @@ def insert_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def upsert_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Month-old scores, replaced for the users now at risk."""
+    """Month-old scores, replaced for the users now at risk; the changes hold old versions too."""
     inputs = testdata.load(spark, sf_dir)
     old = scoring.churn_scores(_scored(inputs, EARLIER))
-    changes = scoring.churn_scores(_scored(inputs)).where("risk_level <> 'bajo'")
-    return upsert(old, changes).select("user_id", "score", "risk_level")
+    new = scoring.churn_scores(_scored(inputs)).where("risk_level <> 'bajo'")
+    changes = new.withColumn("version", F.lit(2)).unionByName(old.withColumn("version", F.lit(1)))
+    return upsert(old, changes, version="version").select("user_id", "score", "risk_level")
 
 
 @query
 def run_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = ResultTables(spark, shared_dir(spark, "analysis"))
-    run = analysis.run_analysis(tables, *testdata.load(spark, sf_dir), AS_OF, closed=True)
-    return analysis.run_counts(run)
+    run = analysis.run_analysis(tables, *testdata.load(spark, sf_dir), AS_OF)
+    return analysis.run_contents(run)
+
+
+@query
+def run_from_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chained run on scores and advice that were parsed from replies."""
+    inputs = testdata.load(spark, sf_dir)
+    profiles = _stored_profiles(spark, inputs)
+    scores = _parsed_scores(spark, inputs, profiles).accepted
+    advice = _parsed_advice(spark, inputs, profiles).accepted
+    run = analysis.run_analysis(
+        ResultTables(spark, shared_dir(spark, "analysis")), *inputs, AS_OF,
+        scores=scores, recommendations=advice,
+    )
+    return analysis.run_contents(run)
+
+
+@query
+def top_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The riskiest clients by joining the stored scores and recommendations."""
+    inputs = testdata.load(spark, sf_dir)
+    tables = ResultTables(spark, shared_dir(spark, "analysis"))
+    run = analysis.run_analysis(tables, *inputs, AS_OF)
+    return report.top_risk_from_tables(run.churn_scores, inputs.users, run.recommendations)
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs count on. Everything else stays at the cluster's choice.
 SESSION_CONF = {
@@ -13,9 +13,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Distinct-list aggregates keep one small set per user; the default of 128
-    # keys per task would send nearly every task to the sorting fallback.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
@@ -35,6 +32,20 @@ def local_session(app: str = "stayline", cpus: str = "*", **conf: str) -> SparkS
     return spark
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """The settings the jobs count on, on a session that the cluster brought."""
+    for key, value in SESSION_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table on shared storage, for results that several steps read."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``.
 

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..operators.ingest import (
-    MALFORMED, Split, all_rejects, split_orphans, split_rejects, usage_key,
+    MALFORMED, Split, all_rejects, split_duplicates, split_orphans, split_rejects, usage_key,
 )
 from ..schemas import TABLE_RULES
 
@@ -58,15 +58,18 @@ class Loaded(NamedTuple):
 def load_all(
     spark: SparkSession, users_csv: str, usage_csv: str, tickets_csv: str
 ) -> Loaded:
-    """Users first, then both children, which must name a loaded user."""
+    """Users first, then both children, which must name a loaded user; keys load once."""
     users = load_users(spark, users_csv)
     usage = load_feature_usage(spark, usage_csv)
     tickets = load_support_tickets(spark, tickets_csv)
-    usage_fk = split_orphans(usage.accepted, users.accepted, "feature_usage")
-    tickets_fk = split_orphans(tickets.accepted, users.accepted, "support_tickets")
+    users_pk = split_duplicates(users.accepted, "users")
+    tickets_pk = split_duplicates(tickets.accepted, "support_tickets")
+    usage_fk = split_orphans(usage.accepted, users_pk.accepted, "feature_usage")
+    tickets_fk = split_orphans(tickets_pk.accepted, users_pk.accepted, "support_tickets")
     return Loaded(
-        users.accepted, usage_fk.accepted, tickets_fk.accepted,
+        users_pk.accepted, usage_fk.accepted, tickets_fk.accepted,
         all_rejects([
-            users.rejects, usage.rejects, tickets.rejects, usage_fk.rejects, tickets_fk.rejects,
+            users.rejects, usage.rejects, tickets.rejects, users_pk.rejects, tickets_pk.rejects,
+            usage_fk.rejects, tickets_fk.rejects,
         ]),
     )

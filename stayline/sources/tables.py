@@ -24,16 +24,27 @@ class ResultTables:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def write_run(self, table: str, df: DataFrame, run_date: dt.date) -> DataFrame:
-        """Replace the run's rows, then read them back: that cuts the lineage."""
+    def _run_path(self, table: str, run_date: dt.date, report: str | None) -> str:
+        path = f"{self.path(table)}/run_date={run_date.isoformat()}"
+        return path if report is None else f"{path}/report={report}"
+
+    def write_run(
+        self, table: str, df: DataFrame, run_date: dt.date, report: str | None = None
+    ) -> DataFrame:
+        """Replace the run's rows, then read them back: that cuts the lineage.
+
+        Reports are kept side by side: ``report`` names one of several of a date.
+        """
         writer = df.write.mode("overwrite")
         if table in PARTITION_BY:
             writer = writer.partitionBy(PARTITION_BY[table])
-        writer.parquet(f"{self.path(table)}/run_date={run_date.isoformat()}")
-        return self.read_run(table, df, run_date)
+        writer.parquet(self._run_path(table, run_date, report))
+        return self.read_run(table, df, run_date, report)
 
-    def read_run(self, table: str, like: DataFrame, run_date: dt.date) -> DataFrame:
-        path = f"{self.path(table)}/run_date={run_date.isoformat()}"
+    def read_run(
+        self, table: str, like: DataFrame, run_date: dt.date, report: str | None = None
+    ) -> DataFrame:
+        path = self._run_path(table, run_date, report)
         return self.spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
     def read(self, table: str) -> DataFrame:
@@ -41,13 +52,24 @@ class ResultTables:
         return self.spark.read.option("basePath", self.path(table)).parquet(self.path(table))
 
 
-def upsert(existing: DataFrame, changes: DataFrame, key: str = "user_id") -> DataFrame:
+def upsert(
+    existing: DataFrame, changes: DataFrame, key: str = "user_id", version: str | None = None
+) -> DataFrame:
     """``existing`` with the rows of ``changes`` in place of those of the same key.
 
-    Write the result to a new folder, never over the one being read.
+    Of several changes of one key the last by ``version`` counts, of equal ones
+    the largest row; a key repeated endlessly collapses map-side. Write the
+    result to a new folder, never over the one being read.
     """
-    kept = existing.join(changes.select(key), key, "left_anti")
-    return kept.select(*existing.columns).unionByName(changes.select(*existing.columns))
+    columns = existing.columns
+    row = F.struct(*columns)
+    order = F.struct(F.col(version), row) if version else row
+    last = (
+        changes.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, order).alias("row"))
+        .select("row.*")
+    )
+    kept = existing.join(last.select(key), key, "left_anti")
+    return kept.select(*columns).unionByName(last.select(*columns))
 
 
 def save_clustered(

@@ -1,8 +1,9 @@
 """The three input tables, derived from the order-style test tables.
 
 Each column is one SQL expression that Spark and the checking engine both run.
-Users are all customers, feature usage is all order lines of accounts that are
-not suspended, tickets are all orders from ``TICKET_FROM`` on.
+Users are all customers and all suppliers, feature usage is all order lines,
+tickets are all orders. Suppliers order nothing, so they are the users without
+features or tickets.
 """
 
 from __future__ import annotations
@@ -13,8 +14,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = dt.date(2001, 11, 5)
-SUSPENDED_BELOW = -800   # overdrawn accounts are locked out and use nothing
-TICKET_FROM = 400000     # orders this large go through support
+
+# Suppliers as accounts, in an id range of their own.
+SUPPLIER_ACCOUNTS = {
+    "c_custkey": "CAST(900000000 + s_suppkey AS BIGINT)",
+    "c_nationkey": "s_nationkey",
+    "c_mktsegment": "CASE s_suppkey % 5 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'FURNITURE' "
+                    "WHEN 2 THEN 'MACHINERY' WHEN 3 THEN 'AUTOMOBILE' ELSE 'HOUSEHOLD' END",
+}
 
 USERS = {
     "user_id": "concat('USR-', CAST(10000 + c_custkey AS STRING))",
@@ -74,7 +81,9 @@ RAW_TICKETS = {
     "category": "category",
     "priority": "priority",
     "channel": "channel",
-    "created_date": "CAST(created_date AS STRING)",
+    "created_date": "CASE WHEN channel = 'Email' AND category = 'Onboarding' "
+                    "AND priority = 'Low' THEN substr(CAST(created_date AS STRING), 1, 7) "
+                    "ELSE CAST(created_date AS STRING) END",
     "resolved_date": "CASE WHEN resolved_date IS NULL THEN '' "
                      "WHEN channel = 'Phone' AND csat_score = 1 THEN 'pendiente' "
                      "ELSE CAST(resolved_date AS STRING) END",
@@ -148,11 +157,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Inputs:
-    customer = _table(spark, sf_dir, "customer")
+    accounts = _table(spark, sf_dir, "customer").select(*SUPPLIER_ACCOUNTS).union(
+        _table(spark, sf_dir, "supplier").selectExpr(*columns(SUPPLIER_ACCOUNTS))
+    )
     nation = _table(spark, sf_dir, "nation")
     orders = _table(spark, sf_dir, "orders")
-    active = customer.where(f"c_acctbal >= {SUSPENDED_BELOW}").select("c_custkey")
-    users = customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+    users = accounts.join(nation, accounts.c_nationkey == nation.n_nationkey).selectExpr(
         *columns(USERS)
     )
     usage = (
@@ -163,13 +173,9 @@ def load(spark: SparkSession, sf_dir: str) -> Inputs:
         .groupBy("o_custkey", "p_type")
         .agg({"*": "count", "l_shipdate": "max"})
         .withColumnsRenamed({"count(1)": "uses", "max(l_shipdate)": "last_use"})
-        .join(active.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left_semi")
         .selectExpr(*columns(FEATURE_USAGE))
     )
-    tickets = orders.where(f"o_totalprice >= {TICKET_FROM}").selectExpr(
-        *columns(SUPPORT_TICKETS)
-    )
-    return Inputs(users, usage, tickets)
+    return Inputs(users, usage, orders.selectExpr(*columns(SUPPORT_TICKETS)))
 
 
 def raw_tickets(inputs: Inputs) -> DataFrame:

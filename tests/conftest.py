@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     yield session

@@ -86,11 +86,36 @@ def test_profile(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", 3)], "k string, v int")
     rejects = spark.createDataFrame([("v",), ("v",)], "column_name string")
     want = {"k": (3, 0, 2, "a", "b", 0), "v": (3, 1, 2, "1", "3", 2)}
-    for exact in (True, False):
+    for exact in (["k", "v"], None):
         got = ingest.profile(df, rejects, exact=exact).collect()
         assert {r.column_name: tuple(r)[1:] for r in got} == want
 
 
+def test_profile_orders_numbers_as_numbers(spark):
+    df = spark.createDataFrame([(9,), (10,), (335,)], "v int")
+    row = ingest.profile(df).first()
+    assert (row.min_value, row.max_value) == ("9", "335")
+
+
+def test_partial_dates_are_bad_values(spark):
+    raw = spark.createDataFrame(
+        [("u", "f", "used_1x", d) for d in ("2025", "2025-02", "2025-02-03", "2025-02-30")],
+        "user_id string, feature string, adoption_level string, last_used_date string")
+    split = ingest.split_rejects(raw, "feature_usage")
+    assert [str(r.last_used_date) for r in split.accepted.collect()] == ["2025-02-03"]
+    assert {r.raw_value for r in split.rejects.collect()} == {"2025", "2025-02", "2025-02-30"}
+
+
+def test_repeated_keys_load_once(spark, make):
+    rows = make.users(dict(user_id="a", plan="Pro"), dict(user_id="a", plan="Plus"),
+                      dict(user_id="b"), dict(user_id="b"), dict(user_id="c"))
+    split = ingest.split_duplicates(rows, "users")
+    assert sorted((r.user_id, r.plan) for r in split.accepted.collect()) == [
+        ("a", "Plus"), ("b", "Pro"), ("c", "Pro")]
+    assert sorted((r.row_key, r.reason) for r in split.rejects.collect()) == [
+        ("a", "duplicate_key"), ("b", "duplicate_key")]
+
+
 def test_header_in_another_order_fails_loudly(spark, tmp_path):
     lines = USAGE_CSV.splitlines()
     lines[0] = "feature,user_id,adoption_level,last_used_date"

@@ -136,3 +136,33 @@ def test_one_id_in_a_third_of_all_replies(spark):
     # USR-1 comes 201 times: 200 copies plus its own entry, one of which is first.
     assert reasons.count("repeated_user") == 200
     assert reasons.count("unknown_user") == len([i for i in range(500, 600) if i % 3])
+
+
+def test_no_reasons_is_no_fault(spark):
+    text = json.dumps([dict(GOOD, score=0, risk_level="bajo", reasons="")])
+    out = replies.parse_scoring_replies(rows_for(spark, [text]), users(spark))
+    assert [(r.score, r.reasons) for r in out.accepted.collect()] == [(0, "")]
+
+
+def test_a_bad_row_does_not_block_a_later_good_one(spark):
+    texts = [json.dumps([dict(GOOD, risk_level="alto")]), json.dumps([GOOD])]
+    out = replies.parse_scoring_replies(rows_for(spark, texts), users(spark))
+    assert [r.reply_id for r in out.accepted.collect()] == ["r01"]
+    assert [r.reason for r in out.rejects.collect()] == ["level_mismatch"]
+
+
+def test_redelivered_replies_count_once(spark):
+    text, other = json.dumps([GOOD]), json.dumps([dict(GOOD, reasons="other")])
+    twice = spark.createDataFrame([("r", text), ("r", text), ("r", other)], "reply_id string, raw string")
+    out = replies.parse_scoring_replies(twice, users(spark))
+    assert out.accepted.count() == 1
+    assert [r.reason for r in out.rejects.collect()] == ["repeated_user"]
+
+
+def test_whole_numbers_in_any_form(spark):
+    scores = ["45", "45.0", "4.5e1", "45.5", "many"]
+    texts = [json.dumps([dict(GOOD, user_id=f"USR-{i}", score="S")]).replace('"S"', s if s != "many" else '"many"')
+             for i, s in enumerate(scores)]
+    out = replies.parse_scoring_replies(rows_for(spark, texts), users(spark))
+    assert sorted((r.user_id, r.score) for r in out.accepted.collect()) == [(f"USR-{i}", 45) for i in range(3)]
+    assert [r.reason for r in out.rejects.collect()] == ["bad_score"] * 2

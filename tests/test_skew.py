@@ -35,10 +35,7 @@ def test_scores_of_the_hot_account(hot):
     assert scored.agg(F.sum("total_tickets")).first()[0] == N
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_user_document_pages(spark, hot, monkeypatch, few):
-    if not few:
-        monkeypatch.setattr(dashboard, "BROADCAST_ROWS", 0)
+def test_user_document_pages(hot):
     users, usage, tickets = hot
     scored = scoring.score_users(summary.user_facts(users, usage, tickets, AS_OF))
     pages = dashboard.user_360(scored, usage, tickets, AS_OF, page_size=200).cache()

@@ -130,3 +130,13 @@ def test_detail_holds_risky_users_only(spark, make):
     assert len(detail.columns) == 21 and "original_churn_score" not in detail.columns
     assert [(r.user_id, r.score) for r in summary.by_score(detail).collect()] == [
         ("U2", 75), ("U1", 50)]
+
+
+def test_domains_of_more_values_than_a_mask_word(make):
+    from stayline.rules import AdviceRules
+
+    names = tuple(f"f{i:03d}" for i in range(130))
+    usage = make.usage(*[dict(user_id="a", feature=n) for n in (names[0], names[63], names[129])])
+    for closed in (True, False):
+        row = summary.usage_by_user(usage, AS_OF, AdviceRules(catalogue=names), closed).first()
+        assert sorted(row.features) == ["f000", "f063", "f129"]

@@ -33,6 +33,25 @@ def test_upsert(spark):
     assert by_user(upsert(merged, new), "score") == by_user(merged, "score")
 
 
+def test_upsert_takes_the_last_change_of_a_key(spark):
+    from pyspark.sql import functions as F
+
+    old = scores(spark, ("a", 1, "bajo"))
+    first, last = scores(spark, ("a", 3, "bajo")), scores(spark, ("a", 2, "bajo"), ("a", 2, "bajo"))
+    changes = first.withColumn("v", F.lit(1)).unionByName(last.withColumn("v", F.lit(2)))
+    assert [r.score for r in upsert(old, changes, version="v").collect()] == [2]
+    assert [r.score for r in upsert(old, first.unionByName(last)).collect()] == [3]
+
+
+def test_reports_of_one_date_are_kept_side_by_side(spark, tmp_path):
+    tables = ResultTables(spark, str(tmp_path))
+    day = dt.date(2025, 1, 6)
+    for name, score in (("weekly", 1), ("extra", 2), ("extra", 3)):
+        tables.write_run("weekly_reports", scores(spark, ("a", score, "x")), day, report=name)
+    assert sorted((r.report, r.score) for r in tables.read("weekly_reports").collect()) == [
+        ("extra", 3), ("weekly", 1)]
+
+
 def test_chained_run_twice(spark, make, tmp_path):
     users = make.users(dict(user_id="a"), dict(user_id="b", plan="Free", mrr_usd=0))
     usage = make.usage(dict(user_id="a", last_used_date=AS_OF - dt.timedelta(days=100)))
