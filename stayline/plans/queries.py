@@ -11,7 +11,7 @@ from ..functions.columns import is_open, is_urgent_open
 from ..operators import (
     alerts, dashboard, handoff, ingest, quality, recommend, replies, report, scoring, summary,
 )
-from ..schemas import SUPPORT_TICKETS
+from ..schemas import SUPPORT_TICKETS, USERS
 from ..session import shared_dir, written
 from ..sources import csv_files, testdata
 from ..sources.tables import ResultTables, upsert
@@ -748,7 +748,8 @@ def top_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_score_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Old tickets as they were when opened, then all tickets arrive as a stream."""
+    """Old tickets as they were when opened, then all tickets arrive as a stream, and users
+    whose plan has changed since."""
     inputs = testdata.load(spark, sf_dir)
     root = shared_dir(spark, "stream")
     schema = SUPPORT_TICKETS
@@ -764,10 +765,14 @@ def stream_score_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         "csat_score": F.lit(None).cast("int"),
     })
     refresh = ScoreRefresh(spark, f"{root}/state", AS_OF, buckets=8)
-    refresh.seed(inputs.users, inputs.feature_usage, as_opened)
+    moved = inputs.users.withColumn("plan", F.when(F.col("plan") == "Plus", "Free").otherwise(F.col("plan")))
+    refresh.seed(moved, inputs.feature_usage, as_opened)
+    inputs.users.write.parquet(f"{root}/users")
     incoming = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", 4)
         .option("recursiveFileLookup", True).parquet(f"{root}/incoming")
     )
-    refresh.start(change_stream(tickets=incoming), f"{root}/checkpoint").awaitTermination()
+    people = spark.readStream.schema(USERS).parquet(f"{root}/users")
+    changes = change_stream(tickets=incoming, users=people)
+    refresh.start(changes, f"{root}/checkpoint").awaitTermination()
     return refresh.current_scores().select("user_id", "score", "risk_level")

@@ -1,10 +1,15 @@
-"""Live refresh: new tickets and feature use update the scores of touched users.
-
-History sits in folders by batch and user bucket. A micro-batch stores its
-rows, reads only the buckets of the users it touches, rescores those users and
-stores their scores. Each batch owns its folders and replaces them when it is
-retried, so a lost executor or a restarted query changes nothing. No streaming
-state is held: its size follows the batch, not the history.
+"""Live refresh: changed users, tickets and feature use update the scores of touched users.
+
+History sits in folders by batch and user bucket, each file sorted by user. A
+micro-batch stores its rows, reads only the buckets of the users it touches,
+rescores those users and stores their scores. Each batch owns its folders and
+replaces them when it is retried, so a lost executor or a restarted query
+changes nothing. No streaming state is held: its size follows the batch, not
+the history. ``buckets`` bounds what a touched user costs; choose it so that a
+bucket holds about as many users as a batch touches (``buckets_for``).
+
+Rows of users that are not known yet are stored and named in the batch's
+rejects; when the user arrives, they count.
 """
 
 from __future__ import annotations
@@ -21,15 +26,37 @@ from ..rules import ScoringRules
 from ..schemas import CHURN_SCORES, FEATURE_USAGE, STATUSES, SUPPORT_TICKETS, USERS
 
 SEED = -1  # batch number of the rows that were there before the stream
-KEYS = {"support_tickets": ["ticket_id"], "feature_usage": ["user_id", "feature"]}
+KEYS = {
+    "users": ["user_id"], "support_tickets": ["ticket_id"],
+    "feature_usage": ["user_id", "feature"],
+}
+VERSION = "version"  # order of changes in their source, such as an offset or a time in ms
+USERS_PER_BUCKET = 1000
 SCHEMAS = {"users": USERS, "support_tickets": SUPPORT_TICKETS, "feature_usage": FEATURE_USAGE}
 
 
-def change_stream(tickets: DataFrame | None = None, usage: DataFrame | None = None) -> DataFrame:
-    """One stream of both kinds of change, so that one query orders its batches."""
+def buckets_for(users: int) -> int:
+    return max(1, -(-users // USERS_PER_BUCKET))
+
+
+def change_stream(
+    tickets: DataFrame | None = None, usage: DataFrame | None = None,
+    users: DataFrame | None = None,
+) -> DataFrame:
+    """One stream of all kinds of change, so that one query orders its batches.
+
+    A ``version`` column (bigint) orders the changes of one batch; without one
+    the more advanced of two versions is taken to be the later.
+    """
     parts = [
-        df.select(F.lit(kind).alias("kind"), F.struct(*SCHEMAS[kind].names).alias(kind))
-        for kind, df in (("support_tickets", tickets), ("feature_usage", usage)) if df is not None
+        df.select(
+            F.lit(kind).alias("kind"), F.struct(*SCHEMAS[kind].names).alias(kind),
+            (F.col(VERSION) if VERSION in df.columns else F.lit(None)).cast("bigint")
+            .alias(VERSION),
+        )
+        for kind, df in (
+            ("support_tickets", tickets), ("feature_usage", usage), ("users", users)
+        ) if df is not None
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -38,7 +65,9 @@ def change_stream(tickets: DataFrame | None = None, usage: DataFrame | None = No
 
 
 def _progress(table: str) -> Column:
-    """Between versions of one batch the more advanced one wins."""
+    """Between unnumbered changes of one batch the more advanced one wins."""
+    if table == "users":
+        return F.struct("signup_date")
     if table == "feature_usage":
         return F.struct("last_used_date", adoption_ordinal(F.col("adoption_level")))
     rank = F.lit(0)
@@ -50,8 +79,8 @@ def _progress(table: str) -> Column:
 def latest(rows: DataFrame, table: str) -> DataFrame:
     """Last version per key; copies of one key collapse before the shuffle."""
     version = F.struct(
-        F.col("batch_id"), _progress(table).alias("progress"),
-        F.struct(*SCHEMAS[table].names).alias("row"),
+        F.col("batch_id"), F.col(VERSION), _progress(table).alias("progress"),
+        F.struct(*SCHEMAS[table].names, VERSION).alias("row"),
     )
     return (
         rows.groupBy(*[F.col(k).alias(f"_{k}") for k in KEYS[table]])
@@ -75,13 +104,14 @@ class ScoreRefresh:
         (
             df.withColumn("bucket", bucket)
             .hint("rebalance", "bucket")  # few files per folder, large folders split
+            .sortWithinPartitions("bucket", "user_id")
             .write.mode("overwrite").partitionBy("bucket")
             .parquet(f"{self.root}/{table}/batch_id={batch_id}")
         )
 
     def _read(self, table: str, upto: int, buckets: list[int] | None = None) -> DataFrame:
         schema = T.StructType([
-            *SCHEMAS[table].fields,
+            *SCHEMAS[table].fields, T.StructField(VERSION, T.LongType()),
             T.StructField("batch_id", T.IntegerType()), T.StructField("bucket", T.IntegerType()),
         ])
         rows = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
@@ -99,9 +129,10 @@ class ScoreRefresh:
         for table, df in (
             ("users", users), ("feature_usage", usage), ("support_tickets", tickets)
         ):
-            self._write(table, df.select(*SCHEMAS[table].names), SEED)
+            numbered = df.select(*SCHEMAS[table].names, F.lit(None).cast("bigint").alias(VERSION))
+            self._write(table, numbered, SEED)
         stored = [
-            self._read(t, SEED).drop("batch_id", "bucket")
+            self._read(t, SEED).select(*SCHEMAS[t].names)
             for t in ("users", "feature_usage", "support_tickets")
         ]
         self._score(*stored, SEED)
@@ -112,7 +143,7 @@ class ScoreRefresh:
         for table in KEYS:
             if table not in changes.columns:
                 continue
-            rows = changes.where(F.col("kind") == table).select(f"{table}.*")
+            rows = changes.where(F.col("kind") == table).select(f"{table}.*", VERSION)
             self._write(
                 table, latest(rows.withColumn("batch_id", F.lit(batch_id)), table), batch_id
             )
@@ -129,14 +160,19 @@ class ScoreRefresh:
         ids = touched.select("user_id")
 
         def current(table: str) -> DataFrame:
-            return self._read(table, batch_id, hit).join(ids, "user_id", "left_semi")
+            rows = self._read(table, batch_id, hit).join(ids, "user_id", "left_semi")
+            return latest(rows, table).drop(VERSION)
 
-        self._score(
-            current("users").drop("batch_id", "bucket"),
-            latest(current("feature_usage"), "feature_usage"),
-            latest(current("support_tickets"), "support_tickets"),
-            batch_id,
-        )
+        users = current("users")
+        self._score(users, current("feature_usage"), current("support_tickets"), batch_id)
+        ids.join(users.select("user_id"), "user_id", "left_anti").select(
+            "user_id", F.lit("unknown_user").alias("reason")
+        ).write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
+
+    def rejects(self) -> DataFrame:
+        """Users that changes named before they were known, by batch."""
+        schema = "user_id string, reason string, batch_id int"
+        return self.spark.read.schema(schema).parquet(f"{self.root}/rejects")
 
     def start(self, changes: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         return (
@@ -161,7 +197,7 @@ class ScoreRefresh:
         """Fold all batches up to ``upto`` into a fresh seed under a new folder."""
         fresh = ScoreRefresh(self.spark, new_root, self.as_of, self.buckets, self.rules)
         fresh.seed(
-            self._read("users", upto),
+            latest(self._read("users", upto), "users"),
             latest(self._read("feature_usage", upto), "feature_usage"),
             latest(self._read("support_tickets", upto), "support_tickets"),
         )

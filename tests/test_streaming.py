@@ -78,3 +78,28 @@ def test_empty_batch(spark, make, tmp_path):
     refresh.seed(make.users(dict(user_id="a")), make.usage(), make.tickets())
     refresh.process(change_stream(tickets=make.tickets()), 0)
     assert by_user(refresh.current_scores(), "score") == {"a": 0}
+
+
+def test_later_versions_win_whatever_their_status(spark, make, tmp_path):
+    from pyspark.sql import functions as F
+
+    refresh = ScoreRefresh(spark, str(tmp_path), AS_OF, buckets=2)
+    refresh.seed(make.users(dict(user_id="a")), make.usage(), make.tickets())
+    closed = make.tickets(dict(user_id="a", ticket_id="T", status="Closed", priority="Critical"))
+    again = make.tickets(dict(user_id="a", ticket_id="T", status="Open", priority="Critical"))
+    versions = closed.withColumn("version", F.lit(1)).unionByName(again.withColumn("version", F.lit(2)))
+    refresh.process(change_stream(tickets=versions), 0)
+    assert by_user(refresh.current_scores(), "score") == {"a": 25}
+
+
+def test_users_arrive_and_change(spark, make, tmp_path):
+    refresh = ScoreRefresh(spark, str(tmp_path), AS_OF, buckets=2)
+    refresh.seed(make.users(dict(user_id="a")), make.usage(), make.tickets())
+    refresh.process(change_stream(tickets=make.tickets(
+        dict(user_id="late", ticket_id="T", status="Open", priority="Critical"))), 0)
+    assert [(r.user_id, r.batch_id) for r in refresh.rejects().collect()] == [("late", 0)]
+    refresh.process(change_stream(users=make.users(
+        dict(user_id="late"), dict(user_id="a", plan="Free", mrr_usd=0))), 1)
+    assert by_user(refresh.current_scores(), "score") == {"a": 10, "late": 25}
+    compacted = refresh.compact(str(tmp_path / "next"), upto=9)
+    assert by_user(compacted.current_scores(), "score") == {"a": 10, "late": 25}
