@@ -224,12 +224,11 @@ def report(docs: DataFrame) -> DataFrame:
             x["start"].alias("start"), (x["kind"] + len(KINDS)).alias("kind"),
             text("found_", x).alias("text"))),
     ))
+    def count(kind: int):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint")
+
     return both.select(
-        "doc_id",
-        *(
-            F.size(F.filter("base", lambda x, i=i: x["kind"] == i)).cast("bigint").alias(f"n_{k}")
-            for i, k in enumerate(KINDS)
-        ),
+        "doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)),
         F.sha2(F.array_join(F.transform("base", lambda x: text("", x)), ","), 256).alias("base_sha256"),
         F.array_join(F.transform(everything, lambda x: x["text"]), ",").alias("spans"),
     )

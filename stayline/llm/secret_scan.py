@@ -174,12 +174,11 @@ def report(docs: DataFrame) -> DataFrame:
     both = rows.join(found, "key", "left").withColumn(
         "all", F.coalesce("all", F.array().cast("array<struct<start:bigint,kind:int,text:string>>"))
     ).withColumn("base", F.filter("all", lambda x: x["kind"] < len(BASE)))
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint")
+
     return both.select(
-        "doc_id",
-        *(
-            F.size(F.filter("base", lambda x, i=i: x["kind"] == i)).cast("bigint").alias(f"n_{k}")
-            for i, k in enumerate(BASE)
-        ),
+        "doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(BASE)),
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.col("all")).alias("spans"),
     )
