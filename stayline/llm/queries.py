@@ -20,8 +20,11 @@ from . import (
     toxicity,
 )
 from .learning import fold
+from .oracle import ORACLE
 from .tables import table
 
+__all__ = ["ORACLE", "QUERIES"]
+
 TOXIC_FROM = 0.7
 GOOD_FROM = 0.3
 
@@ -106,5 +109,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": personal_data,
     "op10_bpe": bpe_digests,
 }
-
-ORACLE: dict[str, str] = {}

@@ -27,6 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import written
+
 CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:string,after:array<string>>>>"
 RESULTS = "struct<results:array<struct<tool_call_id:string,content:string>>>"
 
@@ -131,7 +133,8 @@ def link(messages: DataFrame, schemas: dict) -> DataFrame:
     canonical JSON of an ``ok`` call with its result.
     """
     by = ["conv_id", "call_id"]
-    calls, results = calls_of(messages), results_of(messages)
+    # Read several times below, and parsed once: both are written.
+    calls, results = written(calls_of(messages), "calls"), written(results_of(messages), "results")
     first_call = calls.where("call_id IS NOT NULL").groupBy(*by).agg(
         F.min(F.struct("turn", "place")).alias("first")
     )
