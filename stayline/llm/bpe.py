@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from .tables import in_batches
 
-KEPT_WORDS = 600_000  # words and runs a worker remembers; beyond it a store starts anew
+KEPT_WORDS = 250_000  # words and runs a worker remembers; beyond it a store starts anew
 
 # Fixed values of the vocabulary's format: white space, word pattern, printable bytes.
 SPACES = "[\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
@@ -244,7 +244,7 @@ def encode(
         return step
 
     schema = ", ".join(f"`{n}` {t}" for n, t in {**keep, **outputs}.items())
-    return in_batches(docs.select(*dict.fromkeys([*keep, "text"])), make, schema, slice_rows=2000)
+    return in_batches(docs.select(*dict.fromkeys([*keep, "text"])), make, schema)
 
 
 def decode(rows: DataFrame, path: str, keep: dict[str, str]) -> DataFrame:

@@ -44,17 +44,33 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*parts)
 
 
+def slices(batch: pa.RecordBatch, slice_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts have about ``slice_bytes`` together."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = np.full(batch.num_rows, 100)  # what a row costs besides its texts
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    run = (np.cumsum(sizes) - sizes) // slice_bytes
+    starts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(starts, starts[1:], strict=False):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
 def in_batches(
     df: DataFrame,
     make: Callable[[], Callable[[dict[str, list]], dict[str, object]]],
     schema: str,
-    slice_rows: int = 1000,
+    slice_bytes: int = 2_000_000,
 ) -> DataFrame:
-    """Rows of ``df`` through a Python step, ``slice_rows`` rows at a time.
+    """Rows of ``df`` through a Python step, about ``slice_bytes`` of text at a time.
 
     ``make`` runs once a task and returns the step; the step gets a list for
     each column and returns the new columns, which follow the old ones named
-    in ``schema`` by name.
+    in ``schema`` by name. What a task holds follows the slice, or its longest row.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -65,8 +81,7 @@ def in_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            for start in range(0, batch.num_rows, slice_rows):
-                part = batch.slice(start, slice_rows)
+            for part in slices(batch, slice_bytes):
                 columns = {n: part.column(i) for i, n in enumerate(part.schema.names)}
                 made = step({n: c.to_pylist() for n, c in columns.items()})
                 arrays = []
