@@ -8,8 +8,9 @@ Which strings can meet? Each string of 50 bytes is filed under its anchor, the l
 Neighbouring strings mostly share an anchor, so a document is a row of snippets, one for each
 run of equal anchors. An anchor that only one text has needs no further work.
 
-The snippets of the other anchors are grouped by anchor, equal snippets as one with the
-smallest id that has it, and a task sorts all suffixes of a batch of whole groups:
+The snippets of the other anchors are shuffled by anchor and read in order; of equal snippets the
+one with the smallest id stands for all, the others go as a whole. A task sorts all suffixes of
+the different snippets of a batch of whole groups:
 
 1. suffixes smaller than their successor are sorted directly, 7 bytes at a time, and only
    those still tied go on to the next 7;
@@ -20,8 +21,9 @@ smallest id that has it, and a task sorts all suffixes of a batch of whole group
 
 Shuffles carry anchors (16 bytes a row, about 6 % of the positions), the snippets of shared
 anchors, and each text twice for the joins by document. Exact copies are one text: they are
-resolved by the digest of the whole text. Anchors with more than ``WIDE`` different snippets are
-resolved string by string, by grouping; that is exact too and needs no large task.
+resolved by the digest of the whole text. Anchors that more than ``HOT`` texts have are resolved
+string by string, by partial minima and a join that can be split; that is exact too, and no task
+meets all rows of one anchor.
 
 Defined results: a NULL text is empty; texts below 50 bytes lose nothing; a NULL id is larger
 than any other; rows of one id never count against each other; repeated rows get equal results.
@@ -35,12 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import in_batches, written
+from .tables import in_batches, slices, written
 
 LENGTH = 50
 PIECE = 16
-WIDE = 50_000
-BATCH_BYTES = 2_000_000
+HOT = 100_000
+BATCH_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 LAST = (1 << 63) - 1
 
 
@@ -182,8 +185,7 @@ def _anchors():
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for part in slices(batch, SLICE_BYTES):
                 found, keys = [], []
                 for text, key in zip(part.column(1).to_pylist(), part.column(0).to_pylist(), strict=True):
                     own = np.unique(runs((text or "").encode())[0])
@@ -237,9 +239,8 @@ def _cut():
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                out: list[list] = [[], [], [], [], []]
+            for part in slices(batch, SLICE_BYTES):
+                out: list[list] = [[], [], [], [], [], []]
                 ids, txts, texts = (part.column(i).to_pylist() for i in range(3))
                 for i, text in enumerate(texts):
                     raw = (text or "").encode()
@@ -251,67 +252,112 @@ def _cut():
                     out[2].append(np.full(len(at), ids[i], dtype=np.int64))
                     out[3].append(np.full(len(at), txts[i], dtype=np.int64))
                     out[4].append(first[at].astype(np.int64))
+                    out[5].append(last[at].astype(np.int64))
+                anchors, own, txt, at, last = (np.concatenate(x) for x in (out[0], *out[2:]))
+                # A snippet that a smaller id of this slice has too is a repeat already. It goes
+                # on without its bytes, filed by its text, so common snippets do not pile up.
+                snippets = out[1]
+                least: dict[bytes, int] = {}
+                for snippet, number in zip(snippets, own.tolist(), strict=True):
+                    if least.get(snippet, number) >= number:
+                        least[snippet] = number
+                for i, number in enumerate(own.tolist()):
+                    if least[snippets[i]] < number:
+                        snippets[i], anchors[i] = None, txt[i]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out[0])), pa.array(out[1], type=pa.binary()),
-                     *(pa.array(np.concatenate(x)) for x in out[2:])],
-                    names=["anchor", "snippet", "id", "txt", "at"],
+                    [pa.array(anchors), pa.array(snippets, type=pa.binary()), pa.array(own),
+                     pa.array(txt), pa.array(at), pa.array(last)],
+                    names=["anchor", "snippet", "id", "txt", "at", "last"],
                 )
 
     return run
 
 
-def _resolve():
-    """Rows ``anchor, snippet, key, least`` in the order of anchors to ``anchor, key, ranges``."""
-    schema = pa.schema([
-        ("anchor", pa.int64()), ("key", pa.int64()),
-        ("ranges", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
-    ])
+SNIPPETS = "anchor bigint, snippet binary, id bigint, txt bigint, at bigint, last bigint"
+RANGES = "id bigint, txt bigint, a bigint, b bigint"
 
-    def solved(rows: list[tuple]) -> pa.RecordBatch:
-        ranges = earlier_starts([r[1] for r in rows], [r[3] for r in rows])
-        hits = [i for i, r in enumerate(ranges) if r]
-        return pa.RecordBatch.from_arrays([
-            pa.array([rows[i][0] for i in hits], type=schema.field(0).type),
-            pa.array([rows[i][2] for i in hits], type=schema.field(1).type),
-            pa.array([[{"a": a, "b": b} for a, b in ranges[i]] for i in hits],
-                     type=schema.field(2).type),
-        ], schema=schema)
+
+def resolve(table: pa.Table) -> pa.Table:
+    """Rows ``anchor, snippet, id, txt, at, last, key`` of whole groups, ordered by anchor, key and
+    id, to the starts ``id, txt, a, b`` of repeated strings. Rows without a snippet are known to be
+    repeats."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    known = table.filter(pc.is_null(table["snippet"]))
+    table = table.filter(pc.is_valid(table["snippet"]))
+    done = [tuple(known[name].to_numpy() for name in ("id", "txt", "at", "last"))]
+    if not table.num_rows:
+        return pa.table(list(done[0]), names=["id", "txt", "a", "b"])
+    anchor, ids, txt, at, last, key = (
+        table[name].to_numpy() for name in ("anchor", "id", "txt", "at", "last", "key")
+    )
+    new_key = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (key[1:] != key[:-1])])
+    class_of = np.cumsum(new_key) - 1
+    first = np.flatnonzero(new_key)
+    least = ids[first]
+    later = np.flatnonzero(ids > least[class_of])
+    out = [*done, (ids[later], txt[later], at[later], last[later])]
+
+    # Different snippets of one anchor: what do they share?
+    heads = anchor[first]
+    alone = np.concatenate([[True], heads[1:] != heads[:-1]]) & np.concatenate([heads[1:] != heads[:-1], [True]])
+    compared = np.flatnonzero(~alone)
+    if len(compared):
+        texts = table["snippet"].take(pa.array(first[compared])).to_pylist()
+        ranges = earlier_starts(texts, least[compared].tolist())
+        ends = np.append(first[1:], len(ids))
+        for number, found in zip(compared.tolist(), ranges, strict=True):
+            if found:
+                own = np.arange(first[number], ends[number])
+                own = own[ids[own] == least[number]]
+                for a, b in found:
+                    out.append((ids[own], txt[own], at[own] + a, at[own] + b))
+    return pa.table([np.concatenate(x) for x in zip(*out, strict=True)], names=["id", "txt", "a", "b"])
+
+
+def _resolver():
+    import numpy as np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: list[tuple] = []   # whole groups
-        group: list[tuple] = []  # the anchor being read
+        held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if group and row[0] != group[0][0]:
-                    if len(group) > 1:  # one snippet alone has nothing to be compared with
-                        done += group
-                        size += sum(len(r[1]) for r in group)
-                    group = []
-                    if size >= BATCH_BYTES:
-                        yield solved(done)
-                        done, size = [], 0
-                group.append(row)
-        done += group
-        if done:
-            yield solved(done)
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.nbytes
+            if size < BATCH_BYTES:
+                continue
+            table = pa.Table.from_batches(held)
+            anchor = table["anchor"].to_numpy()
+            cut = int(np.searchsorted(anchor, anchor[-1]))  # the last group may go on
+            if cut:
+                yield from resolve(table.slice(0, cut)).to_batches()
+            held = table.slice(cut).combine_chunks().to_batches()
+            size = 0
+        if held:
+            yield from resolve(pa.Table.from_batches(held)).to_batches()
 
     return run
 
 
-def _by_strings(wide: DataFrame) -> DataFrame:
-    """What ``_resolve`` finds, for anchors with too many snippets for one task: every string of
-    50 bytes is a row, and its smallest id a partial minimum."""
-    strings = wide.select(
-        "anchor", "key", "least",
-        F.explode(F.sequence(F.lit(0), F.octet_length("snippet") - LENGTH)).alias("a"), "snippet",
-    ).select("anchor", "key", "least", "a", F.substring(
-        F.col("snippet"), F.col("a") + 1, F.lit(LENGTH)
-    ).alias("string"))
-    first = strings.groupBy("string").agg(F.min("least").alias("first"))
-    return strings.join(first, "string").where("first < least").groupBy("anchor", "key").agg(
-        F.collect_list(F.struct("a", F.col("a").alias("b"))).alias("ranges")
+def _by_strings(snippets: DataFrame) -> DataFrame:
+    """What ``resolve`` finds, by grouping: every string of 50 bytes is a row, and its
+    smallest id a partial minimum. ``snippets``: a stored table."""
+    known = snippets.where("snippet IS NULL").select(
+        "id", "txt", F.col("at").alias("a"), F.col("last").alias("b")
     )
+    snippets = snippets.where("snippet IS NOT NULL")
+    place = F.explode(F.sequence(F.lit(0), F.octet_length("snippet") - LENGTH)).alias("i")
+    strings = snippets.select("id", "txt", "at", "snippet", place).select(
+        "id", "txt", (F.col("at") + F.col("i")).alias("a"),
+        F.substring(F.col("snippet"), F.col("i") + 1, F.lit(LENGTH)).alias("string"),
+    )
+    first = strings.groupBy("string").agg(F.min("id").alias("first"))
+    return known.unionByName(strings.join(first, "string").where("first < id").select(
+        "id", "txt", "a", F.col("a").alias("b")
+    ))
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -332,52 +378,39 @@ def removals(docs: DataFrame) -> DataFrame:
     copies = slim.join(classes, ["digest", "txt"]).where("first < id").select("id", "txt").distinct()
 
     anchors = keyed.select("txt", "text").mapInArrow(_anchors(), "anchor bigint, txt bigint")
-    shared = (
+    shared = written(
         anchors.repartition(parts, "anchor").sortWithinPartitions("anchor", "txt")
-        .mapInArrow(_shared(), "anchor bigint, txt bigint")
-    )
-    wanted = written(
-        shared.groupBy("txt").agg(F.collect_set("anchor").alias("anchors"))
-        .join(classes.select("txt", F.col("first").alias("id")), "txt"), "suffix-anchors",
-    )
-    snippets = written(
-        keyed.join(wanted, ["id", "txt"]).select("id", "txt", "text", "anchors")
-        .mapInArrow(_cut(), "anchor bigint, snippet binary, id bigint, txt bigint, at bigint")
-        .withColumn("key", F.xxhash64("snippet")), "suffix-snippets",
+        .mapInArrow(_shared(), "anchor bigint, txt bigint"), "suffix-shared",
     )
-    distinct = written(
-        snippets.groupBy("anchor", "key", "snippet").agg(F.min("id").alias("least")),
-        "suffix-distinct",
+    hot = written(
+        shared.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor"),
+        "suffix-hot",
     )
-    wide = distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > WIDE)
-    narrow = distinct.join(wide, "anchor", "left_anti").select("anchor", "snippet", "key", "least")
-    solved = (
-        narrow.repartition(parts, "anchor").sortWithinPartitions("anchor")
-        .mapInArrow(_resolve(), "anchor bigint, key bigint, ranges array<struct<a:int,b:int>>")
-    ).unionByName(_by_strings(distinct.join(wide.select("anchor"), "anchor")))
-    solved = written(solved, "suffix-solved")
-
-    # A document that is not the first with a snippet loses all of it; the first one loses
-    # what other snippets of smaller ids repeat.
-    size = F.octet_length("snippet")
+
+    def snippets(of: DataFrame) -> DataFrame:
+        wanted = of.groupBy("txt").agg(F.collect_set("anchor").alias("anchors")).join(
+            classes.select("txt", F.col("first").alias("id")), "txt"
+        )
+        return keyed.join(written(wanted, "suffix-anchors"), ["id", "txt"]).select(
+            "id", "txt", "text", "anchors"
+        ).mapInArrow(_cut(), SNIPPETS)
+
     found = (
-        snippets.select("anchor", "key", "id", "txt", "at", size.alias("size"))
-        .join(distinct.select("anchor", "key", "least"), ["anchor", "key"])
-        .join(solved, ["anchor", "key"], "left")
-        .select("id", "txt", F.when(
-            F.col("id") > F.col("least"),
-            F.array(F.struct(F.col("at").alias("a"), (F.col("at") + F.col("size") - LENGTH).alias("b"))),
-        ).otherwise(F.transform("ranges", lambda r: F.struct(
-            (r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b")
-        ))).alias("ranges"))
-        .where("ranges IS NOT NULL")
-        .groupBy("id", "txt").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
-        .select("id", "txt", F.lit(False).alias("copy"), "ranges")
+        snippets(shared.join(hot, "anchor", "left_anti")).withColumn("key", F.xxhash64("snippet"))
+        .repartition(parts, "anchor").sortWithinPartitions("anchor", "key", "id")
+        .mapInArrow(_resolver(), RANGES)
     )
+    if not hot.isEmpty():
+        found = found.unionByName(
+            _by_strings(written(snippets(shared.join(hot, "anchor")), "suffix-hot-snippets"))
+        )
+    ranges = found.groupBy("id", "txt").agg(
+        F.collect_list(F.struct("a", "b")).alias("ranges")
+    ).select("id", "txt", F.lit(False).alias("copy"), "ranges")
     whole = copies.select("id", "txt", F.lit(True).alias("copy"), F.lit(None).cast(
         "array<struct<a:bigint,b:bigint>>"
     ).alias("ranges"))
-    return written(found.union(whole), "suffix-removals")
+    return written(ranges.unionByName(whole), "suffix-removals")
 
 
 def _remover():
@@ -425,4 +458,4 @@ def without_repeats(docs: DataFrame, outputs: dict[str, str] | None = None) -> D
         "doc_id", "text", F.coalesce("doc_id", F.lit(LAST)).alias("id"), F.xxhash64(text).alias("txt")
     ).join(lost, ["id", "txt"], "left").select("doc_id", "text", "copy", "ranges")
     schema = ", ".join(f"{n} {t}" for n, t in {"doc_id": "bigint", **outputs}.items())
-    return in_batches(joined, _remover, schema, slice_rows=200)
+    return in_batches(joined, _remover, schema)
