@@ -7,11 +7,11 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import run_timestamp
+from ..functions.columns import is_at_risk, run_timestamp
 from ..operators import alerts, recommend, report, scoring
-from ..operators.summary import user_facts
+from ..operators.summary import by_score, user_facts
 from ..rules import AdviceRules, ScoringRules
-from ..sources.tables import ResultTables
+from ..sources.tables import ResultTables, save_clustered
 
 RUN_PROFILE = (
     "user_id", "country", "plan", "mrr_usd", "risk_level", "score", "reasons",
@@ -53,6 +53,9 @@ def run_analysis(
         scored = facts.join(given, "user_id").withColumn("analyzed_at", run_timestamp(run_ts))
     profiles = tables.write_run("risk_profiles", scored.select(*RUN_PROFILE), as_of)
     scores = tables.write_run("churn_scores", scoring.churn_scores(profiles), as_of)
+    # For readers: profiles sorted for lookups by user, risky users from the highest score down.
+    save_clustered(profiles, tables.run_path("profile_lookup", as_of), ["user_id"])
+    tables.write_run("risk_list", by_score(scores.where(is_at_risk(F.col("risk_level")))), as_of)
 
     if recommendations is None:
         fit = tables.write_run("feature_fit", recommend.feature_fit(profiles, advice), as_of)

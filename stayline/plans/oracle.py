@@ -698,5 +698,6 @@ FROM {metrics}"""
 check("run_analysis", _run_contents("scored", "recs", "recs", "key_metrics"))
 check("run_from_replies",
       _run_contents("reply_scores", "reply_recs", "reply_results", "reply_metrics"))
+check("risk_list", "SELECT user_id, score, risk_level FROM scored WHERE risk_level <> 'bajo'")
 check("top_from_tables", "SELECT * FROM top10", "mrr_usd")
 check("stream_score_refresh", "SELECT user_id, score, risk_level FROM scored")

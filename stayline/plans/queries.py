@@ -723,6 +723,14 @@ def run_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.run_contents(run)
 
 
+@query
+def risk_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risky users as the run stores them for readers, highest score first."""
+    tables = ResultTables(spark, shared_dir(spark, "analysis"))
+    analysis.run_analysis(tables, *testdata.load(spark, sf_dir), AS_OF)
+    return tables.read("risk_list").select("user_id", "score", "risk_level")
+
+
 @query
 def run_from_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chained run on scores and advice that were parsed from replies."""

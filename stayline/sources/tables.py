@@ -24,7 +24,7 @@ class ResultTables:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _run_path(self, table: str, run_date: dt.date, report: str | None) -> str:
+    def run_path(self, table: str, run_date: dt.date, report: str | None = None) -> str:
         path = f"{self.path(table)}/run_date={run_date.isoformat()}"
         return path if report is None else f"{path}/report={report}"
 
@@ -38,13 +38,13 @@ class ResultTables:
         writer = df.write.mode("overwrite")
         if table in PARTITION_BY:
             writer = writer.partitionBy(PARTITION_BY[table])
-        writer.parquet(self._run_path(table, run_date, report))
+        writer.parquet(self.run_path(table, run_date, report))
         return self.read_run(table, df, run_date, report)
 
     def read_run(
         self, table: str, like: DataFrame, run_date: dt.date, report: str | None = None
     ) -> DataFrame:
-        path = self._run_path(table, run_date, report)
+        path = self.run_path(table, run_date, report)
         return self.spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
     def read(self, table: str) -> DataFrame:

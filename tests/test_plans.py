@@ -23,7 +23,7 @@ def no_broadcast(spark):
 WRITES = {
     "load_users", "load_feature_usage", "load_support_tickets", "report_history", "run_analysis",
     "insert_results", "stream_score_refresh", "load_all_rejects", "run_from_replies",
-    "top_from_tables",
+    "top_from_tables", "risk_list",
 }
 
 

@@ -66,6 +66,21 @@ def test_chained_run_twice(spark, make, tmp_path):
     assert tables.read("recommendations").select("urgency").first()[0] == "inmediata"
 
 
+def test_run_stores_an_ordered_list_and_a_lookup(spark, make, tmp_path):
+    users = make.users(*[dict(user_id=f"u{i:02d}") for i in range(30)])
+    tickets = make.tickets(*[
+        dict(user_id=f"u{i:02d}", ticket_id=f"T{i}-{n}", status="Open", priority="Critical")
+        for i in range(20) for n in range(1 + i % 3)])
+    tables = ResultTables(spark, str(tmp_path))
+    run_analysis(tables, users, make.usage(), tickets, AS_OF)
+    files = sorted((tmp_path / "risk_list").rglob("part-*.parquet"))
+    ranked = [r.score for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert ranked == sorted(ranked, reverse=True) and len(ranked) == 13
+    lookup = tables.read("profile_lookup").where("user_id = 'u07'")
+    assert lookup.count() == 1
+    assert "EqualTo(user_id,u07)" in lookup._jdf.queryExecution().executedPlan().toString()
+
+
 def test_chained_run_without_risky_users(spark, make, tmp_path):
     tables = ResultTables(spark, str(tmp_path))
     run = run_analysis(tables, make.users(dict(user_id="a")), make.usage(dict(user_id="a")),
