@@ -113,7 +113,7 @@ def test_batches_lose_nothing(spark):
     assert sum(p.users for p in payloads) == 1000
     lines = [json.loads(line) for p in payloads for line in p.payload.split("\n")]
     assert {d["user_id"] for d in lines} == {f"USR-{i}" for i in range(1, 1001)}
-    assert handoff.buckets_for(10) == 1 and handoff.buckets_for(1_000_001) == 11
+    assert handoff.buckets_for(10) == 1 and handoff.buckets_for(1_000_001) == 101
 
 
 def test_payload_keeps_null_fields(spark):
