@@ -375,7 +375,8 @@ def removals(docs: DataFrame) -> DataFrame:
         .select("id", "txt", F.unhex(F.sha2("text", 256)).alias("digest")), "suffix-texts",
     )
     classes = slim.groupBy("digest", "txt").agg(F.min("id").alias("first"))
-    copies = slim.join(classes, ["digest", "txt"]).where("first < id").select("id", "txt").distinct()
+    # Distinct before the join: a hot digest's rows can then be split over tasks.
+    copies = slim.distinct().join(classes, ["digest", "txt"]).where("first < id").select("id", "txt")
 
     anchors = keyed.select("txt", "text").mapInArrow(_anchors(), "anchor bigint, txt bigint")
     shared = written(
