@@ -96,3 +96,34 @@ def test_discovery_on_a_graph(spark):
     )
     assert "new" in {r.instance for r in instances.collect()}
     assert {r.instance for r in instances.collect()}.isdisjoint({"other", "far", "seed1"})
+
+
+def with_luhn(i):
+    head = f"4111 1111 {i:04d} 000"
+    return next(head + c for c in "0123456789" if luhn(f"{head}{c}".replace(" ", "")))
+
+
+def test_report_discovers_other_forms(docs):
+    """Spaced and national numbers, failing cards, local and long e-mails in the contexts of seeds."""
+    texts = [f"my number is +1 ({100 + i}) 555-{1000 + i} thanks" for i in range(60)]
+    texts += [f"her card shows {with_luhn(i)} as number" for i in range(60)]
+    texts += [f"please write to user{i}@mail{i}.com today" for i in range(60)]
+    seeds = len(texts)
+    last = "4111 1111 0000 00" + ("00" if with_luhn(0)[-2:] != "00" else "01")
+    unseen = [
+        ("my number is ", "(207) 555-0199", " thanks", "phone"), ("my number is ", "1 207  555 0198", " 2 thanks", "phone"),
+        ("her card shows ", last, " as number", "card"), ("please write to ", "user7@localhost", " today", "email"),
+        ("please write to ", "u" * 400 + "@localhost", ", today", "email"), ("please write to ", "user8 @ localhost", " today", "email"),
+        ("w" * 300 + "\n my number is ", "207.555.0197", " " + "w" * 90, "phone"),
+    ]
+    texts += [a + b + c for a, b, c, _ in unseen] + ["my number is 12 thanks", "our number was 207 555 0196 then", "my number is ab12 thanks"]
+    rows = {r.doc_id: r.spans for r in pii.report(docs(texts)).collect()}
+    for i, (a, b, c, kind) in enumerate(unseen, seeds):
+        assert rows[i] == f"found_{kind}:{len(a)}:{len(a + b)}", (texts[i], rows[i])
+    assert all("found" not in rows[i] for i in range(seeds)) and not any(rows[i] for i in range(seeds + len(unseen), len(texts)))
+
+
+def test_odd_runs_are_read_in_linear_time():
+    step = pii._reader()
+    for text in ("@ " * 50_000, "1 " * 10_000, "a@b.cd," * 30_000, "@" * 200_000, "x1" * 100_000, "1 @a " * 30_000, "((1" * 60_000):
+        step({"text": [text]})
