@@ -83,3 +83,12 @@ def test_index_reaches_every_block_within_the_radius():
     near = decontaminate._near_values()
     assert len(near) == 1 + 16 + 120 + 560  # all changes of up to 3 of 16 bits
     assert (decontaminate.RADIUS // decontaminate.BLOCKS + 1) * decontaminate.BLOCKS > decontaminate.RADIUS
+
+
+def test_similar_windows_with_far_fingerprints_are_found(docs, items):
+    """42 light shingles in common and a heavy one changed: a similarity of 0.8, many bits apart."""
+    common = words(0, 46)
+    bench = items(*((i, f"{common} own{i}") for i in range(60)))
+    rows = decontaminate.findings(docs([f"{common} changed{i}" for i in range(10)]), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(d, i) for d in range(10) for i in range(60)}
+    assert all(0.8 <= r.similarity < 0.81 for r in rows) and max(r.hamming for r in rows) > 19
