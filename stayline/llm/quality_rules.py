@@ -10,8 +10,8 @@ good documents of its stratum. Of the certified cutoffs the one that rejects mos
 labelled bad documents is taken, the most lenient of equals. A rule without a certified
 cutoff rejects nothing in that stratum.
 
-Repeated word windows are found within a row: every window's hash carries its place in
-the low bits, the sorted list brings equal windows together, and the gaps between repeated
+Repeated word windows are found within a row: pairs of a window's whole 64-bit hash and its
+place are sorted, which brings equal windows together, and the gaps between repeated
 places give the words covered. All of it is DataFrame functions; the only shuffles carry
 numbers, never text.
 
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from .tables import SPACE, written
 
 WINDOW = 8
-PLACE_BITS = 24  # of a window's hash, replaced by its place: texts of up to 16 million words
 ALPHA = 0.01
 DELTA = 0.05
 BANDS = (100, 1000)  # words
@@ -44,15 +43,15 @@ RULES = {
 
 
 def _windows(words: str) -> Column:
-    """Sorted window hashes with the place in the low bits."""
-    low = (1 << PLACE_BITS) - 1
+    """Sorted window hashes, each with its place."""
     made = F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(words) - WINDOW, F.lit(0))),
-        lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(WINDOW)))
-        .bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("bigint")),
+        lambda i: F.struct(
+            F.xxhash64(*(F.get(words, i + k) for k in range(WINDOW))).alias("hash"), i.alias("place"),
+        ),
     )
     return F.when(F.size(words) >= WINDOW, F.sort_array(made)).otherwise(
-        F.array().cast("array<bigint>")
+        F.array().cast("array<struct<hash:bigint,place:int>>")
     )
 
 
@@ -60,7 +59,6 @@ def metrics(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` and the counts of each text."""
     text = F.coalesce("text", F.lit(""))
     blank = " \t\n\x0b\x0c\r"
-    low = (1 << PLACE_BITS) - 1
     lines = docs.select(
         *keep,
         F.transform(
@@ -79,17 +77,17 @@ def metrics(docs: DataFrame, keep: list[str]) -> DataFrame:
     sums += ["n_words", "n_lines", "n_dup_lines"]
 
     def same(x: Column, other: Column) -> Column:
-        return F.coalesce(F.shiftright(x, PLACE_BITS) == F.shiftright(other, PLACE_BITS), F.lit(False))
+        return F.coalesce(x["hash"] == other["hash"], F.lit(False))
 
     places = sorted_.select(*keep, *sums, F.filter(
         "__s", lambda x, i: same(x, F.get("__s", i - 1)) | same(x, F.get("__s", i + 1))
     ).alias("__r"))
     places = places.select(*keep, *sums, F.sort_array(
-        F.transform("__r", lambda x: x.bitwiseAND(F.lit(low)))
+        F.transform("__r", lambda x: x["place"])
     ).alias("__p"))
     covered = F.aggregate(
         F.transform("__p", lambda p, i: F.least(
-            F.lit(WINDOW).cast("bigint"), F.coalesce(F.get("__p", i + 1) - p, F.lit(WINDOW))
+            F.lit(WINDOW).cast("bigint"), F.coalesce(F.get("__p", i + 1) - p, F.lit(WINDOW)).cast("bigint")
         )),
         F.lit(0).cast("bigint"), lambda a, x: a + x,
     )

@@ -70,3 +70,9 @@ def test_cutoffs_are_certified_per_stratum(spark):
     cuts = {r.in_lang: r.cuts for r in quality_rules.cutoffs(written(frame.drop("quality"), "t"), labels).collect()}
     assert set(cuts) == {"en"}  # 300 good documents cannot certify a rate of 1 % after correction
     assert 0.01 <= cuts["en"]["symbols"] < 0.1  # rejects all bad ones, and at most 1 in 400 good ones
+
+
+def test_windows_of_a_million_words_are_told_apart(docs):
+    """No window repeats in three million different words; 40 bits of a hash gave false repeats."""
+    rows = quality_rules.metrics(docs([" ".join(map(str, range(3_000_000)))]), ["doc_id"]).collect()
+    assert (rows[0].n_words, rows[0].n_repeat_words) == (3_000_000, 0)
