@@ -31,6 +31,27 @@ SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT
          AS kept_sha256
 FROM d LEFT JOIN cut USING (rid)"""
 
+RANKED = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+m AS (SELECT rid, 100 - 50 + ((50 * len(w) * n_docs) // n_terms) AS m FROM d, size WHERE len(w) > 0),
+post AS (SELECT rid, doc_id, t, count(*) AS tf FROM (SELECT rid, doc_id, unnest(w) AS t FROM d) GROUP BY ALL),
+wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+       FROM (SELECT t, count(*) AS df FROM post GROUP BY t), size),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+s AS (
+  SELECT item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN wt USING (t) JOIN post USING (t) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50"""
+
 
 def _rule_verdicts() -> str:
     rules = quality_rules.RULES
@@ -146,4 +167,5 @@ ORACLE = {
     "op1_secret_scan": _secrets(),
     "op4_quality_rules": _rule_verdicts(),
     "op6_suffix_dedup": REPEATED_BYTES,
+    "op11_ranked_search": RANKED,
 }

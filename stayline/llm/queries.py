@@ -13,6 +13,7 @@ from . import (
     pii,
     quality_fm,
     quality_rules,
+    ranked_search,
     secret_scan,
     simhash,
     suffix_dedup,
@@ -97,6 +98,13 @@ def bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def best_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    return ranked_search.best_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secrets,
     "op2_chat_tool_calls": linked_tool_calls,
@@ -108,4 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": simhash_classes,
     "op9_pii": personal_data,
     "op10_bpe": bpe_digests,
+    "op11_ranked_search": best_documents,
 }
