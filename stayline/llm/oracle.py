@@ -53,6 +53,43 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM s WHERE score > 0 QUALIFY rank <= 50"""
 
 
+PREFIXES = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST,
+                       sha256(length(role) || ':' || role || text)) AS own
+  FROM t GROUP BY conv_id),
+c AS (
+  SELECT a.conv_id, a.own, b.own AS head, xor(list_reduce(
+           list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(1, length(a.conv_id::VARCHAR) + 1),
+                       lambda i: CAST(ascii((a.conv_id::VARCHAR)[i]) AS BIGINT))),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+                        lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+         4294967295) % 4 AS h
+  FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+r AS (SELECT conv_id, list_concat(coalesce(head[1:h], []), own[h + 1:]) AS turns FROM c),
+p AS (SELECT conv_id, len(turns) AS size, d, turns[1:d] AS p
+      FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+n AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '') AS ends
+  FROM p GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS up, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+m AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         (n_convs - 1) * CASE WHEN d = 0 THEN 0 ELSE
+           len(regexp_extract_all(p[d].text, '[^\\x20\\x09-\\x0D]+')) END AS own_saved
+  FROM n LEFT JOIN k ON k.up = n.p),
+below AS (
+  SELECT a.p, count(*) FILTER (b.n_children = 0) AS n_leaves, sum(b.own_saved) AS saved_tokens
+  FROM m a JOIN (SELECT *, unnest(range(0, d + 1)) AS cut FROM m) b ON b.p[1:b.cut] = a.p GROUP BY a.p)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN below USING (p) LEFT JOIN m u ON m.d > 0 AND u.p = m.p[1:m.d - 1]"""
+
+
 def _rule_verdicts() -> str:
     rules = quality_rules.RULES
     rate = {
@@ -168,4 +205,5 @@ ORACLE = {
     "op4_quality_rules": _rule_verdicts(),
     "op6_suffix_dedup": REPEATED_BYTES,
     "op11_ranked_search": RANKED,
+    "op12_prefix_trie": PREFIXES,
 }

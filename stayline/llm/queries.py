@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from . import (
     bpe,
     decontaminate,
+    embedding_dedup,
     pii,
+    prefix_trie,
     quality_fm,
     quality_rules,
     ranked_search,
@@ -105,6 +107,16 @@ def best_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations."""
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+def vector_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors of cosine 0.95 and more."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secrets,
     "op2_chat_tool_calls": linked_tool_calls,
@@ -117,4 +129,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": personal_data,
     "op10_bpe": bpe_digests,
     "op11_ranked_search": best_documents,
+    "op12_prefix_trie": conversation_prefixes,
+    "op13_embedding_dedup": vector_classes,
 }

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import in_batches, written
+from .tables import arrow_schema, in_batches, written
 
 BLOCK = 128  # postings a block
 SEGMENT_WORDS = 4_000_000  # a segment ends with the document that reaches either bound
@@ -101,10 +101,7 @@ def _segment(ids: list, lengths: list[int], words: list, vocabulary: dict, size:
 
 def index(docs: DataFrame, size: Corpus) -> DataFrame:
     """The segments of all documents with a term. ``size`` is that of the whole corpus."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    target = to_arrow_schema(_parse_datatype_string(SEGMENT))
+    target = arrow_schema(SEGMENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -282,11 +279,8 @@ class _Segment:
 
 def _search(segments: DataFrame, items: list[tuple], kind: str, k: int) -> DataFrame:
     """``item_id, doc_id, score``: of each task the best documents of every item."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
     schema = f"item_id {kind}, doc_id bigint, score bigint"
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    target = arrow_schema(schema)
     shared = segments.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -44,6 +44,14 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*parts)
 
 
+def arrow_schema(columns: str) -> pa.Schema:
+    """The Arrow form of a schema given as text."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    return to_arrow_schema(_parse_datatype_string(columns))
+
+
 def slices(batch: pa.RecordBatch, slice_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about ``slice_bytes`` together."""
     import numpy as np
@@ -72,11 +80,7 @@ def in_batches(
     each column and returns the new columns, which follow the old ones named
     in ``schema`` by name. What a task holds follows the slice, or its longest row.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    from pyspark.sql.types import _parse_datatype_string
-
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()

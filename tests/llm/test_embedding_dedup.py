@@ -1,0 +1,129 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from stayline.llm import embedding_dedup
+from stayline.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def expected(rows, cosine=0.95):
+    """All pairs compared in doubles; rows of (vec_id, vector)."""
+    def sound(v):
+        return bool(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    units = [None] * len(rows)
+    for i, (_, v) in enumerate(rows):
+        if sound(v):
+            x = np.array(v, dtype=np.float64)
+            x = x / np.abs(x).max()
+            units[i] = x / np.sqrt(x @ x)
+    near = [[] for _ in rows]
+    for size in {len(u) for u in units if u is not None}:
+        at = [i for i, u in enumerate(units) if u is not None and len(u) == size]
+        table = np.stack([units[i] for i in at])
+        for i, row in zip(at, table @ table.T >= cosine, strict=True):
+            near[i] = [at[j] for j in np.flatnonzero(row) if at[j] != i]
+    out = []
+    group = [None] * len(rows)
+    for i in range(len(rows)):
+        if group[i] is None:
+            todo, seen = [i], {i}
+            while todo:
+                for j in near[todo.pop()]:
+                    if j not in seen:
+                        seen.add(j)
+                        todo.append(j)
+            ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+            for j in seen:
+                group[j] = (min(ids) if ids else None,)
+    for i, (vec, _) in enumerate(rows):
+        out.append((vec, len(near[i]), group[i][0], vec == group[i][0]))
+    return sorted(out, key=str)
+
+
+def found(df):
+    assert df.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+
+
+@pytest.fixture(scope="module")
+def clusters():
+    """Loose and tight clusters, scaled and equal copies, and vectors by themselves."""
+    rng = np.random.default_rng(4)
+    rows = [rng.normal(size=24) for _ in range(300)]
+    for spread, many in ((0.02, 150), (0.06, 80), (0.1, 80), (0.25, 60)):
+        centre = rng.normal(size=24)
+        rows += [centre + spread * rng.normal(size=24) * np.linalg.norm(centre) for _ in range(many)]
+    rows += [rows[300] * s for s in (2, 3, 1e-200, 1e200)]
+    rows += [rows[5]] * 30
+    # A chain: neighbours are linked, its ends are far apart.
+    rows += [np.concatenate([[np.cos(a), np.sin(a)], np.zeros(22)]) for a in np.arange(0, 1.5, 0.25)]
+    return [(i * 3, [float(x) for x in v]) for i, v in enumerate(rows)]
+
+
+@pytest.mark.parametrize(("per_list", "block", "probing"), [(256, 1024, 4096), (12, 16, 25)])
+def test_equals_all_pairs(spark, clusters, monkeypatch, per_list, block, probing):
+    """Many lists and small blocks lose nothing."""
+    monkeypatch.setattr(embedding_dedup.fit, "__defaults__", (per_list,))
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    monkeypatch.setattr(embedding_dedup, "PROBE_BLOCK", probing)
+    got = embedding_dedup.near_duplicates(frame(spark, clusters).repartition(5))
+    assert found(got) == expected(clusters)
+
+
+def test_codes_reject_most_and_no_partner(clusters):
+    """Table look-ups leave few vectors to compare exactly."""
+    vectors = np.array([v for _, v in clusters])
+    unit = embedding_dedup._unit(vectors)
+    centres = embedding_dedup._means(unit, 8, 8)
+    home = embedding_dedup._nearest(unit, centres)
+    rest = unit - centres[home]
+    codes = np.stack([
+        embedding_dedup._means(np.ascontiguousarray(p), 64, 6) for p in embedding_dedup._split(rest, 8)
+    ])
+    code = np.stack([
+        embedding_dedup._nearest(p, codes[i])
+        for i, p in enumerate(embedding_dedup._split(rest, 8))
+    ], axis=1)
+    made = np.concatenate([codes[p][code[:, p]] for p in range(8)], axis=1)[:, :24] + centres[home]
+    error = np.linalg.norm(unit - made, axis=1)
+    radius = (2 - 2 * 0.95) ** 0.5
+    adc = np.linalg.norm(unit[:, None] - made[None], axis=2)
+    close = adc <= radius + error + embedding_dedup.SLACK
+    linked = unit @ unit.T >= 0.95
+    assert not (linked & ~close).any()
+    # The plane test reaches the lists of all partners.
+    far = np.linalg.norm(unit[:, None] - centres[None], axis=2) ** 2
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        a, b = home[i], home[j]
+        apart = np.linalg.norm(centres[a] - centres[b])
+        assert far[i, b] - far[i, a] <= 2 * apart * radius + embedding_dedup.SLACK
+
+
+def test_defined_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, None), (2, []), (3, [0.0, -0.0]), (4, [1.0, None]), (5, [1.0, nan]), (6, [1.0, inf]),
+        (7, [1.0, 0.0]), (7, [1.0, 0.0]), (8, [2.0, 0.1]), (None, [1.0, 0.05]), (None, [0.0, 1.0]),
+        (9, [-1.0, 0.0]), (10, [1.0, 0.0, 0.0]), (11, [1e308, 1e307]), (12, [5e-324, 0.0]),
+        (13, [1.0, 0.3286841]), (14, [3.0]), (15, [-3.0]), (None, None), (16, [0.0, 1.0, 0.0]),
+    ]
+    df = frame(spark, rows).selectExpr("*", "'own' AS node", "1 AS n", "2 AS list", "3 AS kept", "4 AS vector")
+    assert found(embedding_dedup.near_duplicates(df)) == expected(rows)
+
+
+def test_empty(spark):
+    assert found(embedding_dedup.near_duplicates(frame(spark, []))) == []
+    assert found(embedding_dedup.near_duplicates(frame(spark, [(1, None)]))) == [(1, 0, 1, True)]
+
+
+def test_registered_query_equals_all_pairs(spark):
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+    assert found(QUERIES["op13_embedding_dedup"](spark, SMALL)) == expected(rows)
