@@ -5,12 +5,15 @@ coarse lists and, from what is left after the nearest centre, codes for each par
 the dimensions. Every vector then gets its list, its codes and the length of the error
 its codes leave.
 
-The search loses nothing by approximation. Two unit vectors of cosine ``c`` are
-``r = sqrt(2 - 2 c)`` apart, so a partner of ``x`` can lie in the list of another
-centre only if ``x`` is within ``r`` of the plane between that centre and its own:
-exactly those lists are probed. Inside a list, table look-ups give the distance from
-``x`` to what a member's codes stand for; if it exceeds ``r`` by more than the member's
-error, the member is too far. The rest are compared by exact cosine, in doubles.
+Two unit vectors of cosine ``c`` are ``r = sqrt(2 - 2 c)`` apart, so a partner of ``x``
+can lie in the list of another centre only if ``x`` is within ``r`` of the plane between
+that centre and its own. In many dimensions ``r`` points along that one direction hardly
+ever: seen from any fixed direction it has a deviation of ``r / sqrt(d)``, ``d`` the
+dimensions that the sample really fills. Lists within ``PROBE`` deviations are probed;
+``probe=None`` probes all within ``r``, which finds every pair. Inside a list nothing
+more is lost: table look-ups give the distance from ``x`` to what a member's codes stand
+for, and only if it exceeds ``r`` by more than the member's error the member is left out.
+The rest are compared by exact cosine, in doubles.
 
 Each pair is met once: a vector probes its own list and those of higher number. Lists
 are cut into blocks of members and of probing vectors, and a task compares one block
@@ -41,13 +44,16 @@ SAMPLE_ROWS = 32_768  # and vectors, unless more lists need more
 PER_LIST, MAX_LISTS = 256, 16_384
 PARTS, CODES = 8, 256
 BLOCK, PROBE_BLOCK = 1024, 4096  # members and probing vectors that a task compares
+PROBE = 3.0  # deviations of a partner that probes allow for; README has the recall
 SLACK = 1e-6  # added to bounds, for what rounding may take
 
 
 class Codebook(NamedTuple):
-    """Centres of the lists (lists, n) and codes of the parts (parts, codes, width)."""
+    """Centres of the lists (lists, n), codes of the parts (parts, codes, width), and how
+    many dimensions the vectors fill."""
     centres: object
     codes: object
+    filled: float
 
 
 def _nearest(points, centres):
@@ -88,8 +94,17 @@ def _split(points, parts: int):
     return padded.reshape(rows, parts, width).transpose(1, 0, 2)
 
 
+def _table(column) -> object:
+    """An Arrow column of equally long lists as rows of doubles."""
+    import numpy as np
+
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
 def _unit(vectors):
-    """Lists of numbers as rows of length 1; huge and tiny values are scaled first."""
+    """Rows of length 1; huge and tiny values are scaled first."""
     import numpy as np
 
     rows = np.array(vectors, dtype=np.float64)
@@ -106,23 +121,27 @@ def fit(vectors: DataFrame, count: int, size: int, per_list: int = PER_LIST) ->
     lists = max(1, min(count // per_list, MAX_LISTS, SAMPLE_VALUES // size // 16))
     n_rows = min(SAMPLE_VALUES // size + 1, max(SAMPLE_ROWS, 16 * lists))
     sample = vectors.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(n_rows)
-    schema = "centres binary, codes binary, n_codes int"
+    schema = "centres binary, codes binary, n_codes int, filled double"
     target = arrow_schema(schema)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        rows = [v for b in batches for v in b.column(0).to_pylist()]
+        rows = [_table(b.column(0)) for b in batches if b.num_rows]
         if not rows:
             return
-        points = _unit(rows)
+        points = _unit(np.concatenate(rows))
+        # (sum of variances)^2 / sum of their squares, over the principal directions
+        spread = np.cov(points, rowvar=False, bias=True).reshape(size, size)
+        filled = np.trace(spread) ** 2 / max(np.sum(spread * spread), 1e-300)
         centres = _means(points, min(lists, len(points)), 8)
         rest = points - centres[_nearest(points, centres)]
         codes = np.stack([
             _means(np.ascontiguousarray(p), min(CODES, len(p)), 6) for p in _split(rest, PARTS)
         ])
         yield pa.RecordBatch.from_pylist([
-            {"centres": centres.tobytes(), "codes": codes.tobytes(), "n_codes": codes.shape[1]}
+            {"centres": centres.tobytes(), "codes": codes.tobytes(), "n_codes": codes.shape[1],
+             "filled": float(max(filled, 1.0))}
         ], schema=target)
 
     import numpy as np
@@ -130,12 +149,13 @@ def fit(vectors: DataFrame, count: int, size: int, per_list: int = PER_LIST) ->
     row = sample.repartition(1).mapInArrow(learn, schema).first()
     return Codebook(
         np.frombuffer(row.centres).reshape(-1, size),
-        np.frombuffer(row.codes).reshape(PARTS, row.n_codes, -1),
+        np.frombuffer(row.codes).reshape(PARTS, row.n_codes, -1), row.filled,
     )
 
 
-def assign(vectors: DataFrame, book: Codebook, radius: float) -> DataFrame:
-    """``node, n, vector`` with ``list``, ``codes``, ``error`` and the lists to ``probe``."""
+def assign(vectors: DataFrame, book: Codebook, reach: float) -> DataFrame:
+    """``node, n, vector`` with ``list``, ``codes``, ``error`` and the lists to ``probe``:
+    its own, and those of higher number whose planes are within ``reach``."""
     kind = vectors.schema["vector"].dataType.simpleString()
     schema = (
         f"node bigint, n bigint, vector {kind}, list int, codes binary, error double, "
@@ -147,20 +167,20 @@ def assign(vectors: DataFrame, book: Codebook, radius: float) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        centres, codes = shared.value
+        centres, codes, _ = shared.value
         own = np.sum(centres * centres, axis=1)
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                points = _unit(part.column(2).to_pylist())
+                points = _unit(_table(part.column(2)))
                 far = np.maximum(own - 2 * points @ centres.T + 1, 0)
                 home = np.argmin(far, axis=1)
                 best = far[np.arange(len(points)), home]
                 # Within reach of the plane between both centres; the first test is cheap and wider.
-                near = np.sqrt(far) <= np.sqrt(best)[:, None] + 2 * radius + SLACK
+                near = np.sqrt(far) <= np.sqrt(best)[:, None] + 2 * reach + SLACK
                 row, other = np.nonzero(near & (np.arange(len(centres)) > home[:, None]))
                 apart = np.sqrt(np.sum((centres[other] - centres[home[row]]) ** 2, axis=1))
-                reached = far[row, other] - best[row] <= 2 * apart * radius + SLACK
+                reached = far[row, other] - best[row] <= 2 * apart * reach + SLACK
                 row, other = row[reached], other[reached]
                 probes = [[int(h)] for h in home]
                 for r, o in zip(row.tolist(), other.tolist(), strict=True):
@@ -239,7 +259,7 @@ def _linked(book_of, cosine: float, radius: float):
         def side(rows: pa.Table) -> dict:
             return {
                 "node": rows["node"].to_numpy(), "n": rows["n"].to_numpy(),
-                "unit": _unit(rows["vector"].to_pylist()),
+                "unit": _unit(_table(rows["vector"])),
                 "inside": rows["inside"].to_numpy(),
             }
 
@@ -270,12 +290,15 @@ def _linked(book_of, cosine: float, radius: float):
     return work
 
 
-def links(vectors: DataFrame, size: int, count: int, cosine: float) -> DataFrame:
+def links(
+    vectors: DataFrame, size: int, count: int, cosine: float, probe: float | None = PROBE
+) -> DataFrame:
     """``node, links, root`` of vectors of one size: numbers of vectors met, and links
     ``node``-``root`` that connect the same groups as all pairs."""
     radius = (2 - 2 * cosine) ** 0.5
     book = fit(vectors, count, size)
-    placed = written(assign(vectors, book, radius), "placed")
+    reach = radius if probe is None else radius * min(1.0, probe / book.filled ** 0.5)
+    placed = written(assign(vectors, book, reach), "placed")
     # As many rows as there are lists: at most MAX_LISTS.
     sizes = F.broadcast(
         placed.select("list", F.explode("probe").alias("to")).groupBy("to").agg(
@@ -316,7 +339,9 @@ def links(vectors: DataFrame, size: int, count: int, cosine: float) -> DataFrame
     )
 
 
-def near_duplicates(embeddings: DataFrame, cosine: float = 0.95) -> DataFrame:
+def near_duplicates(
+    embeddings: DataFrame, cosine: float = 0.95, probe: float | None = PROBE
+) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``."""
     rows = embeddings.select("vec_id", F.col("embedding").alias("vector"))
     number = F.col("vector")
@@ -334,7 +359,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.95) -> DataFrame:
     sizes = distinct.groupBy(F.size("vector").alias("size")).count().collect()  # one for each length
     none = embeddings.sparkSession.createDataFrame([], MET)
     met = written(reduce(DataFrame.union, [
-        links(distinct.where(F.size("vector") == row["size"]), row["size"], row["count"], cosine)
+        links(distinct.where(F.size("vector") == row["size"]), row["size"], row["count"], cosine, probe)
         for row in sizes
     ], none), "vector-links")
     counts = met.groupBy("node").agg(F.sum("links").alias("links"))

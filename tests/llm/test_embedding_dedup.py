@@ -74,7 +74,7 @@ def test_equals_all_pairs(spark, clusters, monkeypatch, per_list, block, probing
     monkeypatch.setattr(embedding_dedup.fit, "__defaults__", (per_list,))
     monkeypatch.setattr(embedding_dedup, "BLOCK", block)
     monkeypatch.setattr(embedding_dedup, "PROBE_BLOCK", probing)
-    got = embedding_dedup.near_duplicates(frame(spark, clusters).repartition(5))
+    got = embedding_dedup.near_duplicates(frame(spark, clusters).repartition(5), probe=None)
     assert found(got) == expected(clusters)
 
 
@@ -107,6 +107,22 @@ def test_codes_reject_most_and_no_partner(clusters):
         assert far[i, b] - far[i, a] <= 2 * apart * radius + embedding_dedup.SLACK
 
 
+@pytest.mark.parametrize("noise", [0.01, 0.25, 0.31])
+def test_probes_find_partners(spark, monkeypatch, noise):
+    """Of pairs among vectors that fill all dimensions nearly all are found, up to the bound."""
+    monkeypatch.setattr(embedding_dedup.fit, "__defaults__", (30,))
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(900, 48))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    near = rng.normal(size=(900, 48))
+    near = base + noise * near / np.linalg.norm(near, axis=1, keepdims=True)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([base, near]))]
+    want = {r[0]: r[1] for r in expected(rows)}
+    got = {r[0]: r[1] for r in found(embedding_dedup.near_duplicates(frame(spark, rows)))}
+    assert all(got[i] <= want[i] for i in want)
+    assert sum(want.values()) > 1500 and sum(got.values()) >= 0.97 * sum(want.values())
+
+
 def test_defined_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
