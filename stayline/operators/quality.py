@@ -123,3 +123,26 @@ def ticket_lifecycle(tickets: DataFrame) -> DataFrame:
     return tickets.where(is_open(F.col("status")) & filled).select(
         "ticket_id", "status", "resolved_date", "resolution_hours", "csat_score"
     )
+
+
+def features_count_check(users: DataFrame, usage: DataFrame) -> DataFrame:
+    """Users whose ``features_count`` is not the number of features their usage rows name.
+
+    Both sides are reconciled: users without usage rows count as 0, and usage rows of nobody
+    have no declared count. Equal users are left out.
+    """
+    listed = usage.groupBy("user_id").agg(F.count_distinct("feature").alias("listed"))
+    declared = users.select("user_id", F.col("features_count").alias("declared"), F.lit(True).alias("known"))
+    both = declared.join(listed, "user_id", "full")
+    found = F.coalesce("listed", F.lit(0).cast("bigint"))
+    fault = (
+        F.when(F.col("known").isNull(), "unknown_user")
+        .when(F.col("declared").isNull(), "not_declared")
+        .when(F.col("listed").isNull() & (F.col("declared") != 0), "no_usage")
+        .when(found < F.col("declared"), "fewer_listed")
+        .when(found > F.col("declared"), "more_listed")
+    )
+    return both.select(
+        "user_id", F.col("declared").cast("bigint").alias("declared"), found.alias("listed"),
+        fault.alias("fault"),
+    ).where("fault IS NOT NULL")

@@ -38,12 +38,24 @@ def run_analysis(
     """Runs every step for one date and stores the result tables.
 
     The base tables are read and shuffled once: the scored profiles are written
-    first, and all later steps read that table. A repeated run of the same date
-    replaces its rows. ``closed`` is for tables that passed the quality jobs.
+    first, and all later steps read that table. All tables of the run are published
+    together; a repeated run of the same date replaces its rows. ``closed`` is for tables that passed the quality jobs.
 
     ``scores`` and ``recommendations`` may come from parsed replies instead of
     the rules; then only users with a given score are analysed.
     """
+    with tables.publishing():
+        return _run(
+            tables, users, usage, tickets, as_of, rules, advice, run_id, closed, scores,
+            recommendations,
+        )
+
+
+def _run(
+    tables: ResultTables, users: DataFrame, usage: DataFrame, tickets: DataFrame,
+    as_of: dt.date, rules: ScoringRules, advice: AdviceRules, run_id: str, closed: bool,
+    scores: DataFrame | None, recommendations: DataFrame | None,
+) -> RunTables:
     run_ts = dt.datetime.combine(as_of, dt.time())
     facts = user_facts(users, usage, tickets, as_of, advice, closed)
     if scores is None:
@@ -54,7 +66,7 @@ def run_analysis(
     profiles = tables.write_run("risk_profiles", scored.select(*RUN_PROFILE), as_of)
     scores = tables.write_run("churn_scores", scoring.churn_scores(profiles), as_of)
     # For readers: profiles sorted for lookups by user, risky users from the highest score down.
-    save_clustered(profiles, tables.run_path("profile_lookup", as_of), ["user_id"])
+    save_clustered(profiles, tables.stage("profile_lookup", as_of), ["user_id"])
     tables.write_run("risk_list", by_score(scores.where(is_at_risk(F.col("risk_level")))), as_of)
 
     if recommendations is None:
@@ -100,15 +112,3 @@ def run_contents(run: RunTables) -> DataFrame:
         .unionByName(rows("weekly_reports", "report_date", "title", "executive_summary",
                           "action_items"))
     )
-
-
-def run_counts(run: RunTables) -> DataFrame:
-    """Rows per result table of one run."""
-    parts = [
-        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
-        for name, df in run._asdict().items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out

@@ -13,6 +13,7 @@ from ..sources import testdata
 from ..sources.testdata import AS_OF, columns
 
 EARLIER = AS_OF - dt.timedelta(days=30)
+OLDEST = AS_OF - dt.timedelta(days=60)
 CTES: dict[str, str] = {}
 ORACLE: dict[str, str] = {}
 
@@ -52,15 +53,15 @@ SELECT user_id, max(last_used_date) AS last_activity,
 FROM usage_rank GROUP BY user_id"""
 CTES["ticket_agg"] = """
 SELECT user_id, count(DISTINCT ticket_id) AS total_tickets,
-       count(*) FILTER (resolved IS FALSE) AS open_tickets,
-       count(*) FILTER (resolved IS FALSE AND priority IN ('High', 'Critical'))
+       count(DISTINCT ticket_id) FILTER (open) AS open_tickets,
+       count(DISTINCT ticket_id) FILTER (open AND priority IN ('Critical', 'High'))
            AS critical_open_tickets,
-       count(*) FILTER (resolved IS FALSE AND priority = 'Critical') AS open_critical,
-       count(*) FILTER (resolved IS FALSE AND priority = 'High') AS open_high,
-       count(*) FILTER (resolved IS FALSE AND priority IN ('Low', 'Medium')) AS open_other,
+       count(DISTINCT ticket_id) FILTER (open AND priority = 'Critical') AS open_critical,
+       count(DISTINCT ticket_id) FILTER (open AND priority = 'High') AS open_high,
+       count(DISTINCT ticket_id) FILTER (open AND priority IN ('Low', 'Medium')) AS open_other,
        min(csat_score) AS worst_csat, round(avg(csat_score), 1) AS avg_csat,
        array_to_string(list_sort(list_distinct(list(category))), ', ') AS ticket_categories
-FROM (SELECT *, status IN ('Resolved', 'Closed') AS resolved FROM support_tickets)
+FROM (SELECT *, status IN ('Open', 'In_Progress') AS open FROM support_tickets)
 GROUP BY user_id"""
 
 
@@ -113,6 +114,7 @@ FROM (SELECT *, CAST(p_idle + p_adoption + p_critical + p_high + p_other + p_csa
 
 _scored_ctes("", AS_OF)
 _scored_ctes("_old", EARLIER)
+_scored_ctes("_older", OLDEST)
 
 CTES["catalogue"] = """
 SELECT unnest(['Facturación electrónica', 'Gestión de contactos', 'Reportes financieros',
@@ -701,3 +703,95 @@ check("run_from_replies",
 check("risk_list", "SELECT user_id, score, risk_level FROM scored WHERE risk_level <> 'bajo'")
 check("top_from_tables", "SELECT * FROM top10", "mrr_usd")
 check("stream_score_refresh", "SELECT user_id, score, risk_level FROM scored")
+check("live_scores", """
+SELECT f.* EXCLUDE (last_activity, features, adopted), score, risk_level
+FROM facts f JOIN (SELECT user_id, score, risk_level FROM scored) USING (user_id)""",
+      "mrr_usd", "original_churn_score")
+
+# History, agreement, resolution times, drift
+CTES["runs"] = f"""
+SELECT DATE '{OLDEST}' AS run_date, 1 AS run_no, user_id, score, risk_level FROM scored_older
+UNION ALL SELECT DATE '{EARLIER}', 2, user_id, score, risk_level FROM scored_old
+UNION ALL SELECT DATE '{AS_OF}', 3, user_id, score, risk_level FROM scored"""
+CTES["stretches"] = f"""
+SELECT user_id, risk_level, min(run_date) AS valid_from,
+       CASE max(run_no) WHEN 1 THEN DATE '{EARLIER}' WHEN 2 THEN DATE '{AS_OF}' END AS valid_to,
+       count(*) AS runs_held, arg_min(score, run_no) AS first_score, arg_max(score, run_no) AS last_score,
+       min(score) AS min_score, max(score) AS max_score
+FROM (SELECT *, run_no - row_number() OVER (PARTITION BY user_id, risk_level ORDER BY run_no) AS island
+      FROM runs)
+GROUP BY user_id, risk_level, island"""
+check("risk_history", "SELECT * FROM stretches")
+check("risk_transitions", """
+SELECT a.run_date AS from_run, b.run_date AS to_run, a.risk_level AS from_level,
+       b.risk_level AS to_level, count(*) AS users, CAST(sum(b.score - a.score) AS BIGINT) AS score_change
+FROM runs a JOIN runs b ON b.user_id = a.user_id AND b.run_no = a.run_no + 1 GROUP BY ALL""")
+check("time_in_band", f"""
+SELECT risk_level, count(*) AS stretches, count(DISTINCT user_id) AS users,
+       count(*) FILTER (valid_to IS NULL) AS lasting,
+       CAST(sum(coalesce(valid_to, DATE '{AS_OF}') - valid_from) AS BIGINT) AS days,
+       CAST(max(coalesce(valid_to, DATE '{AS_OF}') - valid_from) AS INTEGER) AS longest
+FROM stretches GROUP BY risk_level""")
+CTES["both_ranked"] = """
+SELECT risk_level,
+       CAST(2 * rank() OVER (ORDER BY score) + count(*) OVER (PARTITION BY score) - 1 AS HUGEINT)
+         - (count(*) OVER () + 1) AS r,
+       CAST(2 * rank() OVER (ORDER BY original_churn_score)
+            + count(*) OVER (PARTITION BY original_churn_score) - 1 AS HUGEINT) AS s2,
+       rank() OVER (ORDER BY original_churn_score) - 1 AS below, count(*) OVER () AS size
+FROM scored"""
+check("score_agreement", """
+SELECT count(*) AS users,
+       CAST(sum(r * (s2 - size - 1)) AS DOUBLE)
+         / (sqrt(CAST(sum(r * r) AS DOUBLE)) * sqrt(CAST(sum((s2 - size - 1) * (s2 - size - 1)) AS DOUBLE)))
+         AS spearman,
+       CAST(sum(s2) FILTER (high) - sum(high::INT) * (sum(high::INT) + 1) AS DOUBLE) / 2
+         / (CAST(sum(high::INT) AS DOUBLE) * CAST(count(*) - sum(high::INT) AS DOUBLE)) AS auc_high,
+       CAST(sum(s2) FILTER (risky) - sum(risky::INT) * (sum(risky::INT) + 1) AS DOUBLE) / 2
+         / (CAST(sum(risky::INT) AS DOUBLE) * CAST(count(*) - sum(risky::INT) AS DOUBLE)) AS auc_at_risk
+FROM (SELECT *, risk_level = 'alto' AS high, risk_level IN ('alto', 'medio') AS risky FROM both_ranked)""")
+check("agreement_deciles", """
+SELECT CAST(below * 10 // size + 1 AS INTEGER) AS decile, risk_level, count(*) AS users
+FROM both_ranked GROUP BY ALL""")
+_GROUPED_BY = """concat_ws(',', CASE WHEN grouping(category) = 0 THEN 'category' END,
+       CASE WHEN grouping(priority) = 0 THEN 'priority' END,
+       CASE WHEN grouping(channel) = 0 THEN 'channel' END) AS grouped_by, category, priority, channel,
+       count(*) AS tickets"""
+_SETS = "GROUPING SETS ((category), (priority), (channel), (category, priority, channel), ())"
+check("resolution_hours", f"""
+SELECT {_GROUPED_BY}, round(avg(resolution_hours), 2) AS mean_hours,
+       quantile_cont(resolution_hours, 0.5) AS p50, quantile_cont(resolution_hours, 0.9) AS p90,
+       quantile_cont(resolution_hours, 0.95) AS p95, max(resolution_hours) AS longest
+FROM support_tickets WHERE resolution_hours IS NOT NULL GROUP BY {_SETS}""")
+check("resolution_sketches", f"""
+SELECT {_GROUPED_BY}, true AS p50_close, true AS p90_close, true AS p95_close
+FROM support_tickets WHERE resolution_hours IS NOT NULL GROUP BY {_SETS}""")
+check("features_count_check", """
+SELECT user_id, CAST(features_count AS BIGINT) AS declared, coalesce(n, 0) AS listed,
+       CASE WHEN u.user_id IS NULL THEN 'unknown_user' WHEN n IS NULL AND features_count <> 0 THEN 'no_usage'
+            WHEN coalesce(n, 0) < features_count THEN 'fewer_listed'
+            WHEN coalesce(n, 0) > features_count THEN 'more_listed' END AS fault
+FROM bad_users u FULL JOIN (SELECT user_id, count(DISTINCT feature) AS n FROM feature_usage GROUP BY user_id) f
+  USING (user_id)
+WHERE u.user_id IS NULL OR coalesce(n, 0) <> features_count""")
+_NUMBERS = {"created_date": "date", "resolved_date": "date", "resolution_hours": "int", "csat_score": "int"}
+
+
+def _number(column: str, fn: str) -> str:
+    kind = _NUMBERS.get(column)
+    if kind is None:
+        return "CAST(NULL AS BIGINT)"
+    return f"CAST({fn}({column}) - DATE '1970-01-01' AS BIGINT)" if kind == "date" else f"CAST({fn}({column}) AS BIGINT)"
+
+
+check("profile_of_loads", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT year(created_date)) AS loads, count(*) AS rows, "
+    f"count(*) - count({c}) AS nulls, "
+    + ", ".join(f"{f'CAST({fn}({c}) AS VARCHAR)' if c not in _NUMBERS else 'NULL'} AS {fn}_value" for fn in ("min", "max"))
+    + ", " + ", ".join(f"{_number(c, fn)} AS {fn}_number" for fn in ("min", "max"))
+    + ", true AS distinct_close FROM support_tickets" for c in _COLUMNS))
+check("profile_drift", "SELECT *, lag(null_share) OVER (PARTITION BY column_name ORDER BY load) AS null_share_before FROM ("
+      + " UNION ALL ".join(
+          f"SELECT CAST(year(created_date) AS VARCHAR) AS load, '{c}' AS column_name, count(*) AS rows, "
+          f"round((count(*) - count({c})) / count(*), 6) AS null_share FROM support_tickets GROUP BY 1"
+          for c in _COLUMNS) + ")")

@@ -9,19 +9,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.columns import is_open, is_urgent_open
 from ..operators import (
-    alerts, dashboard, handoff, ingest, quality, recommend, replies, report, scoring, summary,
+    agreement, alerts, dashboard, drift, handoff, history, ingest, quality, recommend, replies,
+    report, resolution, scoring, summary,
 )
 from ..schemas import SUPPORT_TICKETS, USERS
 from ..session import shared_dir, written
 from ..sources import csv_files, testdata
 from ..sources.tables import ResultTables, upsert
 from ..sources.testdata import AS_OF, Inputs
-from ..streaming.refresh import ScoreRefresh, change_stream
+from ..streaming.live import LiveScores
+from ..streaming.refresh import SCHEMAS, ScoreRefresh, change_stream
 from . import analysis
 
 RUN_TS = dt.datetime.combine(AS_OF, dt.time())
 EARLIER = AS_OF - dt.timedelta(days=30)
+RUN_DAYS = (AS_OF - dt.timedelta(days=60), EARLIER, AS_OF)
 STREAM_FROM = dt.date(1998, 1, 1)
+LIVE_DAYS = (dt.date(2001, 7, 1), dt.date(2001, 8, 15), dt.date(2001, 10, 1))
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -784,3 +788,173 @@ def stream_score_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = change_stream(tickets=incoming, users=people)
     refresh.start(changes, f"{root}/checkpoint").awaitTermination()
     return refresh.current_scores().select("user_id", "score", "risk_level")
+
+
+def _as_opened(tickets: DataFrame) -> DataFrame:
+    return tickets.withColumns({
+        "status": F.lit("Open"),
+        "resolved_date": F.lit(None).cast("date"),
+        "resolution_hours": F.lit(None).cast("int"),
+        "csat_score": F.lit(None).cast("int"),
+    })
+
+
+def _live(spark: SparkSession, sf_dir: str) -> LiveScores:
+    """Scores of an earlier date, of tickets as they were opened, old plans and first use only;
+    then changes and dates arrive as a stream: late tickets, reopened and closed again, plans,
+    the last use of every feature, and the days in between."""
+    inputs = testdata.load(spark, sf_dir)
+    root = shared_dir(spark, "live")
+    users, usage, tickets = (
+        written(df, f"live-{name}") for name, df in inputs._asdict().items()
+    )
+    late = F.col("created_date") >= F.lit(STREAM_FROM)
+    live = LiveScores(spark, f"{root}/state", buckets=8)
+    live.seed(
+        users.withColumn("plan", F.when(F.col("plan") == "Plus", "Free").otherwise(F.col("plan"))),
+        usage.withColumn("last_used_date", F.least("last_used_date", F.lit(LIVE_DAYS[0])))
+        .withColumn("adoption_level", F.lit("activated")),
+        _as_opened(tickets.where(~late)), LIVE_DAYS[0],
+    )
+    numbered = lambda df, n: df.withColumn("version", F.lit(n).cast("bigint"))
+    steps = (
+        change_stream(
+            tickets=numbered(tickets, 2).unionByName(numbered(_as_opened(tickets), 1)),
+            clock=spark.createDataFrame([(LIVE_DAYS[1],)], "as_of date"),
+        ),
+        change_stream(
+            usage=usage, users=users, clock=spark.createDataFrame([(LIVE_DAYS[2],)], "as_of date")
+        ),
+        change_stream(
+            tickets=_as_opened(tickets.where(late)), clock=spark.createDataFrame([(AS_OF,)], "as_of date")
+        ),
+        change_stream(tickets=tickets.where(late)),
+    )
+    columns = "kind string, version bigint"
+    for kind, schema in SCHEMAS.items():
+        columns += f", {kind} {schema.simpleString()}"
+    columns += ", clock struct<as_of: date>"
+    for number, step in enumerate(steps):
+        step.coalesce(1).write.parquet(f"{root}/incoming/step={number}")
+    incoming = (
+        spark.readStream.schema(columns).option("maxFilesPerTrigger", 1)
+        .option("recursiveFileLookup", True).parquet(f"{root}/incoming")
+    )
+    live.start(incoming, f"{root}/checkpoint").awaitTermination()
+    return live
+
+
+@query
+def live_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores, and the figures behind them, from facts that were added and taken back."""
+    live = _live(spark, sf_dir)
+    figures = live.current_facts().select(*summary.SUMMARY_COLUMNS, *summary.SPLIT_COUNTS)
+    return live.current_scores().join(figures, "user_id")
+
+
+# History, agreement, resolution times, drift -------------------------------------------
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of three run dates, published one after the other and read back."""
+    inputs = Inputs(*(
+        written(df, f"runs-{name}") for name, df in testdata.load(spark, sf_dir)._asdict().items()
+    ))
+    tables = ResultTables(spark, shared_dir(spark, "runs"))
+    for day in RUN_DAYS:
+        tables.write_run("churn_scores", scoring.churn_scores(_scored(inputs, day)), day)
+    return tables.read("churn_scores")
+
+
+@query
+def risk_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.risk_history(_runs(spark, sf_dir))
+
+
+@query
+def risk_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.risk_transitions(_runs(spark, sf_dir))
+
+
+@query
+def time_in_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.time_in_band(history.risk_history(_runs(spark, sf_dir)), AS_OF)
+
+
+def _both_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _scored(testdata.load(spark, sf_dir))
+    return written(
+        scored.select("score", "risk_level", F.col("original_churn_score").alias("supplied")), "scores"
+    )
+
+
+@query
+def score_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.score_agreement(_both_scores(spark, sf_dir))
+
+
+@query
+def agreement_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.agreement_deciles(_both_scores(spark, sf_dir))
+
+
+@query
+def resolution_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolution.resolution_hours(testdata.load(spark, sf_dir).support_tickets)
+
+
+@query
+def resolution_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches stored by the year of opening, merged, and held against the exact ranks."""
+    tickets = written(testdata.load(spark, sf_dir).support_tickets, "tickets")
+    tables = ResultTables(spark, shared_dir(spark, "hours"))
+    years = sorted(r.y for r in tickets.select(F.year("created_date").alias("y")).distinct().collect())
+    with tables.publishing():
+        for year in years:
+            day = dt.date(year, 12, 31)
+            part = tickets.where(F.year("created_date") == year)
+            tables.write_run("hours_sketches", resolution.hours_sketches(part, day), day)
+    merged = resolution.hours_from_sketches(tables.read("hours_sketches"))
+    errors = resolution.sketch_errors(tickets, written(merged, "estimates"))
+    return errors.select("grouped_by", *resolution.DIMENSIONS, "tickets", *(
+        (F.col(f"{name}_error") <= resolution.RANK_ERROR).alias(f"{name}_close")
+        for name in ("p50", "p90", "p95")
+    ))
+
+
+@query
+def features_count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = testdata.load(spark, sf_dir)
+    faulty = testdata.faulty(inputs)
+    return quality.features_count_check(faulty.users, inputs.feature_usage)
+
+
+def _load_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of the tickets of each year as a load of its own, stored and read back."""
+    tickets = written(testdata.load(spark, sf_dir).support_tickets, "tickets")
+    years = sorted(r.y for r in tickets.select(F.year("created_date").alias("y")).distinct().collect())
+    return written(drift.all_loads([
+        drift.load_profile(tickets.where(F.year("created_date") == year), str(year)) for year in years
+    ]), "load-profiles")
+
+
+@query
+def profile_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged from the stored profiles; distinct values and medians as close or not to the truth."""
+    merged = drift.merged_profile(_load_profiles(spark, sf_dir))
+    tickets = testdata.load(spark, sf_dir).support_tickets
+    true = ingest.profile(tickets, exact=tickets.columns).select(
+        "column_name", F.col("distinct_values").alias("true_values")
+    )
+    close = F.abs(F.col("distinct_values") - F.col("true_values")) <= 0.05 * F.col("true_values")
+    return merged.join(true, "column_name").select(
+        "column_name", "loads", "rows", "nulls", "min_value", "max_value", "min_number", "max_number",
+        close.alias("distinct_close"),
+    )
+
+
+@query
+def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.profile_drift(_load_profiles(spark, sf_dir)).select(
+        "load", "column_name", "rows", "null_share", "null_share_before"
+    )

@@ -1,16 +1,22 @@
 """Result tables on shared storage.
 
-A table is a folder of Parquet with one ``run_date`` folder per run. Writing a
-run replaces its folder, so a repeated run leaves the same table. The second
-partition column lets readers skip whole levels of risk or urgency.
+A table is a folder of Parquet with a ``run_date`` for every run. Runs are published as
+snapshots: a run's tables, and the replacement of an earlier run of the same date, become
+visible together or not at all. The second partition column lets readers skip whole levels of
+risk or urgency.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .snapshots import Snapshots
+
 PARTITION_BY = {
     "churn_scores": "risk_level",
     "recommendations": "urgency",
@@ -20,13 +26,33 @@ PARTITION_BY = {
 class ResultTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
-
-    def run_path(self, table: str, run_date: dt.date, report: str | None = None) -> str:
-        path = f"{self.path(table)}/run_date={run_date.isoformat()}"
-        return path if report is None else f"{path}/report={report}"
+        self.snapshots = Snapshots(spark, root)
+        self._base, self._staged = None, {}
+
+    @contextmanager
+    def publishing(self) -> Iterator[None]:
+        """What is written inside becomes visible together, at the end."""
+        if self._base is not None:
+            raise RuntimeError("already publishing")
+        self._base, self._staged = self.snapshots.current(), {}
+        try:
+            yield
+            if self._staged:
+                self.snapshots.publish(self._base, self._staged)
+        finally:
+            self._base, self._staged = None, {}
+
+    def stage(self, table: str, run_date: dt.date, report: str | None = None) -> str:
+        """A new folder for a run's rows; it takes the place of an earlier one of the run."""
+        if self._base is None:
+            raise RuntimeError("stage only inside publishing()")
+        write, path = self.snapshots.new_folder(table)
+        path += f"/run_date={run_date.isoformat()}"
+        part = run_date.isoformat()
+        if report is not None:
+            path, part = f"{path}/report={quote(report, safe='')}", f"{part}/{report}"
+        self._staged[table, part] = write
+        return path
 
     def write_run(
         self, table: str, df: DataFrame, run_date: dt.date, report: str | None = None
@@ -35,21 +61,19 @@ class ResultTables:
 
         Reports are kept side by side: ``report`` names one of several of a date.
         """
-        writer = df.write.mode("overwrite")
+        if self._base is None:
+            with self.publishing():
+                return self.write_run(table, df, run_date, report)
+        path = self.stage(table, run_date, report)
+        writer = df.write
         if table in PARTITION_BY:
             writer = writer.partitionBy(PARTITION_BY[table])
-        writer.parquet(self.run_path(table, run_date, report))
-        return self.read_run(table, df, run_date, report)
-
-    def read_run(
-        self, table: str, like: DataFrame, run_date: dt.date, report: str | None = None
-    ) -> DataFrame:
-        path = self.run_path(table, run_date, report)
-        return self.spark.read.schema(like.schema).parquet(path).select(*like.columns)
+        writer.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def read(self, table: str) -> DataFrame:
-        """All runs, with the ``run_date`` column."""
-        return self.spark.read.option("basePath", self.path(table)).parquet(self.path(table))
+        """All published runs, with the ``run_date`` column."""
+        return self.snapshots.read(table)
 
 
 def upsert(
@@ -84,15 +108,3 @@ def save_clustered(
     keys = ([partition_by] if partition_by else []) + cluster_by
     writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-
-
-def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "user_id") -> None:
-    """Store a table holding one row per key in buckets of that key.
-
-    Joins between such tables of equal bucket count need no shuffle. Not for
-    child tables: a key with very many rows would fill one bucket.
-    """
-    (
-        df.repartition(buckets, F.col(key)).write.mode("overwrite").format("parquet")
-        .bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-    )

@@ -41,21 +41,25 @@ def buckets_for(users: int) -> int:
 
 def change_stream(
     tickets: DataFrame | None = None, usage: DataFrame | None = None,
-    users: DataFrame | None = None,
+    users: DataFrame | None = None, clock: DataFrame | None = None,
 ) -> DataFrame:
     """One stream of all kinds of change, so that one query orders its batches.
 
+    ``clock`` has dates in ``as_of``; live scores move on to the last one of a batch.
+
     A ``version`` column (bigint) orders the changes of one batch; without one
     the more advanced of two versions is taken to be the later.
     """
     parts = [
         df.select(
-            F.lit(kind).alias("kind"), F.struct(*SCHEMAS[kind].names).alias(kind),
+            F.lit(kind).alias("kind"),
+            F.struct(*(SCHEMAS[kind].names if kind in SCHEMAS else ["as_of"])).alias(kind),
             (F.col(VERSION) if VERSION in df.columns else F.lit(None)).cast("bigint")
             .alias(VERSION),
         )
         for kind, df in (
-            ("support_tickets", tickets), ("feature_usage", usage), ("users", users)
+            ("support_tickets", tickets), ("feature_usage", usage), ("users", users),
+            ("clock", clock),
         ) if df is not None
     ]
     out = parts[0]
@@ -76,11 +80,11 @@ def _progress(table: str) -> Column:
     return F.struct(rank, "resolved_date")
 
 
-def latest(rows: DataFrame, table: str) -> DataFrame:
+def latest(rows: DataFrame, table: str, *more: str) -> DataFrame:
     """Last version per key; copies of one key collapse before the shuffle."""
     version = F.struct(
         F.col("batch_id"), F.col(VERSION), _progress(table).alias("progress"),
-        F.struct(*SCHEMAS[table].names, VERSION).alias("row"),
+        F.struct(*SCHEMAS[table].names, VERSION, *more).alias("row"),
     )
     return (
         rows.groupBy(*[F.col(k).alias(f"_{k}") for k in KEYS[table]])

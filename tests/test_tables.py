@@ -3,8 +3,9 @@ import datetime as dt
 import pytest
 
 from conftest import AS_OF, by_user
-from stayline.plans.analysis import run_analysis, run_counts
-from stayline.sources.tables import ResultTables, save_bucketed, save_clustered, upsert
+from stayline.plans.analysis import run_analysis
+from stayline.sources.snapshots import PublishConflict, Snapshots
+from stayline.sources.tables import ResultTables, save_clustered, upsert
 
 SCORES = "user_id string, score long, risk_level string, reasons string, analyzed_at timestamp_ntz"
 
@@ -13,6 +14,10 @@ def scores(spark, *rows):
     return spark.createDataFrame([(u, s, r, "x", None) for u, s, r in rows], SCORES)
 
 
+def counts(run):
+    return {name: df.count() for name, df in run._asdict().items()}
+
+
 def test_repeated_run_leaves_no_old_rows(spark, tmp_path):
     tables = ResultTables(spark, str(tmp_path))
     day = dt.date(2025, 1, 6)
@@ -57,10 +62,9 @@ def test_chained_run_twice(spark, make, tmp_path):
     usage = make.usage(dict(user_id="a", last_used_date=AS_OF - dt.timedelta(days=100)))
     tickets = make.tickets(dict(user_id="a", ticket_id="T1", status="Open", priority="Critical"))
     tables = ResultTables(spark, str(tmp_path))
-    first = run_counts(run_analysis(tables, users, usage, tickets, AS_OF)).collect()
-    second = run_counts(run_analysis(tables, users, usage, tickets, AS_OF)).collect()
-    assert sorted(first) == sorted(second)
-    assert {r.table_name: r.n for r in first} == {
+    first = counts(run_analysis(tables, users, usage, tickets, AS_OF))
+    second = counts(run_analysis(tables, users, usage, tickets, AS_OF))
+    assert first == second == {
         "churn_scores": 2, "recommendations": 1, "alert_queue": 1, "alert_digest": 1,
         "weekly_reports": 1}
     assert tables.read("recommendations").select("urgency").first()[0] == "inmediata"
@@ -85,7 +89,7 @@ def test_chained_run_without_risky_users(spark, make, tmp_path):
     tables = ResultTables(spark, str(tmp_path))
     run = run_analysis(tables, make.users(dict(user_id="a")), make.usage(dict(user_id="a")),
                        make.tickets(), AS_OF)
-    assert {r.table_name: r.n for r in run_counts(run).collect()} == {
+    assert counts(run) == {
         "churn_scores": 1, "recommendations": 0, "alert_queue": 0, "alert_digest": 0,
         "weekly_reports": 1}
 
@@ -103,20 +107,6 @@ def test_clustered_layout_prunes_and_keeps_rows(spark, make, tmp_path):
     assert "PartitionFilters: [isnotnull(status" in plan and "EqualTo(user_id,hot)" in plan
 
 
-def test_bucketed_tables_join_without_shuffle(spark, make):
-    people = [dict(user_id=f"u{i}") for i in range(50)]
-    save_bucketed(make.users(*people), "bucketed_users", 4)
-    save_bucketed(scores(spark, *[(f"u{i}", i, "bajo") for i in range(50)]), "bucketed_scores", 4)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = spark.table("bucketed_users").join(spark.table("bucketed_scores"), "user_id")
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Exchange" not in plan
-        assert joined.count() == 50
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_shared_dir_is_the_clusters(spark):
     from stayline.session import shared_dir
 
@@ -158,3 +148,71 @@ def test_queue_from_stored_tables_reads_one_urgency_folder(spark, make, tmp_path
     assert [r.user_id for r in queue.collect()] == ["a"]
     plan = queue._jdf.queryExecution().executedPlan().toString()
     assert "urgency" in plan.split("PartitionFilters: [")[1]
+
+
+def test_a_killed_run_leaves_the_former_tables_whole(spark, make, tmp_path, monkeypatch):
+    users = make.users(dict(user_id="a"), dict(user_id="b"))
+    tables = ResultTables(spark, str(tmp_path))
+    run_analysis(tables, users, make.usage(), make.tickets(), AS_OF)
+    names = ("risk_profiles", "churn_scores", "profile_lookup", "recommendations", "weekly_reports")
+    before = {n: sorted(map(str, tables.read(n).collect())) for n in names}
+    open_now = make.tickets(*[dict(user_id="a", ticket_id=f"T{i}", status="Open", priority="Critical")
+                              for i in range(3)])
+    kept = ResultTables.write_run
+    for last in ("churn_scores", "recommendations", "weekly_reports"):
+        def dies(self, table, *args, last=last, **more):
+            if table == last:
+                raise KeyboardInterrupt
+            return kept(self, table, *args, **more)
+
+        monkeypatch.setattr(ResultTables, "write_run", dies)
+        with pytest.raises(KeyboardInterrupt):
+            run_analysis(tables, users, make.usage(), open_now, AS_OF)
+        assert {n: sorted(map(str, tables.read(n).collect())) for n in names} == before
+    monkeypatch.setattr(ResultTables, "write_run", kept)
+    run_analysis(tables, users, make.usage(), open_now, AS_OF)
+    assert by_user(tables.read("churn_scores"), "score") == {"a": 75, "b": 0}
+
+
+def test_readers_keep_their_version_and_old_folders_expire(spark, tmp_path):
+    tables = ResultTables(spark, str(tmp_path))
+    days = [dt.date(2025, 1, 6), dt.date(2025, 1, 13)]
+    tables.write_run("churn_scores", scores(spark, ("a", 1, "bajo")), days[0])
+    first = tables.snapshots.current()
+    old = tables.snapshots.read("churn_scores", first)
+    with tables.publishing():
+        tables.write_run("churn_scores", scores(spark, ("a", 2, "bajo")), days[0])
+        tables.write_run("churn_scores", scores(spark, ("a", 3, "bajo")), days[1])
+        assert [r.score for r in tables.read("churn_scores").collect()] == [1]
+    assert [r.score for r in old.collect()] == [1]
+    assert sorted(r.score for r in tables.read("churn_scores").collect()) == [2, 3]
+    assert tables.snapshots.current(first.version) == first
+    assert tables.snapshots.expire(keep=1) == 0  # too young
+    assert tables.snapshots.expire(keep=2, older_than=dt.timedelta()) == 0  # both versions are kept
+    assert tables.snapshots.expire(keep=1, older_than=dt.timedelta()) == 2  # a folder and a list
+    assert sorted(r.score for r in tables.read("churn_scores").collect()) == [2, 3]
+    with pytest.raises(LookupError):
+        tables.snapshots.current(first.version)
+
+
+def test_a_second_writer_is_refused(spark, tmp_path):
+    snapshots = Snapshots(spark, str(tmp_path))
+    base = snapshots.current()
+    assert (base.version, base.parts) == (0, {})
+    snapshots.publish(base, {("t", "p"): "w1"}, note="first")
+    with pytest.raises(PublishConflict):
+        snapshots.publish(base, {("t", "p"): "w2"})
+    now = snapshots.current()
+    assert (now.version, now.parts, now.note) == (1, {("t", "p"): "w1"}, "first")
+    now = snapshots.publish(now, {}, drop=[("t", "p")])
+    assert snapshots.current() == now == (2, {}, "first")
+    with pytest.raises(LookupError):
+        snapshots.read("t")
+
+
+def test_any_report_name_is_a_name(spark, tmp_path):
+    tables = ResultTables(spark, str(tmp_path))
+    for name in ("a/b", "x=y z", "año %41"):
+        tables.write_run("weekly_reports", scores(spark, (name, 1, "x")), dt.date(2025, 1, 6), report=name)
+    assert sorted((r.user_id, r.report) for r in tables.read("weekly_reports").collect()) == sorted(
+        (n, n) for n in ("a/b", "x=y z", "año %41"))
