@@ -13,12 +13,13 @@ it publishes, and refused.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 LISTS = "_snapshots"
 LISTED = "table string, part string, write string, note string, published timestamp"
@@ -29,10 +30,12 @@ class PublishConflict(RuntimeError):
 
 
 class Snapshot(NamedTuple):
-    """``parts`` maps (table, part) to the folder of the write that holds it."""
+    """``parts`` maps (table, part) to the folder of the write that holds it, ``schemas`` tables
+    to their columns as JSON, for those whose folders may hold no file."""
     version: int
     parts: dict[tuple[str, str], str]
     note: str
+    schemas: dict[str, str]
 
 
 class Snapshots:
@@ -69,26 +72,30 @@ class Snapshots:
                 .orderBy(F.desc("version"), "writer").first()
             )
             if last:
-                parts = {(r.table, r.part): r.write for r in last.rows if r.table is not None}
-                note = next((r.note for r in last.rows if r.note is not None), "")
-                return Snapshot(last.version, parts, note)
+                parts = {(r.table, r.part): r.write for r in last.rows if r.write is not None}
+                note = next((r.note for r in last.rows if r.table is None), "")
+                schemas = {r.table: r.note for r in last.rows if r.table is not None and r.write is None}
+                return Snapshot(last.version, parts, note or "", schemas)
         if version:
             raise LookupError(f"no version {version} under {self.root}")
-        return Snapshot(0, {}, "")
+        return Snapshot(0, {}, "", {})
 
     def publish(
         self, base: Snapshot, put: dict[tuple[str, str], str],
         drop: Iterable[tuple[str, str]] = (), note: str | None = None,
+        schemas: dict[str, str] | None = None,
     ) -> Snapshot:
         """The next version: ``base`` with the parts of ``put`` and without those of ``drop``."""
         gone = set(drop)
         parts = {**{k: w for k, w in base.parts.items() if k not in gone}, **put}
         note = base.note if note is None else note
-        made = Snapshot(base.version + 1, parts, note)
+        schemas = {**base.schemas, **(schemas or {})}
+        made = Snapshot(base.version + 1, parts, note, schemas)
         if self.current().version != base.version:
             raise PublishConflict(f"version {made.version} is there already")
         writer, now = uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc)
         rows = [(t, p, w, None, now) for (t, p), w in sorted(parts.items())]
+        rows += [(t, None, None, s, now) for t, s in sorted(schemas.items())]
         self.spark.createDataFrame([*rows, (None, None, None, note, now)], LISTED).coalesce(1).write.json(
             f"{self.root}/{LISTS}/version={made.version}/writer={writer}"
         )
@@ -99,13 +106,15 @@ class Snapshots:
 
     def read(self, table: str, snapshot: Snapshot | None = None) -> DataFrame:
         """All parts of a table, with the columns of their folders below the write."""
-        parts = (snapshot or self.current()).parts
-        paths = [self.folder(t, w) for (t, _), w in sorted(parts.items()) if t == table]
+        snapshot = snapshot or self.current()
+        paths = [self.folder(t, w) for (t, _), w in sorted(snapshot.parts.items()) if t == table]
         if not paths:
             raise LookupError(f"no table {table} is published under {self.root}")
-        return (
-            self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths).drop("write")
-        )
+        reader = self.spark.read.option("basePath", f"{self.root}/{table}")
+        if table in snapshot.schemas:
+            schema = T.StructType.fromJson(json.loads(snapshot.schemas[table]))
+            return reader.schema(schema).parquet(*paths)
+        return reader.parquet(*paths).drop("write")
 
     def expire(self, keep: int = 1, older_than: dt.timedelta = dt.timedelta(days=7)) -> int:
         """Removes all but the last ``keep`` lists, and the folders no kept list names, once they

@@ -9,11 +9,11 @@ risk or urgency.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
-from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .snapshots import Snapshots
 
@@ -23,24 +23,29 @@ PARTITION_BY = {
 }
 
 
+def _in_path(value: str) -> str:
+    """A partition value as Spark writes it into a folder name."""
+    return re.sub(r"""[\x01-\x1F\x7F"#%'*/:=?\\{\[\]^]""", lambda c: f"%{ord(c[0]):02X}", value)
+
+
 class ResultTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.snapshots = Snapshots(spark, root)
-        self._base, self._staged = None, {}
+        self._base, self._staged, self._schemas = None, {}, {}
 
     @contextmanager
     def publishing(self) -> Iterator[None]:
         """What is written inside becomes visible together, at the end."""
         if self._base is not None:
             raise RuntimeError("already publishing")
-        self._base, self._staged = self.snapshots.current(), {}
+        self._base, self._staged, self._schemas = self.snapshots.current(), {}, {}
         try:
             yield
             if self._staged:
-                self.snapshots.publish(self._base, self._staged)
+                self.snapshots.publish(self._base, self._staged, schemas=self._schemas)
         finally:
-            self._base, self._staged = None, {}
+            self._base, self._staged, self._schemas = None, {}, {}
 
     def stage(self, table: str, run_date: dt.date, report: str | None = None) -> str:
         """A new folder for a run's rows; it takes the place of an earlier one of the run."""
@@ -50,7 +55,7 @@ class ResultTables:
         path += f"/run_date={run_date.isoformat()}"
         part = run_date.isoformat()
         if report is not None:
-            path, part = f"{path}/report={quote(report, safe='')}", f"{part}/{report}"
+            path, part = f"{path}/report={_in_path(report)}", f"{part}/{report}"
         self._staged[table, part] = write
         return path
 
@@ -65,6 +70,10 @@ class ResultTables:
             with self.publishing():
                 return self.write_run(table, df, run_date, report)
         path = self.stage(table, run_date, report)
+        kept = T.StructType([*df.schema.fields, T.StructField("run_date", T.DateType())])
+        if report is not None:
+            kept = kept.add("report", T.StringType())
+        self._schemas[table] = kept.json()
         writer = df.write
         if table in PARTITION_BY:
             writer = writer.partitionBy(PARTITION_BY[table])

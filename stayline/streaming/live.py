@@ -280,7 +280,7 @@ class LiveScores:
             return
         now = Snapshot(state.version, {
             **state.parts, **{(t, f"0-{serial:012d}"): w for t, w in written.items()}
-        }, "")
+        }, "", {})
         written |= self._score(now, touched.distinct(), serial, as_of)
         self._publish(state, written, batch_id, serial, as_of)
 

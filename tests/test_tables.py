@@ -198,14 +198,14 @@ def test_readers_keep_their_version_and_old_folders_expire(spark, tmp_path):
 def test_a_second_writer_is_refused(spark, tmp_path):
     snapshots = Snapshots(spark, str(tmp_path))
     base = snapshots.current()
-    assert (base.version, base.parts) == (0, {})
+    assert base == (0, {}, "", {})
     snapshots.publish(base, {("t", "p"): "w1"}, note="first")
     with pytest.raises(PublishConflict):
         snapshots.publish(base, {("t", "p"): "w2"})
     now = snapshots.current()
     assert (now.version, now.parts, now.note) == (1, {("t", "p"): "w1"}, "first")
     now = snapshots.publish(now, {}, drop=[("t", "p")])
-    assert snapshots.current() == now == (2, {}, "first")
+    assert snapshots.current() == now == (2, {}, "first", {})
     with pytest.raises(LookupError):
         snapshots.read("t")
 
