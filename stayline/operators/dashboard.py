@@ -27,7 +27,7 @@ def user_detail_tickets(users: DataFrame, tickets: DataFrame) -> DataFrame:
     )
 
 
-def _paged(rows: DataFrame, profile: DataFrame, part_key: str) -> DataFrame:
+def _paged(rows: DataFrame, profile: DataFrame, *part_key: str) -> DataFrame:
     """Rows with their page: a hash of their own key deals those of large accounts.
 
     Small accounts have page 0 only, so just the large ones are joined. That
@@ -36,7 +36,7 @@ def _paged(rows: DataFrame, profile: DataFrame, part_key: str) -> DataFrame:
     """
     large = profile.where(F.col("pages") > 1).select("user_id", "pages")
     page = F.when(F.col("pages").isNull(), F.lit(0).cast("bigint")).otherwise(
-        stable_bucket(F.col(part_key), F.col("pages"))
+        stable_bucket(F.concat_ws("|", *part_key), F.col("pages"))
     )
     return rows.join(large, "user_id", "left").withColumn("page", page).drop("pages")
 
@@ -49,7 +49,7 @@ def user_360(
 
     A user with up to ``page_size`` tickets and feature rows is one row (page 0
     of 1). Those of a larger account are dealt by a hash of the ticket id or
-    the feature into as many pages as it needs, so nothing is left out and no
+    the whole feature row into as many pages as it needs, so nothing is left out and no
     row or task has to hold an unbounded list; equal feature rows count once.
     ``scored`` should be a stored table: it is read more than once.
     """
@@ -64,7 +64,7 @@ def user_360(
     # Shuffling on (user, page) spreads a large account over many tasks.
     feature = F.struct("feature", "adoption_level", "days_since_use")
     features = (
-        _paged(user_detail_features(usage, as_of), profile, "feature")
+        _paged(user_detail_features(usage, as_of), profile, "feature", "adoption_level", "days_since_use")
         .groupBy("user_id", "page")
         .agg(F.sort_array(F.collect_set(feature)).alias("features"))
     )

@@ -20,8 +20,8 @@ class Split(NamedTuple):
 
 
 def usage_key() -> Column:
-    """Generated row key of feature usage, the same on every load."""
-    return F.xxhash64("user_id", "feature")
+    """Generated row key of feature usage, unique within a load, as a sequence would give it."""
+    return F.monotonically_increasing_id()
 
 
 def _staged(raw: DataFrame, schema: T.StructType) -> DataFrame:
@@ -55,6 +55,20 @@ def split_rejects(raw: DataFrame, table: str) -> Split:
     Bad values do not stop the load. A malformed line (wrong field count) is
     rejected as a whole.
     """
+    return split_checked(checked_rows(raw, table), table)
+
+
+def split_checked(checked: DataFrame, table: str) -> Split:
+    """Both sides of rows that were read and checked once; store them to read the source once."""
+    names = TABLE_RULES[table].schema.names
+    rejects = checked.select(
+        F.lit(table).alias("table_name"), "row_key", F.inline("faults")
+    )
+    return Split(checked.where(F.size("faults") == 0).select(*[f"row.{c}" for c in names]), rejects)
+
+
+def checked_rows(raw: DataFrame, table: str) -> DataFrame:
+    """``row_key, row, faults``: every line with its typed values and what is wrong with it."""
     spec = TABLE_RULES[table]
     if MALFORMED not in raw.columns:
         raw = raw.withColumn(MALFORMED, F.lit(None).cast("string"))
@@ -81,11 +95,11 @@ def split_rejects(raw: DataFrame, table: str) -> Split:
         )
         for name, source in reasons.items()
     ])
-    rejects = checked.select(
-        F.lit(table).alias("table_name"), F.col(names[0]).alias("row_key"), F.inline(faults)
-    ).where("reason IS NOT NULL")
-    clean = F.coalesce(*[F.col(f"`reason_{name}`") for name in reasons]).isNull()
-    return Split(_values(checked.where(clean), spec.schema), rejects)
+    return checked.select(
+        F.col(names[0]).alias("row_key"),
+        F.struct(*[F.col(f"value_{c}").alias(c) for c in names]).alias("row"),
+        F.filter(faults, lambda f: f.reason.isNotNull()).alias("faults"),
+    )
 
 
 def split_duplicates(rows: DataFrame, table: str) -> Split:
@@ -107,6 +121,17 @@ def split_duplicates(rows: DataFrame, table: str) -> Split:
     return Split(by_key.select("row.*"), repeated)
 
 
+def split_known(rows: DataFrame, keys: DataFrame, table: str) -> Split:
+    """Rows whose primary key an earlier load holds (``keys``) go to the rejects."""
+    key = TABLE_RULES[table].primary_key
+    held = keys.select(F.col("key").alias(key))
+    again = rows.join(held, key, "left_semi").select(
+        F.lit(table).alias("table_name"), F.col(key).alias("row_key"), F.lit(key).alias("column_name"),
+        F.col(key).alias("raw_value"), F.lit("loaded_before").alias("reason"),
+    )
+    return Split(rows.join(held, key, "left_anti").select(*rows.columns), again)
+
+
 def split_orphans(children: DataFrame, users: DataFrame, table: str) -> Split:
     """Children load after users; rows of unknown users go to the rejects."""
     known = users.select("user_id")

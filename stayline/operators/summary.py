@@ -92,21 +92,41 @@ def _values(mask: str, more: str, domain: tuple[str, ...], closed: bool) -> Colu
     return F.when(F.col(more).isNull(), listed).otherwise(F.concat(listed, F.col(more)))
 
 
-def tickets_by_user(tickets: DataFrame, closed: bool = False) -> DataFrame:
-    """Ticket figures per user; ``ticket_id`` is unique in the input."""
+def _ticket_flags() -> dict[str, Column]:
+    """What a ticket counts for, as conditions on its row."""
     status, priority = F.col("status"), F.col("priority")
-    critical, high = priority == "Critical", priority == "High"
-    count_if = lambda cond: F.count(F.when(cond, 1))
+    return {
+        "total_tickets": F.lit(True), "open_tickets": is_open(status),
+        "critical_open_tickets": is_urgent_open(status, priority),
+        "open_critical": is_open(status) & (priority == "Critical"),
+        "open_high": is_open(status) & (priority == "High"),
+    }
+
+
+def tickets_by_user(tickets: DataFrame, closed: bool = False) -> DataFrame:
+    """Ticket figures per user. A ticket that has several rows counts once for each figure that
+    any of them fulfils; all its ratings count. ``closed`` input holds every id once."""
     category = F.col("category")
-    main = tickets.groupBy("user_id").agg(
-        F.count("*").alias("total_tickets"),
-        count_if(is_open(status)).alias("open_tickets"),
-        count_if(is_urgent_open(status, priority)).alias("critical_open_tickets"),
-        count_if(is_open(status) & critical).alias("open_critical"),
-        count_if(is_open(status) & high).alias("open_high"),
-        F.min("csat_score").alias("worst_csat"),
-        F.round(F.avg("csat_score"), 1).alias("avg_csat"),
-        *_or_all("category_mask", domain_masks(category, CATEGORIES, closed)),
+    masks = _or_all("category_mask", domain_masks(category, CATEGORIES, closed))
+    count_if = lambda cond: F.count(F.when(cond, 1))
+    rated, sums = F.count("csat_score"), F.sum("csat_score")
+    if closed:
+        counts = [count_if(cond).alias(name) for name, cond in _ticket_flags().items()]
+        rows = tickets
+    else:
+        # Rows of one ticket meet before they are counted; the spread is by ticket, not by user.
+        rows = tickets.groupBy("user_id", "ticket_id").agg(
+            *[F.max(cond).alias(name) for name, cond in _ticket_flags().items()],
+            F.min("csat_score").alias("csat_score"), rated.alias("rated"), sums.alias("csat_sum"),
+            *masks,
+        )
+        known = F.col("ticket_id").isNotNull()
+        counts = [count_if(known & F.col(name)).alias(name) for name in _ticket_flags()]
+        masks = [F.bit_or(n).alias(n) for n in _mask_names("category_mask", CATEGORIES)]
+        rated, sums = F.sum("rated"), F.sum("csat_sum")
+    main = rows.groupBy("user_id").agg(
+        *counts, F.min("csat_score").alias("worst_csat"),
+        F.round(sums / F.nullif(rated, F.lit(0)), 1).alias("avg_csat"), *masks,
     )
     if not closed:
         unlisted = tickets.where(~category.isin(*CATEGORIES)).groupBy("user_id").agg(

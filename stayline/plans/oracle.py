@@ -51,7 +51,7 @@ SELECT user_id, max(last_used_date) AS last_activity,
        list_sort(list_distinct(coalesce(list(feature) FILTER (adoption_rank >= 3), [])))
            AS adopted
 FROM usage_rank GROUP BY user_id"""
-CTES["ticket_agg"] = """
+_TICKET_AGG = """
 SELECT user_id, count(DISTINCT ticket_id) AS total_tickets,
        count(DISTINCT ticket_id) FILTER (open) AS open_tickets,
        count(DISTINCT ticket_id) FILTER (open AND priority IN ('Critical', 'High'))
@@ -61,8 +61,10 @@ SELECT user_id, count(DISTINCT ticket_id) AS total_tickets,
        count(DISTINCT ticket_id) FILTER (open AND priority IN ('Low', 'Medium')) AS open_other,
        min(csat_score) AS worst_csat, round(avg(csat_score), 1) AS avg_csat,
        array_to_string(list_sort(list_distinct(list(category))), ', ') AS ticket_categories
-FROM (SELECT *, status IN ('Open', 'In_Progress') AS open FROM support_tickets)
+FROM (SELECT *, status IN ('Open', 'In_Progress') AS open FROM {tickets})
 GROUP BY user_id"""
+CTES["ticket_agg"] = _TICKET_AGG.format(tickets="support_tickets")
+CTES["bad_ticket_agg"] = _TICKET_AGG.format(tickets="bad_tickets")
 
 
 def _scored_ctes(suffix: str, as_of: dt.date) -> None:
@@ -331,6 +333,19 @@ UNION ALL SELECT 'feature_usage', '', '*', concat('loaded ', count(*)) FROM feat
 UNION ALL SELECT 'support_tickets', '', '*', concat('loaded ', count(DISTINCT ticket_id))
 FROM raw_ok WHERE user_id IN (SELECT user_id FROM users)""")
 
+check("load_twice_rejects", """
+SELECT 'users' AS table_name, user_id AS row_key, 'user_id' AS column_name, 'loaded_before' AS reason
+FROM users WHERE plan <> 'Free'
+UNION ALL SELECT 'support_tickets', ticket_id, 'ticket_id', 'loaded_before' FROM support_tickets
+WHERE created_date < DATE '1998-01-01'
+UNION ALL SELECT 'users', 'first', '*', concat('loaded ', count(*)) FROM users
+UNION ALL SELECT 'users', 'second', '*', 'loaded 0'
+UNION ALL SELECT 'feature_usage', unnest(['first', 'second']), '*', concat('loaded ', count(*)) FROM feature_usage
+UNION ALL SELECT 'support_tickets', 'first', '*', concat('loaded ', count(*)) FROM support_tickets
+WHERE created_date < DATE '1998-01-01'
+UNION ALL SELECT 'support_tickets', 'second', '*', concat('loaded ', count(*)) FROM support_tickets
+WHERE created_date >= DATE '1998-01-01'""")
+
 # Integrity rules
 check("dq_duplicate_keys", """
 SELECT 'users' AS table_name, user_id AS key_value, count(*) AS n FROM bad_users
@@ -596,7 +611,7 @@ SELECT s.user_id, CAST(page AS BIGINT) AS page, country, plan, mrr_usd, score, r
   coalesce((SELECT string_agg(concat_ws(':', feature, adoption_level,
       DATE '{AS_OF}' - last_used_date), ',' ORDER BY feature)
     FROM feature_usage f WHERE f.user_id = s.user_id
-    AND CAST(('0x' || substr(md5(feature), 1, 7)) AS BIGINT) % s.pages = page), '') AS features,
+    AND CAST(('0x' || substr(md5(concat_ws('|', feature, adoption_level, DATE '{AS_OF}' - last_used_date)), 1, 7)) AS BIGINT) % s.pages = page), '') AS features,
   coalesce((SELECT string_agg(concat_ws(':', ticket_id, category, priority, status, created_date,
       csat_score), ',' ORDER BY ticket_id)
     FROM support_tickets t WHERE t.user_id = s.user_id
@@ -795,3 +810,6 @@ check("profile_drift", "SELECT *, lag(null_share) OVER (PARTITION BY column_name
           f"SELECT CAST(year(created_date) AS VARCHAR) AS load, '{c}' AS column_name, count(*) AS rows, "
           f"round((count(*) - count({c})) / count(*), 6) AS null_share FROM support_tickets GROUP BY 1"
           for c in _COLUMNS) + ")")
+check("repeated_tickets", """
+SELECT user_id, total_tickets, open_tickets, critical_open_tickets, open_critical, open_high,
+       worst_csat, avg_csat FROM bad_ticket_agg""")

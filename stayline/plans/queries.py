@@ -95,7 +95,7 @@ def load_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def load_feature_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _as_csv(spark, testdata.load(spark, sf_dir).feature_usage)
-    return csv_files.load_feature_usage(spark, path).accepted.drop("id")
+    return csv_files.load_feature_usage(spark, path).accepted.drop("id")  # any unique number
 
 
 @query
@@ -144,6 +144,27 @@ def load_all_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query
+def load_twice_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of the older tickets, then one of all: what the second load refuses, and rows."""
+    inputs = testdata.load(spark, sf_dir)
+    index = csv_files.KeyIndex(spark, shared_dir(spark, "keys"))
+    early = inputs.support_tickets.where(F.col("created_date") < F.lit(STREAM_FROM))
+    usage = _as_csv(spark, inputs.feature_usage)
+    paying = inputs.users.where("plan <> 'Free'")
+    first = index.load("first", _as_csv(spark, inputs.users), usage, _as_csv(spark, early))
+    second = index.load("second", _as_csv(spark, paying), usage, _as_csv(spark, inputs.support_tickets))
+    out = second.rejects.drop("raw_value")
+    for load, loaded in (("first", first), ("second", second)):
+        for name, df in loaded._asdict().items():
+            if name != "rejects":
+                out = out.unionByName(df.agg(F.count("*").alias("n")).select(
+                    F.lit(name).alias("table_name"), F.lit(load).alias("row_key"),
+                    F.lit("*").alias("column_name"), F.concat(F.lit("loaded "), F.col("n")).alias("reason"),
+                ))
+    return out
+
+
 # Integrity rules -------------------------------------------------------------------
 
 
@@ -277,6 +298,16 @@ def user_ticket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def repeated_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unchecked tickets, many of them twice: each counts once."""
+    tickets = testdata.faulty(testdata.load(spark, sf_dir)).support_tickets
+    return summary.tickets_by_user(tickets).select(
+        "user_id", "total_tickets", "open_tickets", "critical_open_tickets", "open_critical",
+        "open_high", "worst_csat", "avg_csat",
+    )
+
+
 @query
 def user_csat(spark: SparkSession, sf_dir: str) -> DataFrame:
     tickets = testdata.load(spark, sf_dir).support_tickets

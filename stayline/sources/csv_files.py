@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.ingest import (
-    MALFORMED, Split, all_rejects, split_duplicates, split_orphans, split_rejects, usage_key,
+    MALFORMED, Split, all_rejects, checked_rows, split_checked, split_duplicates, split_known,
+    split_orphans, split_rejects, usage_key,
 )
 from ..schemas import TABLE_RULES
+from ..session import written
+from .snapshots import Snapshots
 
 
 def landing_schema(table: str) -> T.StructType:
@@ -58,18 +61,85 @@ class Loaded(NamedTuple):
 def load_all(
     spark: SparkSession, users_csv: str, usage_csv: str, tickets_csv: str
 ) -> Loaded:
-    """Users first, then both children, which must name a loaded user; keys load once."""
-    users = load_users(spark, users_csv)
-    usage = load_feature_usage(spark, usage_csv)
-    tickets = load_support_tickets(spark, tickets_csv)
-    users_pk = split_duplicates(users.accepted, "users")
-    tickets_pk = split_duplicates(tickets.accepted, "support_tickets")
-    usage_fk = split_orphans(usage.accepted, users_pk.accepted, "feature_usage")
-    tickets_fk = split_orphans(tickets_pk.accepted, users_pk.accepted, "support_tickets")
-    return Loaded(
-        users_pk.accepted, usage_fk.accepted, tickets_fk.accepted,
-        all_rejects([
-            users.rejects, usage.rejects, tickets.rejects, users_pk.rejects, tickets_pk.rejects,
-            usage_fk.rejects, tickets_fk.rejects,
-        ]),
-    )
+    """Users first, then both children, which must name a loaded user; keys load once.
+
+    Each file is read and checked once; all further steps read the checked rows.
+    """
+    return _load(spark, users_csv, usage_csv, tickets_csv, None)
+
+
+def _load(
+    spark: SparkSession, users_csv: str, usage_csv: str, tickets_csv: str, index: KeyIndex | None
+) -> Loaded:
+    def read(path: str, table: str) -> Split:
+        checked = written(checked_rows(read_landing(spark, path, table), table), f"checked-{table}")
+        return split_checked(checked, table)
+
+    users, usage = read(users_csv, "users"), read(usage_csv, "feature_usage")
+    tickets = read(tickets_csv, "support_tickets")
+    usage = Split(usage.accepted.withColumn("id", usage_key()), usage.rejects)
+    parts = [users.rejects, usage.rejects, tickets.rejects]
+
+    def keyed(rows: DataFrame, table: str) -> DataFrame:
+        split = split_duplicates(rows, table)
+        parts.append(split.rejects)
+        accepted = written(split.accepted, f"keyed-{table}")
+        if index is not None:
+            split = split_known(accepted, index.keys(table), table)
+            parts.append(split.rejects)
+            accepted = split.accepted
+        return accepted
+
+    people, asked = keyed(users.accepted, "users"), keyed(tickets.accepted, "support_tickets")
+    known = people.select("user_id")
+    if index is not None:
+        known = known.union(index.keys("users"))
+    usage_fk = split_orphans(usage.accepted, known, "feature_usage")
+    tickets_fk = split_orphans(asked, known, "support_tickets")
+    parts += [usage_fk.rejects, tickets_fk.rejects]
+    return Loaded(people, usage_fk.accepted, tickets_fk.accepted, all_rejects(parts))
+
+
+class KeyIndex:
+    """The primary keys of all loads, so that a further one is checked without the rows of those
+    before it.
+
+    Keys lie sorted, in files with a bloom filter of their own; a load's keys join them, and
+    Spark filters the index by a bloom filter of the load where that is smaller. Each load
+    publishes its keys with its own list, so a load that dies leaves the index as it was.
+    """
+
+    TABLES = ("users", "support_tickets")
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.snapshots = spark, Snapshots(spark, root)
+
+    def keys(self, table: str) -> DataFrame:
+        """``key`` of every row loaded so far."""
+        state = self.snapshots.current()
+        folders = [self.snapshots.folder(t, w) for (t, _), w in state.parts.items() if t == table]
+        if not folders:
+            return self.spark.createDataFrame([], "key string")
+        return self.spark.read.schema("key string").parquet(*folders)
+
+    def holds(self, table: str, *keys: str) -> list[str]:
+        """Which of a few keys are loaded; bloom filters skip the files without them."""
+        return [r.key for r in self.keys(table).where(F.col("key").isin(*keys)).collect()]
+
+    def load(self, name: str, users_csv: str, usage_csv: str, tickets_csv: str) -> Loaded:
+        """A further load, named ``name``: keys of earlier loads are rejected, children may name
+        users of earlier loads. Its rows are stored, then its keys are published."""
+        state = self.snapshots.current()
+        if any(part == name for _, part in state.parts):
+            raise ValueError(f"load {name} is published already")
+        loaded = _load(self.spark, users_csv, usage_csv, tickets_csv, self)
+        loaded = Loaded(*(written(df, f"load-{t}") for t, df in loaded._asdict().items()))
+        put = {}
+        for table in self.TABLES:
+            put[table, name], folder = self.snapshots.new_folder(table)
+            keys = getattr(loaded, table).select(F.col(TABLE_RULES[table].primary_key).alias("key"))
+            keys.repartitionByRange("key").sortWithinPartitions("key").write.option(
+                "parquet.bloom.filter.enabled#key", "true"
+            ).parquet(folder)
+        self.snapshots.publish(state, put)
+        return loaded

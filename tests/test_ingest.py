@@ -122,3 +122,60 @@ def test_header_in_another_order_fails_loudly(spark, tmp_path):
     (tmp_path / "f.csv").write_text("\n".join(lines), encoding="utf-8")
     with pytest.raises(Exception, match="CSV header"):
         csv_files.load_feature_usage(spark, str(tmp_path / "f.csv")).accepted.collect()
+
+
+def write_csvs(folder, users, usage, tickets):
+    from stayline.schemas import FEATURE_USAGE, SUPPORT_TICKETS, USERS
+
+    folder.mkdir()
+    paths = []
+    for name, schema, rows in (("u", USERS, users), ("f", FEATURE_USAGE, usage), ("t", SUPPORT_TICKETS, tickets)):
+        path = folder / f"{name}.csv"
+        path.write_text("\n".join([",".join(schema.names), *rows]), encoding="utf-8")
+        paths.append(str(path))
+    return paths
+
+
+def test_a_further_load_checks_the_keys_of_those_before(spark, tmp_path):
+    user = "{},Colombia,Pro,2024-01-01,Paid,50.00,0.50,3".format
+    ticket = "{},{},Bug,Low,Chat,2025-01-01,,Open,,".format
+    use = "{},Inventario,used_1x,2025-01-01".format
+    index = csv_files.KeyIndex(spark, str(tmp_path / "keys"))
+    first = index.load("one", *write_csvs(
+        tmp_path / "a", [user("a"), user("b")], [use("a"), use("a")], [ticket("T1", "a")]))
+    assert first.rejects.collect() == []
+    ids = [r.id for r in first.feature_usage.collect()]
+    assert len(set(ids)) == 2  # equal rows have keys of their own
+    second = index.load("two", *write_csvs(
+        tmp_path / "b", [user("b"), user("c")], [use("a"), use("nobody")],
+        [ticket("T1", "c"), ticket("T2", "b"), ticket("T3", "c"), ticket("T4", "zz")]))
+    assert sorted(r.user_id for r in second.users.collect()) == ["c"]
+    assert sorted(r.ticket_id for r in second.support_tickets.collect()) == ["T2", "T3"]
+    assert second.feature_usage.count() == 1
+    assert {(r.table_name, r.row_key, r.reason) for r in second.rejects.collect()} == {
+        ("users", "b", "loaded_before"), ("support_tickets", "T1", "loaded_before"),
+        ("support_tickets", "T4", "unknown_user"), ("feature_usage", "nobody", "unknown_user")}
+    assert sorted(index.holds("support_tickets", "T1", "T3", "T9")) == ["T1", "T3"]
+    with pytest.raises(ValueError, match="two"):
+        index.load("two", *write_csvs(tmp_path / "c", [], [], []))
+
+
+def test_a_load_that_dies_adds_no_keys(spark, tmp_path, monkeypatch):
+    paths = write_csvs(tmp_path / "a", ["a,Colombia,Pro,2024-01-01,Paid,50.00,0.50,3"], [], [])
+    index = csv_files.KeyIndex(spark, str(tmp_path / "keys"))
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(index.snapshots, "publish", dies)
+    with pytest.raises(KeyboardInterrupt):
+        index.load("one", *paths)
+    monkeypatch.undo()
+    assert index.holds("users", "a") == []
+    assert index.load("one", *paths).users.count() == 1 and index.holds("users", "a") == ["a"]
+
+
+def test_each_file_is_scanned_once(spark, tmp_path):
+    loaded = csv_files.load_all(spark, *write_csvs(tmp_path / "a", [], [], []))
+    for df in loaded:
+        assert "csv" not in df._jdf.queryExecution().executedPlan().toString().lower().replace("csat", "")

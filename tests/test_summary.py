@@ -140,3 +140,14 @@ def test_domains_of_more_values_than_a_mask_word(make):
     for closed in (True, False):
         row = summary.usage_by_user(usage, AS_OF, AdviceRules(catalogue=names), closed).first()
         assert sorted(row.features) == ["f000", "f063", "f129"]
+
+
+def test_a_repeated_ticket_counts_once(make):
+    one = dict(user_id="a", ticket_id="T1", status="Open", priority="Critical", csat_score=2)
+    tickets = make.tickets(one, one, dict(one, status="Closed", csat_score=5, category="Onboarding"),
+                           dict(user_id="a", ticket_id="T2"), dict(user_id="b", ticket_id="T1"))
+    got = by_user(summary.tickets_by_user(tickets), "total_tickets", "open_tickets", "open_critical",
+                  "worst_csat", "avg_csat", "categories")
+    assert got == {"a": (2, 1, 1, 2, 3.0, ["Bug", "Onboarding"]), "b": (1, 0, 0, None, None, ["Bug"])}
+    unique = make.tickets(one, dict(user_id="a", ticket_id="T2"))
+    assert by_user(summary.tickets_by_user(unique, closed=True), "total_tickets", "avg_csat") == {"a": (2, 2.0)}
