@@ -36,6 +36,15 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A name for a helper column that the rows do not have, in whatever case."""
+    taken = {name.lower() for name in df.columns}
+    number = 0
+    while f"__{base}{number}" in taken:
+        number += 1
+    return f"__{base}{number}"
+
+
 def row_key(*columns: str) -> Column:
     """A 64-bit key of the columns' contents; NULL and empty differ."""
     parts: list[Column] = []

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from stayline.llm import decontaminate
@@ -63,6 +65,68 @@ def test_exact_edited_and_clean(docs, items):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3] and kept.columns == frame.columns
 
 
+def moved(rng, item, how):
+    """The item with words moved, put in, taken out or changed."""
+    tokens, at = item.split(), rng.randrange(5, 25)
+    if how == "swapped":
+        half = len(tokens) // 2
+        tokens = tokens[half:] + tokens[:half]
+    elif how == "rotated":
+        tokens = tokens[at:] + tokens[:at]
+    elif how == "inserted":
+        tokens.insert(at, "extra")
+    elif how == "deleted":
+        del tokens[at]
+    elif how == "changed":
+        tokens[at] = "other"
+    return " ".join(tokens)
+
+
+def test_moved_words_are_found_as_brute_force_finds_them(docs, items):
+    rng = random.Random(11)
+    bench, texts = [], []
+    for i in range(40):
+        item = words(1000 * i, rng.randrange(30, 60))
+        bench.append((i, item))
+        for how in ("swapped", "rotated", "inserted", "deleted", "changed", "none"):
+            around = [words(500_000 + 1000 * len(texts) + 100 * k, rng.randrange(0, 40)) for k in (1, 2)]
+            texts.append(" ".join([around[0], moved(rng, item, how), around[1]]).strip())
+    want = {(d, i) for d, text in enumerate(texts) for i, item in bench
+            if i == d // 6 and best(text, item) >= 0.8}
+    rows = decontaminate.findings(docs(texts), items(*bench)).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == want and len(want) > 140
+    for r in rows[::7]:
+        assert round(r.similarity, 2) > 0.79
+
+
+def test_shared_phrases_lay_no_windows(spark, docs, items, monkeypatch):
+    """A phrase in many items, many times in a text: rows grow with both, not with their product."""
+    phrase = words(0, 8)
+    bench = items(*((i, f"{phrase} {words(100 * (i + 1), 40)}") for i in range(60)))
+    made = {}
+    kept = decontaminate.written
+    monkeypatch.setattr(
+        decontaminate, "written", lambda df, name: made.setdefault(name, kept(df, name)))
+    found = decontaminate.findings(docs([f"{phrase} filler " * 300, words(5000, 80)]), bench)
+    assert found.collect() == []
+    assert made["shingle-hits"].count() <= 300 * 8 and made["window-starts"].count() == 0
+
+
+def test_short_items_match_inside_long_texts(docs, items):
+    bench = items((1, "alpha beta"), (2, "Gamma"), (3, "alpha beta gamma delta"), (4, "beta alpha"))
+    frame = docs(["x alpha BETA y", words(0, 50) + " gamma", "alpha beta gamma delta epsilon", "alphabeta"])
+    rows = decontaminate.findings(frame, bench).collect()
+    assert {(r.doc_id, r.item_id, r.start_word) for r in rows} == {
+        (0, 1, 1), (1, 2, 50), (2, 1, 0), (2, 2, 2), (2, 3, 0)}
+
+
+def test_clashing_columns_stay(docs, items):
+    names = ("__key", "__key0", "__row", "key", "item", "hash", "n", "sh")
+    frame = docs(["a b c d e f", "clean text of some more words"], extra=names)
+    kept = decontaminate.without_passages(frame, items((1, "a b c d e f"))).collect()
+    assert [r.doc_id for r in kept] == [1] and all(kept[0][n] == "own" for n in names)
+
+
 def test_odd_rows(docs, items, odd_texts):
     bench = items((1, "one"), (1, "one"), (2, None), (3, ""), (None, "same text here"), (5, "é ß 日本 😀"))
     frame = docs([*enumerate(odd_texts), (None, "one")], extra=["item_id", "key"])
