@@ -185,7 +185,7 @@ WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS tex
 parts AS ({' UNION ALL '.join(parts)}),
 linked AS (
   SELECT * FROM parts w WHERE kind >= {strong}
-  AND EXISTS (SELECT 1 FROM parts o WHERE o.rid = w.rid AND abs(o.a - w.a) <= {secret_scan.SCOPE}
+  AND EXISTS (SELECT 1 FROM parts o WHERE o.rid = w.rid AND greatest(o.a, w.a) - least(o.e, w.e) <= 200
               AND ({complete}))
   AND NOT EXISTS (SELECT 1 FROM parts o WHERE o.rid = w.rid AND o.kind < {strong} AND o.a <= w.a
                   AND o.e >= w.e)),

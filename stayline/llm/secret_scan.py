@@ -2,17 +2,18 @@
 
 Strong kinds (``assign``, ``access``, ``hex``) count on their own. Weak parts, such as
 an account name, a long mixed token or an endpoint, count only when a part that
-completes them lies within the same scope, that is at most ``scope`` code points
-away in the same text:
+completes them lies within the same scope, that is with at most ``scope`` code points
+between the end of one and the start of the other in the same text:
 
     an identifier is completed by a secret, an endpoint by a secret,
     a secret by an identifier or an endpoint.
 
 Every match of every pattern becomes a row (text key, kind, gap, length); running sums
-turn gaps into code point positions. The interval join then meets, for each part,
-the first and last parts of the other roles in its own and the two adjoining bins
-of ``scope`` code points. Bins are reduced to those two before the join, so a
-text full of parts costs three rows a part, not all pairs.
+turn gaps into code point positions. In the interval join a part stands in all bins of
+``scope`` code points that it touches, and a weak part looks in all bins that it reaches
+with ``scope`` added on both sides. Of the parts of a role that touch a bin only the first
+start and the last end are needed, so bins are reduced to those before the join: a text
+costs a row for each bin a part touches or reaches, not all pairs.
 
 All of it is DataFrame functions. Defined results: a NULL text counts as empty and
 has no spans; repeated rows get equal results; an empty table gives an empty one;
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import free_name, written
 
 SCOPE = 200  # code points
 
@@ -93,33 +94,43 @@ def parts(scanned: DataFrame) -> DataFrame:
     )
 
 
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def _role(kind: Column) -> Column:
     return F.element_at(F.array(*(F.lit(ROLES[k]) for k in KINDS)), kind + 1)
 
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The weak rows of ``parts`` that a part of a completing role lies next to."""
-    placed = found.withColumn("role", _role(F.col("kind"))).withColumn(
-        "bin", F.floor(F.col("start") / scope)
-    )
-    bins = placed.groupBy("key", "role", "bin").agg(
-        F.min("start").alias("first"), F.max("start").alias("last")
-    )
+    placed = found.withColumn("role", _role(F.col("kind")))
+
+    def bins_of(start: Column, end: Column) -> Column:
+        return F.sequence(F.floor(start / scope), F.floor(end / scope))
+
+    # Every bin knows how far the parts that touch it reach to either side.
+    bins = placed.withColumn("bin", F.explode(bins_of(F.col("start"), F.col("end")))).groupBy(
+        "key", "role", "bin"
+    ).agg(F.min("start").alias("first"), F.max("end").alias("last"))
     needs = F.when(F.col("role") == "secret", F.array(*map(F.lit, COMPLETED_BY["secret"])))
     needs = needs.otherwise(F.array(*map(F.lit, COMPLETED_BY["id"])))
     weak = (
         placed.where(F.col("kind") >= len(BASE))
+        .withColumns({"low": F.col("start") - scope, "high": F.col("end") + scope})
         .withColumn("need", F.explode(needs))
-        .withColumn("near", F.explode(F.array(*(F.col("bin") + d for d in (-1, 0, 1)))))
+        .withColumn("near", F.explode(bins_of(F.col("low"), F.col("high"))))
     )
+    # A part that touches a bin between the first and the last is within the scope; in the first
+    # bin it has to end late enough, in the last one to start early enough.
     joined = weak.join(
         bins.select(F.col("key"), F.col("role").alias("need"), F.col("bin").alias("near"),
                     "first", "last"),
         ["key", "need", "near"],
     ).where(
-        F.when(F.col("near") < F.col("bin"), F.col("start") - F.col("last"))
-        .when(F.col("near") > F.col("bin"), F.col("first") - F.col("start"))
-        .otherwise(0) <= scope
+        F.when(F.col("near") == F.floor(F.col("low") / scope), F.col("last") >= F.col("low"))
+        .when(F.col("near") == F.floor(F.col("high") / scope), F.col("first") <= F.col("high"))
+        .otherwise(True)
     )
     return joined.select("key", "kind", "start", "end").distinct()
 
@@ -147,7 +158,7 @@ def scan(docs: DataFrame, keep: list[str], scope: int = SCOPE) -> tuple[DataFram
     text = F.coalesce("text", F.lit(""))
     found = F.concat(*(_matches(text, k) for k in KINDS))
     scanned = written(
-        docs.select(*keep, F.xxhash64(text, F.length(text)).alias("key"), found.alias("found")),
+        docs.select(*keep, _text_key(text).alias("key"), found.alias("found")),
         "secret-scan",
     )
     all_parts = written(parts(scanned), "secret-parts")
@@ -190,6 +201,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> DataF
     ``n_chars`` is counted anew where the text has changed; other columns stay.
     """
     _, spans = scan(docs, [], scope)
+    key, cuts, new_text = (free_name(docs, name) for name in ("key", "cuts", "text"))
     before = Window.partitionBy("key").orderBy("start", "end")
     merged = (
         spans.withColumn("reach", F.max("end").over(
@@ -200,29 +212,26 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> DataF
             before.rowsBetween(Window.unboundedPreceding, 0)
         ))
         .groupBy("key", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
-        .withColumnRenamed("key", "__key")
+        .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(cuts))
+        .withColumnRenamed("key", key)
     )
     text = F.coalesce("text", F.lit(""))
     pieces = F.concat(
-        F.transform("__cuts", lambda x, i: F.substring(
+        F.transform(cuts, lambda x, i: F.substring(
             F.col("text"),
-            F.coalesce(F.get("__cuts", i - 1)["end"], F.lit(0)) + 1,
-            x["start"] - F.coalesce(F.get("__cuts", i - 1)["end"], F.lit(0)),
+            F.coalesce(F.get(cuts, i - 1)["end"], F.lit(0)) + 1,
+            x["start"] - F.coalesce(F.get(cuts, i - 1)["end"], F.lit(0)),
         )),
         F.array(F.substring(
-            F.col("text"), F.element_at("__cuts", -1)["end"] + 1, F.length("text")
+            F.col("text"), F.element_at(cuts, -1)["end"] + 1, F.length("text")
         )),
     )
-    joined = docs.withColumn("__key", F.xxhash64(text, F.length(text))).join(
-        merged, "__key", "left"
-    )
-    changed = {"text": F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(
+    joined = docs.withColumn(key, _text_key(text)).join(merged, key, "left")
+    out = joined.withColumn(new_text, F.when(F.col(cuts).isNull(), F.col("text")).otherwise(
         F.array_join(pieces, mark)
-    )}
-    out = joined.withColumn("__text", changed["text"])
+    ))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(
-            F.col("__cuts").isNull(), F.col("n_chars")
-        ).otherwise(F.length("__text").cast(docs.schema["n_chars"].dataType)))
-    return out.withColumn("text", F.col("__text")).select(*docs.columns)
+            F.col(cuts).isNull(), F.col("n_chars")
+        ).otherwise(F.length(new_text).cast(docs.schema["n_chars"].dataType)))
+    return out.withColumn("text", F.col(new_text)).select(*docs.columns)

@@ -65,19 +65,39 @@ def test_weak_parts_count_only_together(docs):
     }
 
 
+def test_scope_is_what_lies_between(docs):
+    """Long parts next to each other, and parts at exactly the scope."""
+    url, key = "https://example.com/" + "p" * 253, OPAQUE + "Zz9" * 100
+    texts = [f"{url} {OPAQUE}", f"{key} login: admin", f"login: admin {key}", f"{OPAQUE} {url}",
+             f"{OPAQUE}{' ' * 200}login: admin", f"{OPAQUE}{' ' * 201}login: admin",
+             f"login: admin{' ' * 200}{key}", f"login: admin{' ' * 201}{key}"]
+    found = {r.doc_id: bool(r.spans) for r in secret_scan.report(docs(texts)).collect()}
+    assert found == {0: True, 1: True, 2: True, 3: True, 4: True, 5: False, 6: True, 7: False}
+
+
+def test_clashing_columns_stay(docs):
+    names = ("__key", "__text", "__cuts", "__key0", "key", "start", "kind")
+    rows = secret_scan.redact(docs(["token = abcdefgh", "clean"], extra=names)).collect()
+    assert {r.text for r in rows} == {"[SECRET]", "clean"}
+    assert all(r[n] == "own" for r in rows for n in names)
+
+
 def test_linking_matches_all_pairs(spark):
     """The binned join against every pair of parts, around the borders of bins."""
     import random
 
     rng = random.Random(2)
     kinds = list(range(len(secret_scan.KINDS)))
-    rows = [(key, rng.choice(kinds), start, start + 10) for key in range(30) for start in rng.sample(range(0, 3000, 7), 8)]
+    rows = [
+        (key, rng.choice(kinds), start, start + rng.choice([5, 10, 190, 200, 399, 1500]))
+        for key in range(60) for start in rng.sample(range(0, 6000, 7), 8)
+    ]
     frame = spark.createDataFrame(rows, "key bigint, kind int, start bigint, end bigint")
     roles = [secret_scan.ROLES[k] for k in secret_scan.KINDS]
     want = {
         (k, kind, a, b) for k, kind, a, b in rows if kind >= len(secret_scan.BASE) and any(
-            k == k2 and roles[kind2] in secret_scan.COMPLETED_BY[roles[kind]] and abs(a - a2) <= 200
-            for k2, kind2, a2, _ in rows
+            k == k2 and roles[kind2] in secret_scan.COMPLETED_BY[roles[kind]]
+            and max(a, a2) - min(b, b2) <= 200 for k2, kind2, a2, b2 in rows
         )
     }
     assert {tuple(r) for r in secret_scan.linked(frame).collect()} == want and want
