@@ -4,7 +4,7 @@ The formats (e-mail, IP address, card number, phone number) find the seeds. A ca
 a run of one or more words that hold digits alone (and marks), or an ``@``, which may stand
 between words. Seeds and candidates stand in lexical patterns: the two words before, and the
 words on both sides. The graph of patterns and instances is scored in rounds, for each kind
-by itself:
+by itself, until a round changes nothing:
 
     a pattern's confidence is the mean score of what stands in it, if at least ``SUPPORT``
     of that is known; runs that begin at the same word count once, by the best;
@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from .tables import in_batches, written
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+ROUNDS = 200  # more than this is a fault: discovery ends when a round changes nothing
 SUPPORT = 5
 CONFIDENCE = 0.9
+PLACES = 6  # of a confidence; scores only rise, so in whole steps they come to rest
 CODE = 3
 FEWEST, MOST = 4, 19  # digits that any format can have, a phone number without its code too
 
@@ -246,7 +247,7 @@ def discover(places: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
     degree = written(graph.groupBy("pattern").agg(
         F.countDistinct("slot").alias("degree")
     ).where(F.col("degree") >= SUPPORT), "pii-degrees")
-    confident = None
+    confident, before = None, None
     for _ in range(rounds):
         known = graph.select("pattern", "instance", "slot").distinct().join(scores, "instance").groupBy(
             "pattern", "slot", "kind"
@@ -256,11 +257,17 @@ def discover(places: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
                 F.sum("score").alias("score"), F.count("*").alias("known")
             )
             .where(F.col("known") >= SUPPORT).join(degree, "pattern")
-            .withColumn("confidence", F.col("score") / F.col("degree"))
+            .withColumn("confidence", F.round(F.col("score") / F.col("degree"), PLACES))
             .where(F.col("confidence") >= CONFIDENCE)
             .select("pattern", "kind", "confidence"),
             "pii-patterns",
         )
+        state = confident.agg(
+            F.count("*"), F.sum(F.xxhash64("pattern", "kind", "confidence").cast("decimal(38,0)"))
+        ).first()
+        if state == before:
+            break
+        before = state
         reached = (
             graph.join(confident, "pattern").join(shapes, ["shape", "kind"])
             .groupBy("instance", "kind").agg(F.max("confidence").alias("score"))
@@ -270,6 +277,8 @@ def discover(places: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
             .groupBy("instance", "kind").agg(F.max("score").alias("score")),
             "pii-scores",
         )
+    else:
+        raise RuntimeError(f"discovery goes on after {rounds} rounds")
     found = scores.where(F.col("score") >= CONFIDENCE).join(seeds, ["instance", "kind"], "left_anti")
     return confident.select("pattern", "kind"), found.select("instance", "kind")
 
@@ -279,9 +288,9 @@ def scan(docs: DataFrame, keep: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     ``key, kind, start, end`` by text key."""
     schema = ", ".join(f"`{n}` {t}" for n, t in keep.items())
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(*keep, "text", F.xxhash64(text, F.length(text)).alias("key"))
+    keyed = docs.select(*keep, "text", F.unhex(F.sha2(text, 256)).alias("key"))
     read = written(in_batches(
-        keyed, _reader, f"{schema}, key bigint, base {SPAN}, places {PLACE}"
+        keyed, _reader, f"{schema}, key binary, base {SPAN}, places {PLACE}"
     ), "pii-places")
     places = read.where(F.size("places") > 0).select("key", F.explode("places").alias("p")).select(
         "key", "p.*"

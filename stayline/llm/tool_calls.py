@@ -7,9 +7,9 @@ ids of calls that must be done before.
 
 * Results are hash-joined to calls by conversation and id, so a conversation of any length is
   spread over all tasks.
-* The order is topological: by turn, within a message by level. Levels are longest paths among
-  the calls of one message, relaxed as often as it has calls; calls still rising then are in
-  or behind a cycle. A dependency on a later message can never be met and is an error of its
+* The order is topological: by turn, within a turn by level, over all its messages. Levels are
+  longest paths among the calls of one turn, relaxed until nothing changes; calls still rising
+  after as many rounds as there are calls are in or behind a cycle. A dependency on a later message can never be met and is an error of its
   own, as it would have to be part of a cycle through time; so no rounds over the data are needed.
 * Arguments are checked against the tool's schema (a parameter of the job).
 * Canonical JSON has sorted keys and no blanks, at every depth.
@@ -37,36 +37,60 @@ TYPES = {"string": "^STRING$", "integer": "^BIGINT$", "number": "^(BIGINT|DECIMA
          "boolean": "^BOOLEAN$", "array": "^ARRAY<.*", "object": "^OBJECT<.*"}
 
 
-def _levels(calls: str) -> Column:
-    """The level of each call of a message, its size and more within or behind a cycle."""
-    n = F.size(calls)
-    start = F.transform(calls, lambda c: F.lit(0))
+def _held(df: DataFrame, **columns: Column) -> DataFrame:
+    """The rows with computed columns that later expressions take as they are: a generated column
+    is never copied into the lambdas that read it."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
 
-    def relax(levels: Column) -> Column:
-        return F.transform(calls, lambda c: F.coalesce(F.array_max(F.transform(
-            F.coalesce(c["after"], F.array().cast("array<string>")),
-            lambda d: F.coalesce(F.get(levels, F.array_position(
-                F.transform(calls, lambda o: F.coalesce(o["id"], F.lit(""))), d
-            ).cast("int") - 1) + 1, F.lit(0)),
-        )), F.lit(0)))
 
-    # As many rounds as there are calls; a message without inner dependencies needs none.
-    inner = F.exists(calls, lambda c: F.size(F.array_intersect(
-        F.coalesce(c["after"], F.array().cast("array<string>")), F.transform(calls, lambda o: o["id"])
-    )) > 0)
-    return F.when(inner, F.aggregate(
-        F.sequence(F.lit(0), n), start, lambda levels, _: relax(levels)
-    )).otherwise(start)
+def _levels(needs: str) -> Column:
+    """The level of each call of a turn from the places of the calls it needs; the number of
+    calls and more within or behind a cycle.
+
+    Levels are relaxed until a round changes none, so as often as the longest chain is long; a
+    cycle goes on rising until every level outside of it is known.
+    """
+    start = F.transform(needs, lambda _: F.lit(0))
+
+    def relax(levels: Column) -> Column:
+        return F.transform(needs, lambda ds: F.coalesce(
+            F.array_max(F.transform(ds, lambda d: F.get(levels, d) + 1)), F.lit(0)
+        ))
+
+    def step(state: Column, _) -> Column:
+        again = F.transform(F.array(relax(state["levels"])), lambda new: F.struct(
+            new.alias("levels"), (new == state["levels"]).alias("done")
+        ))[0]
+        return F.when(state["done"], state).otherwise(again)
+
+    return F.aggregate(
+        F.sequence(F.lit(0), F.size(needs)),
+        F.struct(start.alias("levels"), F.forall(needs, lambda ds: F.size(ds) == 0).alias("done")),
+        step, lambda state: state["levels"],
+    )
 
 
 def calls_of(messages: DataFrame) -> DataFrame:
-    """``conv_id, turn, place, level, in_cycle, call_id, name, arguments, after``."""
+    """``conv_id, turn, place, level, in_cycle, call_id, name, arguments, after``.
+
+    All messages of one conversation and turn are judged together; places run over them in the
+    order of their contents.
+    """
     read = messages.where(F.col("role") == "assistant").select("conv_id", "turn", "content").distinct()
-    read = read.select("conv_id", "turn", F.from_json("content", CALLS)["tool_calls"].alias("calls"))
-    # The list is a column of its own before its levels are derived from it.
-    read = read.where(F.size("calls") > 0).select(
-        "conv_id", "turn", "calls", _levels("calls").alias("levels")
+    read = read.select("conv_id", "turn", "content", F.from_json("content", CALLS)["tool_calls"].alias("calls"))
+    read = read.where(F.size("calls") > 0).groupBy("conv_id", "turn").agg(
+        F.array_sort(F.collect_list(F.struct("content", "calls"))).alias("said")
     )
+    read = _held(read, calls=F.flatten(F.transform("said", lambda m: m["calls"]))).drop("said")
+    read = _held(read, ids=F.transform("calls", lambda c: F.coalesce(c["id"], F.lit(""))))
+    # Of calls of one id the first is meant; what no call of the turn has needs no order in it.
+    read = _held(read, needs=F.transform("calls", lambda c: F.filter(
+        F.transform(
+            F.coalesce(c["after"], F.array().cast("array<string>")),
+            lambda d: F.coalesce(F.array_position("ids", d), F.lit(0)).cast("int") - 1,
+        ), lambda place: place >= 0,
+    )))
+    read = _held(read, levels=_levels("needs"))
     return read.select(
         "conv_id", "turn", F.size("calls").alias("n"),
         F.posexplode_outer(F.arrays_zip("calls", "levels")).alias("place", "c"),

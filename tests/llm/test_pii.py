@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 import hashlib
 import random
 import re
@@ -127,3 +129,42 @@ def test_odd_runs_are_read_in_linear_time():
     step = pii._reader()
     for text in ("@ " * 50_000, "1 " * 10_000, "a@b.cd," * 30_000, "@" * 200_000, "x1" * 100_000, "1 @a " * 30_000, "((1" * 60_000):
         step({"text": [text]})
+
+
+def grown(rows, support=pii.SUPPORT, confidence=pii.CONFIDENCE):
+    """Discovery over lists: patterns and instances until nothing changes; one kind, one shape."""
+    inside = {}
+    for kind, _, instance, patterns in rows:
+        for p in patterns:
+            inside.setdefault(p, set()).add(instance)
+    seeds = {i for kind, _, i, _ in rows if kind == 0}
+    scores, before = dict.fromkeys(seeds, 1.0), None
+    while scores != before:
+        before = dict(scores)
+        sure = {}
+        for p, members in inside.items():
+            known = [scores[i] for i in members if i in scores]
+            value = round(sum(known) / len(members), 6)
+            if len(known) >= support and value >= confidence:
+                sure[p] = value
+        scores = dict.fromkeys(seeds, 1.0)
+        for p, value in sure.items():
+            for i in inside[p]:
+                scores[i] = max(scores.get(i, 0), value)
+    return set(sure), {i for i in scores if i not in seeds}
+
+
+def test_a_chain_of_contexts_is_followed_to_its_end(spark):
+    """Each pattern becomes sure only through what the one before it has found."""
+    rows = [(0, "a9", f"seed{i}", [f"p{k}" for k in range(7)]) for i in range(100)]
+    for k in range(1, 8):
+        rows += [(-1, "a9", f"level{k}-{i}", ([f"p{k}"] if k < 7 else []) + ([f"p{k - 1}"] if i < 5 else []))
+                 for i in range(8)]
+    rows += [(-1, "a9", f"noise{i}", ["q"]) for i in range(40)] + [(0, "a9", "seed3", ["q"])]
+    frame = spark.createDataFrame(rows, "kind int, shape string, instance string, patterns array<string>")
+    patterns, instances = pii.discover(frame)
+    want = grown(rows)
+    assert ({r.pattern for r in patterns.collect()}, {r.instance for r in instances.collect()}) == want
+    assert {f"level{k}-0" for k in range(1, 8)} <= want[1] and "noise0" not in want[1]
+    with pytest.raises(RuntimeError, match="3 rounds"):
+        pii.discover(frame, rounds=3)

@@ -134,3 +134,36 @@ def test_query_against_plain_rules(spark):
         got = rows[key].errors.split(",")
         assert [e for e in got if e in ("cycle", "unknown_dependency", "later_dependency")] == errors, key
         assert rows[key].result_turn == (result[0] if result else None)
+
+
+def test_messages_of_one_turn_are_judged_together(linked):
+    """Repeated ids, cycles and order across the messages of a turn."""
+    rows = linked(
+        calls(1, 0, call("a", after=["b"])), calls(1, 0, call("b", after=["a"], name="lookup")), calls(1, 0, call("a")),
+        calls(2, 0, call("x", after=["y"])), calls(2, 0, call("y")), results(2, 1, "x", "y"),
+    )
+    of = lambda conv: [r for k, r in sorted(rows.items()) if k[0] == conv]
+    errors = [set(r.errors.split(",")) & {"repeated_id", "cycle"} for r in of(1)]
+    assert len(errors) == 3 and sum("repeated_id" in e for e in errors) == 1 and sum("cycle" in e for e in errors) >= 2
+    assert {r.call_id: r.level for r in of(2) if r.status == "ok"} == {"x": 1, "y": 0}
+
+
+def test_long_turns_take_seconds(spark):
+    """Thousands of calls in one message: a flat one, one long chain, and a cycle at its end."""
+    import time
+
+    def message(conv, deps):
+        body = {"tool_calls": [{"id": f"c{i}", "name": "lookup", "arguments": "{}", "after": d} for i, d in enumerate(deps)]}
+        return (conv, 0, "assistant", json.dumps(body))
+
+    n = 5000
+    flat = message(1, [[f"c{i - 1}"] if i % 2 else [] for i in range(n)])
+    chain = message(2, [[f"c{i - 1}"] if i else [] for i in range(1500)])
+    cycle = message(3, [[f"c{(i - 1) % 800}"] for i in range(800)])
+    frame = spark.createDataFrame([flat, chain, cycle], "conv_id bigint, turn bigint, role string, content string")
+    began = time.time()
+    rows = {(r.conv_id, r.place): (r.level, r.in_cycle) for r in tool_calls.calls_of(frame).collect()}
+    assert time.time() - began < 60
+    assert all(rows[1, i] == (i % 2, False) for i in range(n))
+    assert all(rows[2, i] == (i, False) for i in range(1500))
+    assert all(rows[3, i][1] for i in range(800))
