@@ -813,3 +813,5 @@ check("profile_drift", "SELECT *, lag(null_share) OVER (PARTITION BY column_name
 check("repeated_tickets", """
 SELECT user_id, total_tickets, open_tickets, critical_open_tickets, open_critical, open_high,
        worst_csat, avg_csat FROM bad_ticket_agg""")
+check("ticket_lookup", """
+SELECT * FROM support_tickets WHERE status = 'In_Progress' AND year(created_date) = 1998""")

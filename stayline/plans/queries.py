@@ -15,7 +15,7 @@ from ..operators import (
 from ..schemas import SUPPORT_TICKETS, USERS
 from ..session import shared_dir, written
 from ..sources import csv_files, testdata
-from ..sources.tables import ResultTables, upsert
+from ..sources.tables import LOOKUPS, ResultTables, save_lookup, upsert
 from ..sources.testdata import AS_OF, Inputs
 from ..streaming.live import LiveScores
 from ..streaming.refresh import SCHEMAS, ScoreRefresh, change_stream
@@ -989,3 +989,14 @@ def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.profile_drift(_load_profiles(spark, sf_dir)).select(
         "load", "column_name", "rows", "null_share", "null_share_before"
     )
+
+
+@query
+def ticket_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets in progress of one year, from the lookup layout of all tickets."""
+    path = shared_dir(spark, "lookup")
+    tickets = testdata.load(spark, sf_dir).support_tickets
+    save_lookup(tickets, path, LOOKUPS["support_tickets"])
+    return spark.read.schema(tickets.schema).parquet(path).where(
+        (F.col("status") == "In_Progress") & (F.year("created_date") == STREAM_FROM.year)
+    )

@@ -5,7 +5,7 @@ import pytest
 from conftest import AS_OF, by_user
 from stayline.plans.analysis import run_analysis
 from stayline.sources.snapshots import PublishConflict, Snapshots
-from stayline.sources.tables import ResultTables, save_clustered, upsert
+from stayline.sources.tables import LOOKUPS, ResultTables, save_clustered, save_lookup, upsert
 
 SCORES = "user_id string, score long, risk_level string, reasons string, analyzed_at timestamp_ntz"
 
@@ -216,3 +216,42 @@ def test_any_report_name_is_a_name(spark, tmp_path):
         tables.write_run("weekly_reports", scores(spark, (name, 1, "x")), dt.date(2025, 1, 6), report=name)
     assert sorted((r.user_id, r.report) for r in tables.read("weekly_reports").collect()) == sorted(
         (n, n) for n in ("a/b", "x=y z", "año %41"))
+
+
+def rows_scanned(df):
+    """Rows of the row groups that a lookup had to read, and its result."""
+    result = df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return leaf.metrics().apply("numOutputRows").value(), result
+
+
+def test_a_lookup_reads_a_small_share(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    n, path = 60_000, str(tmp_path / "tickets")
+    status = F.element_at(F.array(*map(F.lit, ("Open", "In_Progress", "Resolved", "Closed"))),
+                          (F.col("id") % 4 + 1).cast("int"))
+    tickets = spark.range(n).select(
+        F.concat(F.lit("T"), "id").alias("ticket_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 5000)).alias("user_id"),
+        status.alias("status"), F.date_add(F.lit("2024-01-01"), (F.col("id") * 7919 % 730).cast("int")).alias("created_date"),
+    )
+    save_lookup(tickets, path, LOOKUPS["support_tickets"], files=64)
+    stored = spark.read.parquet(path)
+    assert stored.count() == n and stored.columns == tickets.columns
+    read, found = rows_scanned(stored.where("user_id = 'u4321'"))
+    assert len(found) == tickets.where("user_id = 'u4321'").count() and read <= 0.2 * n
+    month = "status = 'Closed' AND created_date BETWEEN '2024-03-01' AND '2024-03-31'"
+    read, found = rows_scanned(stored.where(month))
+    assert len(found) == tickets.where(month).count() > 0 and read <= 0.25 * n
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 3 * n / 64  # the hot user fills many files
+
+
+def test_lookups_of_all_tables_keep_their_rows(spark, make, tmp_path):
+    usage = make.usage(dict(user_id="a"), dict(user_id=None, feature="other", last_used_date=None))
+    for name, df in (("feature_usage", usage), ("feature_usage", usage.limit(0)),
+                     ("churn_scores", scores(spark, ("a", 1, "bajo"), ("b", None, None)))):
+        path = str(tmp_path / f"{name}{df.count()}")
+        save_lookup(df, path, LOOKUPS[name])
+        assert sorted(map(str, spark.read.schema(df.schema).parquet(path).collect())) == sorted(map(str, df.collect()))
