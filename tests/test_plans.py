@@ -23,7 +23,15 @@ def no_broadcast(spark):
 WRITES = {
     "load_users", "load_feature_usage", "load_support_tickets", "report_history", "run_analysis",
     "insert_results", "stream_score_refresh", "load_all_rejects", "run_from_replies",
-    "top_from_tables", "risk_list",
+    "top_from_tables", "risk_list", "load_twice_rejects", "live_scores", "resolution_sketches",
+}
+# Windows of the other queries run by bucket; these run over rows that are few by design.
+WINDOWS = {
+    "risk_history": "user_id",  # one row a run
+    "time_in_band": "user_id",
+    "score_agreement": "part",  # distinct values of one range
+    "agreement_deciles": "part",
+    "profile_drift": "column_name",  # one row a load
 }
 
 
@@ -33,7 +41,7 @@ def test_plan_shape(no_broadcast, name):
     assert "Cartesian" not in text and "NestedLoop" not in text
     assert "Python" not in text and "ArrowEval" not in text
     for window in re.findall(r"Window \[[^\n]*", text):
-        assert re.search(r"\], \[bucket", window), window
+        assert re.search(rf"\], \[{WINDOWS.get(name, 'bucket')}#", window), window
     broadcasts = text.count("BroadcastExchange")
     assert broadcasts <= 3, "only the per-plan fit table may be broadcast"
 
