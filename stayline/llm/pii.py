@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import in_batches, written
+from .tables import in_batches, join_copies, written
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 200  # more than this is a fault: discovery ends when a round changes nothing
@@ -324,7 +324,7 @@ def report(docs: DataFrame) -> DataFrame:
         F.collect_list(F.struct("start", "kind", "end"))
     ).alias("more"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    both = rows.join(more, "key", "left").withColumn("more", F.coalesce("more", none))
+    both = join_copies(rows, more, "key").withColumn("more", F.coalesce("more", none))
     everything = F.array_sort(F.concat(
         F.transform("base", lambda x: F.struct(
             x["start"].alias("start"), x["kind"].alias("kind"), text("", x).alias("text"))),

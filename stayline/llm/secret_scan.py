@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import free_name, written
+from .tables import free_name, join_copies, written
 
 SCOPE = 200  # code points
 
@@ -182,7 +182,7 @@ def report(docs: DataFrame) -> DataFrame:
         ).alias("span"))
         .groupBy("key").agg(F.array_sort(F.collect_list("span")).alias("all"))
     )
-    both = rows.join(found, "key", "left").withColumn(
+    both = join_copies(rows, found, "key").withColumn(
         "all", F.coalesce("all", F.array().cast("array<struct<start:bigint,kind:int,text:string>>"))
     ).withColumn("base", F.filter("all", lambda x: x["kind"] < len(BASE)))
     def count(kind: int) -> Column:
@@ -226,7 +226,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> DataF
             F.col("text"), F.element_at(cuts, -1)["end"] + 1, F.length("text")
         )),
     )
-    joined = docs.withColumn(key, _text_key(text)).join(merged, key, "left")
+    joined = join_copies(docs.withColumn(key, _text_key(text)), merged, key)
     out = joined.withColumn(new_text, F.when(F.col(cuts).isNull(), F.col("text")).otherwise(
         F.array_join(pieces, mark)
     ))

@@ -45,6 +45,19 @@ def free_name(df: DataFrame, base: str) -> str:
     return f"__{base}{number}"
 
 
+def join_copies(rows: DataFrame, more: DataFrame, key: str, deals: int = 16) -> DataFrame:
+    """``rows`` with what ``more`` has for their ``key`` (one row a key), NULL for the others.
+
+    Many rows may share a key, as copies of one text do. They are dealt by ``doc_id`` over
+    ``deals`` keys of the join, and each row of ``more`` goes to all of these, so no task gets
+    all copies. The deal follows the row alone, so a repeated task deals alike.
+    """
+    deal = free_name(rows, "deal")
+    dealt = rows.withColumn(deal, F.pmod(F.xxhash64("doc_id"), F.lit(deals)).cast("int"))
+    spread = more.withColumn(deal, F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
+    return dealt.join(spread, [key, deal], "left").drop(deal)
+
+
 def row_key(*columns: str) -> Column:
     """A 64-bit key of the columns' contents; NULL and empty differ."""
     parts: list[Column] = []
