@@ -19,11 +19,11 @@ the different snippets of a batch of whole groups:
 3. neighbours in the order whose common prefix has 50 bytes form a run, and the smallest id
    of a run says from which ids on its strings are repeats.
 
-Shuffles carry anchors (16 bytes a row, about 6 % of the positions), the snippets of shared
+Shuffles carry anchors (20 bytes a row, about 6 % of the positions), the snippets of shared
 anchors, and each text twice for the joins by document. Exact copies are one text: they are
-resolved by the digest of the whole text. Anchors that more than ``HOT`` texts have are resolved
-string by string, by partial minima and a join that can be split; that is exact too, and no task
-meets all rows of one anchor.
+resolved by the digest of the whole text. Anchors whose snippets have more than ``HOT_BYTES``
+together, of many texts or of one long one, are resolved string by string, by partial minima and
+a join that can be split; that is exact too, and no task meets all rows of one anchor.
 
 Defined results: a NULL text is empty; texts below 50 bytes lose nothing; a NULL id is larger
 than any other; rows of one id never count against each other; repeated rows get equal results.
@@ -41,7 +41,7 @@ from .tables import in_batches, slices, written
 
 LENGTH = 50
 PIECE = 16
-HOT = 100_000
+HOT_BYTES = 8_000_000
 BATCH_BYTES = 4_000_000
 SLICE_BYTES = 1_000_000
 LAST = (1 << 63) - 1
@@ -186,33 +186,37 @@ def _anchors():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, SLICE_BYTES):
-                found, keys = [], []
+                found, keys, sizes = [], [], []
                 for text, key in zip(part.column(1).to_pylist(), part.column(0).to_pylist(), strict=True):
-                    own = np.unique(runs((text or "").encode())[0])
+                    anchor, first, last = runs((text or "").encode())
+                    own, of = np.unique(anchor, return_inverse=True)
                     found.append(own)
                     keys.append(np.full(len(own), key, dtype=np.int64))
+                    size = np.bincount(of, weights=last - first + LENGTH, minlength=len(own))
+                    sizes.append(np.minimum(size, HOT_BYTES + 1).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found)), pa.array(np.concatenate(keys))],
-                    names=["anchor", "txt"],
+                    [pa.array(np.concatenate(x)) for x in (found, keys, sizes)],
+                    names=["anchor", "txt", "size"],
                 )
 
     return run
 
 
 def _shared():
-    """Sorted rows ``anchor, txt`` to those whose anchor has two texts or more."""
+    """Sorted rows ``anchor, txt, size`` to those whose anchor has two texts or more."""
     import numpy as np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # What is left of the last anchor: its one text so far, or that it is shared already.
-        anchor = txt = None
+        anchor = txt = size = None
         shared = False
         for batch in batches:
-            a, t = (batch.column(i).to_numpy() for i in (0, 1))
+            a, t, s = (batch.column(i).to_numpy() for i in range(3))
             if not len(a):
                 continue
             if anchor is not None and a[0] == anchor and not shared:
                 a, t = np.concatenate([[anchor], a]), np.concatenate([[txt], t])
+                s = np.concatenate([[size], s])
             first = np.concatenate([[True], a[1:] != a[:-1]])
             new = first | np.concatenate([[True], t[1:] != t[:-1]])
             run_of = np.cumsum(first) - 1
@@ -224,9 +228,10 @@ def _shared():
             if anchor is not None and shared and a[0] == anchor and t[0] == txt:
                 keep[0] = False
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a[keep]), pa.array(t[keep])], names=["anchor", "txt"]
+                [pa.array(a[keep]), pa.array(t[keep]), pa.array(s[keep].astype(np.int32))],
+                names=["anchor", "txt", "size"],
             )
-            anchor, txt, shared = a[-1], t[-1], bool(many[-1])
+            anchor, txt, size, shared = a[-1], t[-1], s[-1], bool(many[-1])
 
     return run
 
@@ -273,6 +278,7 @@ def _cut():
     return run
 
 
+ANCHORS = "anchor bigint, txt bigint, size int"
 SNIPPETS = "anchor bigint, snippet binary, id bigint, txt bigint, at bigint, last bigint"
 RANGES = "id bigint, txt bigint, a bigint, b bigint"
 
@@ -378,13 +384,14 @@ def removals(docs: DataFrame) -> DataFrame:
     # Distinct before the join: a hot digest's rows can then be split over tasks.
     copies = slim.distinct().join(classes, ["digest", "txt"]).where("first < id").select("id", "txt")
 
-    anchors = keyed.select("txt", "text").mapInArrow(_anchors(), "anchor bigint, txt bigint")
+    anchors = keyed.select("txt", "text").mapInArrow(_anchors(), ANCHORS)
     shared = written(
         anchors.repartition(parts, "anchor").sortWithinPartitions("anchor", "txt")
-        .mapInArrow(_shared(), "anchor bigint, txt bigint"), "suffix-shared",
+        .mapInArrow(_shared(), ANCHORS), "suffix-shared",
     )
     hot = written(
-        shared.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor"),
+        shared.groupBy("anchor").agg(F.sum("size").alias("size"))
+        .where(F.col("size") > HOT_BYTES).select("anchor"),
         "suffix-hot",
     )
 

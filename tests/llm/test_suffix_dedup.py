@@ -61,12 +61,28 @@ def test_hard_texts(docs, hard_rows):
     assert got(suffix_dedup.without_repeats(frame, COLUMNS)) == expected(hard_rows)
 
 
-@pytest.mark.parametrize("name, value", [("HOT", 1), ("HOT", 4), ("BATCH_BYTES", 500)])
+@pytest.mark.parametrize("name, value", [("HOT_BYTES", 1), ("HOT_BYTES", 400), ("BATCH_BYTES", 500)])
 def test_hot_anchors_and_small_batches_give_the_same(docs, hard_rows, monkeypatch, name, value):
     monkeypatch.setattr(suffix_dedup, name, value)
     assert got(suffix_dedup.without_repeats(docs(hard_rows), COLUMNS)) == expected(hard_rows)
 
 
+def test_one_long_text_makes_its_anchor_hot(spark, docs, monkeypatch):
+    """Two texts, one of which has an anchor's piece among ever different words."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("bcdefgh", k=60))
+    piece = min(("".join(rng.choices("a é", k=24)) for _ in range(200)), key=lambda x: int(
+        suffix_dedup.anchor_runs()((x * 4).encode())[0].min()))
+    lines = [f"{word()}{piece}{word()}" for _ in range(300)]
+    rows = [(1, "".join(lines)), (2, "x" + lines[7] + word() + lines[250][20:] + piece)]
+    hot = []
+    plain = suffix_dedup._by_strings
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 10_000)
+    monkeypatch.setattr(suffix_dedup, "_by_strings", lambda s: hot.append(s.count()) or plain(s))
+    assert got(suffix_dedup.without_repeats(docs(rows), COLUMNS)) == expected(rows)
+    assert hot and hot[0] > 200  # of the 300 some words hold a lesser piece
+
+
 def test_long_odd_and_empty(docs, odd_texts):
     assert suffix_dedup.without_repeats(docs([])).collect() == []
     rows = list(enumerate(odd_texts))
