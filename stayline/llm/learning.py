@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ROWS = 12_000  # documents a model is fitted on, at most
+MAX_BYTES = 256_000_000  # their features together; one document may have a sixteenth of it
 
 
 def fold(modulus: int) -> Column:
@@ -35,6 +36,23 @@ def labelled_sample(
     )
 
 
+def within_bytes(rows: DataFrame, *features: str, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """The written ``rows`` of a sample whose binary ``features`` fit into ``max_bytes``.
+
+    They are taken in the order of a hash of the id until the bytes are used up; rows of more
+    than a sixteenth of them are left out. Only ids and sizes of the sample's rows, which are
+    bounded in number, meet in one task and are broadcast.
+    """
+    size = sum((F.octet_length(name).cast("bigint") for name in features), F.lit(0).cast("bigint"))
+    so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fits = (
+        rows.select("doc_id", size.alias("size")).where(F.col("size") <= max_bytes // 16)
+        .withColumn("so_far", F.sum("size").over(so_far)).where(F.col("so_far") <= max_bytes)
+        .select("doc_id")
+    )
+    return rows.join(F.broadcast(fits), "doc_id")
+
+
 def word_hasher():
     """Texts to arrays of 32-bit word hashes: ASCII lower case, ASCII marks split words."""
     from zlib import crc32

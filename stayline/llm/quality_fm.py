@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .learning import MAX_ROWS, fold, labelled_sample, slots, word_hasher
+from .learning import MAX_ROWS, fold, labelled_sample, slots, within_bytes, word_hasher
 from .tables import in_batches, written
 
 BITS = 15
@@ -132,10 +132,10 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int = MA
 
         return step
 
-    rows = written(
+    rows = within_bytes(written(
         in_batches(sample, make, "doc_id bigint, label int, place binary, value binary"),
         "quality-sample",
-    )
+    ), "place", "value")
 
     def learn(frame):
         import pandas as pd
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int = MA
         bias, w, v = _fit(frame.sort_values("doc_id"), bits)
         return pd.DataFrame({"bias": [bias], "w": [w.tobytes()], "v": [v.tobytes()]})
 
-    # The sample is bounded; one group holds it, and the model comes back as one row.
+    # The sample is bounded in rows and bytes; one group holds it, and the model is one row.
     model = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(
         learn, "bias double, w binary, v binary"
     ).first()

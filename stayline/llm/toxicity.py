@@ -5,10 +5,11 @@ with one word between in a table of ``2 ** BITS``. Every coordinate has its own
 learning rate; L1 leaves few weights other than zero, and only those are sent to
 the scoring tasks.
 
-Training is spread over shards of a bounded labelled sample. A round starts all
-shards from the same state; each one passes over its rows in a fixed order, and
-Spark averages the changes of each coordinate over the shards that met it into
-the next state. The state is bounded by the table, whatever the corpus.
+The labelled sample is bounded in rows and in bytes of features, so by default one shard
+holds it; ``train`` takes more. A round starts all shards from the same state; each one
+passes over its rows in a fixed order, and Spark averages the changes of each coordinate
+over the shards that met it into the next state. The state is bounded by the table,
+whatever the corpus.
 
 Defined results: NULL and empty texts get the score of the bias alone; labels
 that are all alike, or none, give a model of the bias; a NULL ``doc_id`` is held
@@ -22,7 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .learning import MAX_ROWS, labelled_sample, slots, word_hasher
+from .learning import MAX_ROWS, labelled_sample, slots, within_bytes, word_hasher
 from .tables import in_batches, written
 
 BITS = 18
@@ -103,9 +104,9 @@ def train(sample: DataFrame, bits: int = BITS, shards: int = SHARDS, rounds: int
             np.unique(features(t)).astype("<i4").tobytes() for t in columns["text"]
         ]}
 
-    rows = written(
+    rows = within_bytes(written(
         in_batches(sample, make, "doc_id bigint, label int, features binary"), "toxic-sample"
-    ).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    ), "features").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
     size = 1 << bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     for _ in range(rounds):

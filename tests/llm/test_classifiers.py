@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 import zlib
 
 import numpy as np
@@ -61,6 +63,92 @@ def test_sample_is_bounded_and_ignores_the_held_out(spark, docs):
     assert len(rows) == 50 and not any(held(r.doc_id, 3, 1) for r in rows)
 
 
+def test_sample_is_bounded_in_bytes(spark):
+    sizes = {i: 10 + 7 * (i % 5) for i in range(60)} | {60: 63, 61: 62}
+    rows = spark.createDataFrame([(i, b"x" * n) for i, n in sizes.items()], "doc_id bigint, features binary")
+    kept = [r.doc_id for r in learning.within_bytes(rows, "features", max_bytes=1000).collect()]
+    assert 60 not in kept and len(kept) == len(set(kept))  # 63 is more than a sixteenth
+    used = sum(sizes[i] for i in kept)
+    assert 1000 - 63 < used <= 1000
+    assert {r.doc_id for r in learning.within_bytes(rows, "features").collect()} == set(sizes)
+
+
+WORDS = "good bad worse kind words of a text that is short and plain".split()
+
+
+def labelled_rows(n=150):
+    """Random texts; the label follows one word and one pair of words."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(n):
+        words = rng.choices(WORDS, k=rng.randint(0, 12))
+        rows.append((i, " ".join(words), int("worse" in words or ("bad", "text") in zip(words, words[1:], strict=False))))
+    return rows
+
+
+def test_ftrl_against_a_plain_refit(spark):
+    """Every round, row and coordinate written out, one number at a time."""
+    rows, bits = labelled_rows(), 10
+    sample = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    weights = toxicity.train(sample, bits=bits)
+    features, bias = toxicity.featurizer(bits), 1 << bits
+    z, n = {}, {}
+
+    def weight(i):
+        zi, step = z.get(i, 0.0), (toxicity.BETA + math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA
+        if i == bias:
+            return -zi / step
+        return 0.0 if abs(zi) <= toxicity.L1 else (math.copysign(toxicity.L1, zi) - zi) / (step + toxicity.L2)
+
+    for _ in range(toxicity.ROUNDS):
+        for _, text, label in rows:
+            places = [*sorted({int(p) for p in features(text)}), bias]
+            now = {i: weight(i) for i in places}
+            g = 1 / (1 + math.exp(-sum(now.values()))) - label
+            for i in places:
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / toxicity.ALPHA * now[i]
+                n[i] = old + g * g
+    plain = {i: w for i in z if (w := weight(i)) != 0}
+    assert len(plain) > 5 and set(plain) == set(weights.place)
+    assert all(math.isclose(plain[i], w, rel_tol=1e-6) for i, w in zip(weights.place, weights.weight, strict=True))
+
+
+def test_machine_against_a_plain_refit(spark, docs):
+    """AdaGrad over all pairs, one coordinate at a time, from the same start."""
+    rows, bits = [r for r in labelled_rows(60) if not held(r[0], 5, 0)], 6
+    labels = spark.createDataFrame([(i, y, 0) for i, _, y in rows], "doc_id bigint, quality int, toxic int")
+    bias, w, v = quality_fm.fit(docs([(i, t) for i, t, _ in rows]), labels, bits=bits)
+    features, rank = quality_fm.featurizer(bits), quality_fm.RANK
+    size = (1 << bits) + len(quality_fm.STATS) * quality_fm.RANGES
+    pw = [0.0] * size
+    pv = np.random.default_rng(7).normal(0, 0.05, (size, rank)).tolist()
+    gw, gv, pb, gb = [1e-8] * size, [[1e-8] * rank for _ in range(size)], 0.0, 1e-8
+    rate, regular = quality_fm.RATE, quality_fm.REGULAR
+    for _ in range(quality_fm.EPOCHS):
+        for _, text, label in rows:
+            place, value = features(text)
+            x = list(zip(place.tolist(), value.astype("<f4").astype(float).tolist(), strict=True))
+            raw = pb + sum(pw[i] * xi for i, xi in x) + sum(
+                sum(a * b for a, b in zip(pv[i], pv[j], strict=True)) * xi * xj
+                for k, (i, xi) in enumerate(x) for j, xj in x[k + 1:])
+            g = 1 / (1 + math.exp(-raw)) - label
+            gb += g * g
+            pb -= rate * g / math.sqrt(gb)
+            others = {i: [sum(pv[j][f] * xj for j, xj in x if j != i) for f in range(rank)] for i, _ in x}
+            for i, xi in x:
+                step = g * xi + regular * pw[i]
+                gw[i] += step * step
+                pw[i] -= rate * step / math.sqrt(gw[i])
+                for f in range(rank):
+                    step = g * xi * others[i][f] + regular * pv[i][f]
+                    gv[i][f] += step * step
+                    pv[i][f] -= rate * step / math.sqrt(gv[i][f])
+    assert math.isclose(bias, pb, rel_tol=1e-4, abs_tol=1e-4)
+    assert np.allclose(w, pw, atol=1e-3) and np.allclose(v, pv, atol=1e-3)
+    assert np.abs(w).max() > 0.1
+
+
 def test_ftrl_update_and_sparsity():
     """One coordinate against the update written out; small sums stay exactly zero."""
     z, n = np.array([toxicity.L1 / 2, -toxicity.L1 - 3.0]), np.array([4.0, 4.0])
