@@ -5,8 +5,6 @@ Written from the contracts: every string, window and pair is compared plainly.
 
 from __future__ import annotations
 
-from . import quality_rules, secret_scan
-
 REPEATED_BYTES = """
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS o,
@@ -90,22 +88,25 @@ SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, m.n
 FROM m JOIN below USING (p) LEFT JOIN m u ON m.d > 0 AND u.p = m.p[1:m.d - 1]"""
 
 
+# The rules of op4: what is compared and the cutoffs on trial; a cutoff may reject 1 % of the good
+# texts of a language and length band, with an error of 5 % over all trials.
+RULES = {
+    "symbols": ("n_symbols", "word_chars", "[0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3]"),
+    "repeated_lines": ("n_dup_lines", "n_lines", "[0.05, 0.1, 0.2, 0.3, 0.4, 0.5]"),
+    "repeated_words": ("n_repeat_words", "n_words", "[0.02, 0.05, 0.1, 0.15, 0.2, 0.25]"),
+    "long_words": ("word_chars", "n_words", "[6.0, 7.0, 8.0, 9.0, 10.0, 12.0, 15.0]"),
+}
+
+
 def _rule_verdicts() -> str:
-    rules = quality_rules.RULES
-    rate = {
-        r: f"CASE WHEN {x.split(' / ')[1]} > 0 THEN {x.split(' / ')[0]} / {x.split(' / ')[1]} ELSE 0 END"
-        for r, (x, _) in rules.items()
-    }
     grid = " UNION ALL ".join(
-        f"SELECT '{r}' AS rule, unnest({list(cuts)}::DOUBLE[]) AS cut" for r, (_, cuts) in rules.items()
+        f"SELECT '{r}' AS rule, unnest({cuts}::DOUBLE[]) AS cut" for r, (_, _, cuts) in RULES.items()
     )
     values = " UNION ALL ".join(
-        f"SELECT rid, doc_id, in_lang, no_lang, band, '{r}' AS rule, {rate[r]} AS value FROM m WHERE NOT base_failed"
-        for r in rules
+        f"SELECT rid, doc_id, in_lang, no_lang, band, '{r}' AS rule, "
+        f"CASE WHEN {of} > 0 THEN {part} / {of} ELSE 0 END AS value FROM m WHERE NOT base_failed"
+        for r, (part, of, _) in RULES.items()
     )
-    n_tests = sum(len(cuts) for _, cuts in rules.values())
-    a, d = quality_rules.ALPHA, quality_rules.DELTA
-    bands = " + ".join(f"(n_words >= {b})::INT" for b in quality_rules.BANDS)
     return f"""
 WITH t AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text,
@@ -126,12 +127,16 @@ c AS (
          CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words FROM t LEFT JOIN rep ON rep.rid = t.rid),
 m AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-         coalesce(lang, '') AS in_lang, lang IS NULL AS no_lang, {bands} AS band FROM c),
+         coalesce(lang, '') AS in_lang, lang IS NULL AS no_lang,
+         CASE WHEN n_words >= 1000 THEN 2 WHEN n_words >= 100 THEN 1 ELSE 0 END AS band FROM c),
 v AS ({values}),
 known AS (SELECT doc_id, min(quality) AS quality FROM labels
           WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
-one AS (SELECT v.*, quality FROM v JOIN known ON v.doc_id = known.doc_id
-        QUALIFY row_number() OVER (PARTITION BY v.doc_id, rule ORDER BY rid) = 1),
+pick AS (
+  SELECT rid FROM m WHERE NOT base_failed QUALIFY row_number() OVER (
+    PARTITION BY doc_id ORDER BY n_dup_lines, n_lines, n_repeat_words, n_symbols, n_words,
+    word_chars, lang NULLS FIRST) = 1),
+one AS (SELECT v.*, quality FROM v SEMI JOIN pick ON v.rid = pick.rid JOIN known ON v.doc_id = known.doc_id),
 tests AS (
   SELECT in_lang, no_lang, band, rule, cut, count(*) FILTER (quality = 1) AS n,
          count(*) FILTER (quality = 1 AND value > cut) AS k,
@@ -140,46 +145,50 @@ tests AS (
 strata AS (SELECT count(*) AS s FROM (SELECT DISTINCT in_lang, no_lang, band FROM tests)),
 tails AS (
   SELECT in_lang, no_lang, band, rule, cut, caught,
-         sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({a}) + (n - i) * ln(1 - {a})))
+         sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))
            AS tail
-  FROM (SELECT *, unnest(range(0, k + 1)) AS i FROM tests WHERE n > 0 AND k <= {a} * n) GROUP BY ALL),
+  FROM (SELECT *, unnest(range(0, k + 1)) AS i FROM tests WHERE n > 0 AND k <= 0.01 * n) GROUP BY ALL),
 cuts AS (
   SELECT in_lang, no_lang, band, rule, max_by(cut, (caught, cut)) AS cut
-  FROM tails, strata WHERE tail <= {d} / (s * {n_tests}) GROUP BY ALL),
+  FROM tails, strata WHERE tail <= 0.05 / (s * (SELECT count(*) FROM ({grid}) g)) GROUP BY ALL),
 broken AS (SELECT DISTINCT rid FROM v JOIN cuts USING (in_lang, no_lang, band, rule) WHERE value > cut)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rid NOT IN (SELECT rid FROM broken) AS kept FROM m"""
 
 
-def _secrets() -> str:
-    def plain(pattern: str) -> str:
-        """The patterns without look-behind: runs are greedy, so it changes no match."""
-        for behind in ("(?<![0-9a-f])", "(?<![A-Za-z0-9+/])"):
-            pattern = pattern.replace(behind, "")
-        return pattern.replace("'", "''")
+# The kinds of op1: role, pattern (quotes doubled) and what its match must fulfil. The first three
+# are fixed values of the contract; a match has the length it names.
+SECRETS = {
+    "assign": ("secret", """((?i:password|passwd|secret|token|api_?key))["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
+               "length(g) >= 6"),
+    "access": ("id", "AKIA[A-Z0-9]+", "length(f) >= 20"),
+    "hex": ("secret", "[0-9a-f]+", "length(f) >= 24"),
+    "account": ("id", """(?i:user(?:name)?|login|client_id|access_key_id|account)["'']?\\x20*[:=]\\x20*["'']?[A-Za-z0-9@._-]{3,}""",
+                "true"),
+    "opaque": ("secret", "[A-Za-z0-9+/]{32,}={0,2}",
+               "regexp_matches(f, '[0-9]') AND regexp_matches(f, '[a-z]') AND regexp_matches(f, '[A-Z]')"),
+    "endpoint": ("endpoint", """(?i:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\\x20\\x09-\\x0D"''<>]+""",
+                 "true"),
+}
+
 
+def _secrets() -> str:
+    strong = 3
     parts = []
-    for number, kind in enumerate(secret_scan.KINDS):
-        pattern = plain({**secret_scan.BASE, **secret_scan.WEAK}[kind])
-        value = f"regexp_extract(f, '{pattern}', 2)" if kind == "assign" else "f"
-        check = {
-            "assign": f"length({value}) >= 6",
-            "opaque": "regexp_matches(f, '[0-9]') AND regexp_matches(f, '[a-z]') AND regexp_matches(f, '[A-Z]')",
-        }.get(kind, "true")
+    for number, (name, (role, pattern, check)) in enumerate(SECRETS.items()):
+        value = f"regexp_extract(f, '{pattern}', 2)" if name == "assign" else "f"
         parts.append(f"""
-  SELECT rid, {number} AS kind, '{kind}' AS name, '{secret_scan.ROLES[kind]}' AS role, e - length(f) AS a, e
-  FROM (SELECT rid, f, sum(length(p) + length(f)) OVER (PARTITION BY rid ORDER BY i) AS e
+  SELECT rid, {number} AS kind, '{name}' AS name, '{role}' AS role, e - length(f) AS a, e
+  FROM (SELECT rid, f, {value} AS g, sum(length(p) + length(f)) OVER (PARTITION BY rid ORDER BY i) AS e
         FROM (SELECT rid, unnest(regexp_extract_all(text, '{pattern}')) AS f,
                      unnest(string_split_regex(text, '{pattern}')[:len(regexp_extract_all(text, '{pattern}'))]) AS p,
                      generate_subscripts(regexp_extract_all(text, '{pattern}'), 1) AS i FROM t))
   WHERE {check}""")
-    complete = " OR ".join(
-        f"w.role = '{role}' AND o.role IN ({', '.join(repr(x) for x in others)})"
-        for role, others in secret_scan.COMPLETED_BY.items()
-    )
-    strong = len(secret_scan.BASE)
-    counts = ", ".join(f"count(*) FILTER (kind = {i}) AS n_{k}" for i, k in enumerate(secret_scan.BASE))
-    named = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secret_scan.BASE)
+    complete = ("w.role = 'secret' AND o.role IN ('id', 'endpoint') OR "
+                "w.role IN ('id', 'endpoint') AND o.role = 'secret'")
+    names = list(SECRETS)[:strong]
+    counts = ", ".join(f"count(*) FILTER (kind = {i}) AS n_{k}" for i, k in enumerate(names))
+    named = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in names)
     return f"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 parts AS ({' UNION ALL '.join(parts)}),

@@ -130,8 +130,13 @@ def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
         F.min("quality").alias("quality")
     )
-    rows = measured.where(~base_failed()).join(known, "doc_id").dropDuplicates(["doc_id"])
-    rows = rows.select(*_stratum(), "quality", *(_value(r).alias(r) for r in RULES))
+    # An id with several texts counts once, with the row that is least in its numbers.
+    numbers = [c for c in measured.columns if c not in ("doc_id", "lang")]
+    rows = (
+        measured.where(~base_failed()).join(known, "doc_id").groupBy("doc_id", "quality")
+        .agg(F.min(F.struct(*sorted(numbers), "lang")).alias("row")).select("quality", "row.*")
+        .select(*_stratum(), "quality", *(_value(r).alias(r) for r in RULES))
+    )
     tests = [(r, c) for r, (_, grid) in RULES.items() for c in grid]
     good, bad = F.col("quality") == 1, F.col("quality") != 1
     counted = rows.groupBy(*by).agg(

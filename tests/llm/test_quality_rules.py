@@ -76,3 +76,16 @@ def test_windows_of_a_million_words_are_told_apart(docs):
     """No window repeats in three million different words; 40 bits of a hash gave false repeats."""
     rows = quality_rules.metrics(docs([" ".join(map(str, range(3_000_000)))]), ["doc_id"]).collect()
     assert (rows[0].n_words, rows[0].n_repeat_words) == (3_000_000, 0)
+
+
+def test_an_id_with_several_texts_counts_once_whatever_the_order(spark, docs):
+    plain = "some words that are all different in a line of plain text number"
+    texts = [f"{plain} {i} " + " ".join(f"w{i}x{j}" for j in range(20 + i % 7)) + " ##" * (i % 3) for i in range(400)]
+    rows = [(i % 200, t) for i, t in enumerate(texts)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(200)], "doc_id bigint, quality int, toxic int")
+
+    def counts_of(rows):
+        measured = quality_rules.metrics(docs(rows), ["doc_id", "lang"])
+        return sorted(map(str, quality_rules.cutoffs(measured, labels, alpha=0.2, delta=0.5).collect()))
+
+    assert counts_of(rows) == counts_of(rows[::-1]) != []
