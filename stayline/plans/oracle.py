@@ -449,7 +449,7 @@ FROM bad_usage""")
 check("open_tickets", "SELECT * FROM support_tickets WHERE status IN ('Open', 'In_Progress')")
 check("urgent_open_tickets", """
 SELECT * FROM support_tickets
-WHERE status NOT IN ('Resolved', 'Closed') AND priority IN ('Critical', 'High')""")
+WHERE status IN ('Open', 'In_Progress') AND priority IN ('Critical', 'High')""")
 check("users_features_left", """
 SELECT u.*, f.* EXCLUDE (user_id) FROM users u LEFT JOIN feature_usage f
 ON f.user_id = u.user_id""", "mrr_usd", "churn_risk_score")
