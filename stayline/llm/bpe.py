@@ -6,8 +6,9 @@ together by a pair occurrence index: every adjacent pair of symbols is mapped to
 all its positions, the mergeable pairs wait in a heap by rank, and the lowest
 rank is applied at all its positions at once, which updates the lists of the
 neighbouring pairs only. The ids of words and of their runs between white space are
-kept packed in two bounded stores, so a text costs one look-up a run. The stores
-live with the broadcast vocabulary and serve all tasks of a Python worker.
+kept packed in one bounded store, so a text costs one look-up a run: a word alone is cut
+into itself, so both can share it. The store lives with the broadcast vocabulary and serves
+all tasks of a Python worker.
 
 The vocabulary is a fixed file; its size does not follow the data. It is read
 once by the driver and broadcast.
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from .tables import in_batches
 
-KEPT_WORDS = 600_000  # words and runs a worker remembers; beyond it a store starts anew
+KEPT_WORDS = 600_000  # words and runs a worker remembers; beyond it the store starts anew
 
 # Fixed values of the vocabulary's format: white space, word pattern, printable bytes.
 SPACES = "[\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
@@ -79,7 +80,6 @@ class Encoder:
         self.special = vocabulary.special
         self.tokens = {i: t for t, i in {**ids, **vocabulary.special}.items()}
         self.kept: dict[str, bytes] = {}
-        self.packed: dict[str, bytes] = {}
         self.kept_words = kept_words
         self.spaces = regex.compile(SPACES)
         self.words = regex.compile(WORDS)
@@ -150,11 +150,9 @@ class Encoder:
     def _learn(self, runs: set[str]) -> None:
         import numpy as np
 
-        packed = self.packed
-        if len(packed) > self.kept_words:
-            packed.clear()
+        kept = self.kept
         parts = {run: self.words.findall(run) for run in runs}
-        words = list({w for found in parts.values() for w in found if w not in packed})
+        words = list({w for found in parts.values() for w in found if w not in kept})
         inner, last = self.inner, self.last
         lists = self.merge(
             [[*map(inner.__getitem__, r[:-1]), last[r[-1]]] for r in map(str.encode, words)]
@@ -162,12 +160,11 @@ class Encoder:
         flat = np.array([i for ids in lists for i in ids], dtype="<u4").tobytes()
         at = 0
         for word, ids in zip(words, lists, strict=True):
-            packed[word] = flat[at:at + 4 * len(ids)]
+            kept[word] = flat[at:at + 4 * len(ids)]
             at += 4 * len(ids)
         for run, found in parts.items():
-            self.kept[run] = (
-                packed[found[0]] if len(found) == 1 else b"".join([packed[w] for w in found])
-            )
+            if run not in kept:
+                kept[run] = b"".join([kept[w] for w in found])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
