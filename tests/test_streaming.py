@@ -1,10 +1,12 @@
 import datetime as dt
+import re
 
-from conftest import AS_OF, by_user
+from conftest import AS_OF, SMALL, by_user
 from stayline.operators import scoring
-from stayline.operators.summary import user_facts
+from stayline.operators.summary import tickets_by_user, user_facts
 from stayline.schemas import FEATURE_USAGE, SUPPORT_TICKETS
-from stayline.streaming.refresh import ScoreRefresh, change_stream
+from stayline.sources import testdata
+from stayline.streaming.refresh import ScoreRefresh, change_stream, latest
 
 
 def batch_scores(users, usage, tickets):
@@ -103,3 +105,30 @@ def test_users_arrive_and_change(spark, make, tmp_path):
     assert by_user(refresh.current_scores(), "score") == {"a": 10, "late": 25}
     compacted = refresh.compact(str(tmp_path / "next"), upto=9)
     assert by_user(compacted.current_scores(), "score") == {"a": 10, "late": 25}
+
+
+def test_last_versions_meet_their_users_in_one_shuffle(spark, make):
+    """Rows of one ticket are together once they are the last ones: they are not dealt out again."""
+    from pyspark.sql import functions as F
+
+    rows = make.tickets(*[dict(user_id="a", ticket_id=f"T{i}") for i in range(3)])
+    stored = rows.withColumns({"batch_id": F.lit(0), "version": F.lit(None).cast("bigint")})
+    last = latest(stored, "support_tickets").drop("version")
+    assert last.columns == SUPPORT_TICKETS.names
+    text = tickets_by_user(last)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert not [d for d in dealt if "user_id" in d and "ticket_id" in d], dealt
+
+
+def test_batches_do_not_grow_with_the_files_of_a_table(spark, monkeypatch, tmp_path):
+    from stayline.plans import queries
+
+    inputs = testdata.load(spark, SMALL)
+    monkeypatch.setattr(queries.testdata, "load", lambda *_: inputs._replace(
+        support_tickets=inputs.support_tickets.repartition(12)))
+    monkeypatch.setattr(queries, "shared_dir", lambda _, purpose: str(tmp_path / purpose))
+    found = queries.QUERIES["stream_score_refresh"](spark, SMALL)
+    want = scoring.score_users(user_facts(*inputs, testdata.AS_OF))
+    assert by_user(found, "score") == by_user(want, "score")
+    batches = [p.name for p in (tmp_path / "stream/state/scores").iterdir() if p.name[:6] == "batch_"]
+    assert sorted(batches) == ["batch_id=-1", "batch_id=0", "batch_id=1"]
