@@ -4,10 +4,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, by_user
+from conftest import AS_OF, SMALL, by_user
 from stayline.operators import scoring
 from stayline.operators.summary import SPLIT_COUNTS, SUMMARY_COLUMNS, user_facts
 from stayline.rules import DEFAULT_POINTS, PointRule, ScoringRules
+from stayline.sources import testdata
 from stayline.streaming import live as module
 from stayline.streaming.live import LiveScores, crossings
 from stayline.streaming.refresh import change_stream
@@ -185,3 +186,22 @@ def test_crossings_follow_the_point_table():
     assert crossings(more) == [5, 7, 31, 61, 91]
     with pytest.raises(ValueError):
         crossings(ScoringRules((PointRule("x", "days_since_last_activity", 1, "x", per_unit=True),)))
+
+
+def test_a_step_of_many_files_is_one_batch(spark, monkeypatch, tmp_path):
+    """What arrives is written by as many tasks as the tables have, and each step is one batch."""
+    from stayline.plans import queries
+
+    tickets = testdata.load(spark, SMALL).support_tickets
+    monkeypatch.setattr(queries, "written", lambda df, name: (
+        tickets.repartition(5) if name == "live-support_tickets" else df))
+    monkeypatch.setattr(queries, "shared_dir", lambda _, purpose: str(tmp_path / purpose))
+    monkeypatch.setattr(LiveScores, "seed", lambda *_: None)
+    batches = []
+    monkeypatch.setattr(LiveScores, "process", lambda self, changes, batch_id: batches.append(
+        (batch_id, changes.where("kind = 'support_tickets'").count())))
+    queries._live(spark, SMALL)
+    late = tickets.where(F.col("created_date") >= F.lit(queries.STREAM_FROM)).count()
+    assert batches == [(0, 2 * tickets.count()), (1, 0), (2, late), (3, late)]
+    files = list((tmp_path / "live/incoming/step=3").glob("*.parquet"))
+    assert len(files) >= 5
