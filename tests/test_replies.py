@@ -166,3 +166,11 @@ def test_whole_numbers_in_any_form(spark):
     out = replies.parse_scoring_replies(rows_for(spark, texts), users(spark))
     assert sorted((r.user_id, r.score) for r in out.accepted.collect()) == [(f"USR-{i}", 45) for i in range(3)]
     assert [r.reason for r in out.rejects.collect()] == ["bad_score"] * 2
+
+
+def test_each_step_of_a_reply_runs_once(spark):
+    """Named twice in one expression, an envelope would be looked into and parsed twice."""
+    read = replies.read_recommendation_replies(rows_for(spark, ["{}"]))
+    text = read._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("get_json_object") == len(replies.ENVELOPES)
+    assert text.count("from_json(ArrayType") == 1
