@@ -7,8 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.ingest import (
-    MALFORMED, Split, all_rejects, checked_rows, split_checked, split_duplicates, split_known,
-    split_orphans, split_rejects, usage_key,
+    MALFORMED, Split, all_rejects, checked_rows, keyed_rows, lost_users, owned_rows,
+    split_checked, split_keyed, split_owned, split_rejects, usage_key,
 )
 from ..schemas import TABLE_RULES
 from ..session import written
@@ -63,7 +63,8 @@ def load_all(
 ) -> Loaded:
     """Users first, then both children, which must name a loaded user; keys load once.
 
-    Each file is read and checked once; all further steps read the checked rows.
+    Each file is read and checked once, and each further step is stored with its verdict on
+    every row: rows loaded and rejects are both read from there.
     """
     return _load(spark, users_csv, usage_csv, tickets_csv, None)
 
@@ -81,23 +82,24 @@ def _load(
     parts = [users.rejects, usage.rejects, tickets.rejects]
 
     def keyed(rows: DataFrame, table: str) -> DataFrame:
-        split = split_duplicates(rows, table)
+        keys = None if index is None else index.keys(table)
+        split = split_keyed(written(keyed_rows(rows, table, keys), f"keyed-{table}"), table)
         parts.append(split.rejects)
-        accepted = written(split.accepted, f"keyed-{table}")
-        if index is not None:
-            split = split_known(accepted, index.keys(table), table)
-            parts.append(split.rejects)
-            accepted = split.accepted
-        return accepted
+        return split.accepted
 
     people, asked = keyed(users.accepted, "users"), keyed(tickets.accepted, "support_tickets")
     known = people.select("user_id")
     if index is not None:
         known = known.union(index.keys("users"))
-    usage_fk = split_orphans(usage.accepted, known, "feature_usage")
-    tickets_fk = split_orphans(asked, known, "support_tickets")
-    parts += [usage_fk.rejects, tickets_fk.rejects]
-    return Loaded(people, usage_fk.accepted, tickets_fk.accepted, all_rejects(parts))
+    lost = written(lost_users([usage.accepted, asked], known), "lost-users")
+
+    def owned(rows: DataFrame, table: str) -> DataFrame:
+        split = split_owned(written(owned_rows(rows, lost), f"owned-{table}"), table)
+        parts.append(split.rejects)
+        return split.accepted
+
+    uses, asked = owned(usage.accepted, "feature_usage"), owned(asked, "support_tickets")
+    return Loaded(people, uses, asked, all_rejects(parts))
 
 
 class KeyIndex:
@@ -133,7 +135,6 @@ class KeyIndex:
         if any(part == name for _, part in state.parts):
             raise ValueError(f"load {name} is published already")
         loaded = _load(self.spark, users_csv, usage_csv, tickets_csv, self)
-        loaded = Loaded(*(written(df, f"load-{t}") for t, df in loaded._asdict().items()))
         put = {}
         for table in self.TABLES:
             put[table, name], folder = self.snapshots.new_folder(table)

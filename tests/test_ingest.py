@@ -179,3 +179,53 @@ def test_each_file_is_scanned_once(spark, tmp_path):
     loaded = csv_files.load_all(spark, *write_csvs(tmp_path / "a", [], [], []))
     for df in loaded:
         assert "csv" not in df._jdf.queryExecution().executedPlan().toString().lower().replace("csat", "")
+
+
+def test_each_step_of_a_load_runs_once(spark, tmp_path):
+    """Rows loaded and rejects read stored steps; neither groups or joins them again."""
+    user = "{},Colombia,Pro,2024-01-01,Paid,50.00,0.50,3".format
+    ticket = "{},{},Bug,Low,Chat,2025-01-01,,Open,,".format
+    loaded = csv_files.load_all(spark, *write_csvs(
+        tmp_path / "a", [user("a"), user("a"), user("b")], ["a,Inventario,used_1x,2025-01-01"],
+        [ticket("T1", "a"), ticket("T1", "a"), ticket("T2", "zz")]))
+    for df in loaded:
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in text and "Aggregate" not in text and "Exchange" not in text
+    assert {(r.table_name, r.row_key, r.reason) for r in loaded.rejects.collect()} == {
+        ("users", "a", "duplicate_key"), ("support_tickets", "T1", "duplicate_key"),
+        ("support_tickets", "T2", "unknown_user")}
+    assert [df.count() for df in loaded[:3]] == [2, 1, 1]
+
+
+def test_a_key_may_repeat_and_be_loaded_before(spark, make):
+    rows = make.users(dict(user_id="a", plan="Pro"), dict(user_id="a", plan="Plus"), dict(user_id="b"))
+    keys = spark.createDataFrame([("a",), ("a",), ("x",), (None,)], "key string")
+    keyed = ingest.keyed_rows(rows, "users", keys)
+    assert sorted((r.user_id, r.plan, r.n, r.held) for r in keyed.collect()) == [
+        ("a", "Plus", 2, True), ("b", "Pro", 1, False)]
+    split = ingest.split_keyed(keyed, "users")
+    assert split.accepted.columns == rows.columns
+    assert [r.user_id for r in split.accepted.collect()] == ["b"]
+    assert sorted((r.row_key, r.reason) for r in split.rejects.collect()) == [
+        ("a", "duplicate_key"), ("a", "loaded_before")]
+
+
+def test_children_meet_lost_users_unshuffled(spark, make):
+    children = make.usage(dict(user_id="a"), dict(user_id="a"), dict(user_id="z"), dict(user_id=None))
+    users = make.users(dict(user_id="a"), dict(user_id="a"), dict(user_id="c"))
+    lost = csv_files.written(ingest.lost_users([children, children], users), "lost")
+    assert sorted(r.user_id or "" for r in lost.collect()) == ["", "z"]
+    owned = ingest.owned_rows(children, lost.union(lost))
+    assert "SortMergeJoin" not in owned._jdf.queryExecution().executedPlan().toString()
+    split = ingest.split_owned(owned, "feature_usage")
+    assert [r.user_id for r in split.accepted.collect()] == ["a", "a"]
+    assert sorted(r.row_key or "" for r in split.rejects.collect()) == ["", "z"]
+    assert split.accepted.columns == children.columns
+
+
+def test_rows_without_faults_build_no_list(spark):
+    raw = spark.createDataFrame([("u", "f", "x", "2025-01-01"), ("u", "", "x", "bad")], "user_id string, "
+                                "feature string, adoption_level string, last_used_date string")
+    checked = ingest.checked_rows(raw, "feature_usage")
+    assert [[f.column_name for f in r.faults] for r in checked.collect()] == [[], ["feature", "last_used_date"]]
+    assert "CASE WHEN isnotnull(coalesce(" in checked._jdf.queryExecution().optimizedPlan().toString()
