@@ -1,10 +1,11 @@
 """Scores that follow changes: what a batch costs depends on what it changes.
 
-The state of a user is a multiset of facts, ``(user_id, fact, value, n)``: tickets in total and
-open by priority, ratings, categories, days of use, levels, features. A change of a ticket or
-of a use adds the facts of its new version and takes back those of the version before, so
-counts, minima, maxima and averages follow from the sums of ``n`` without any history. A batch
-reads the former versions of the rows it changes and the facts of the users it touches.
+The state of a user is a multiset of facts, ``(user_id, fact, label, level, number, n)``: a
+ticket is one by category, priority while it is open, and rating; a use is one by feature,
+adoption level and day. A change of a ticket or of a use adds the fact of its new version and
+takes back that of the version before, so counts, minima, maxima and averages follow from the
+sums of ``n`` without any history. A batch reads the former versions of the rows it changes and
+the facts of the users it touches.
 
 Time changes scores too: a user's idle days cross a bound of the point table on a day that is
 known in advance. The due table holds that day; when the date advances, the users due since
@@ -15,7 +16,7 @@ writes new segments and publishes them together with its number, so a repeated b
 nothing and a killed one leaves the state as it was. When ``FAN`` segments of one level have
 gathered they are merged into one of the next, so a bucket is read from few segments and a
 row is rewritten a few times only. Rows are bucketed by their own key: tickets of one account
-are spread over all buckets, and its facts stay as few as its different values.
+are spread over all buckets, and its facts stay as few as its different kinds of ticket and use.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.columns import adoption_ordinal, days_between, is_open, joined_or_null
+from ..functions.columns import adoption_ordinal, days_between, domain_masks, is_open, joined_or_null
 from ..operators import scoring
-from ..operators.summary import user_profile
+from ..operators.summary import _or_all, _values, user_profile
 from ..rules import AdviceRules, ScoringRules
-from ..schemas import FEATURE_USAGE, SUPPORT_TICKETS, USERS
+from ..schemas import CATEGORIES, FEATURE_USAGE, SUPPORT_TICKETS, USERS
 from ..sources.snapshots import Snapshot, Snapshots
 from .refresh import KEYS, SCHEMAS, VERSION, latest
 
@@ -42,12 +43,17 @@ COUNTS = (
     "open_other",
 )
 LISTS = ("features", "adopted", "categories")
+JOINED = {"features_list": "features", "ticket_categories": "categories"}
+TICKET, USE, NAMED = 1, 2, 3  # facts; the last marks users to be scored
+FEW = 100_000  # rows naming users whose facts are picked out before they are dealt; of more, their buckets are dealt
+CRITICAL, HIGH, OTHER = 1, 2, 3  # levels of open tickets; others have none
 
 _STAMP = [T.StructField("batch_id", T.LongType())]
 _VERSIONED = [T.StructField(VERSION, T.LongType()), *_STAMP]
 FACTS = T.StructType([
-    T.StructField("user_id", T.StringType()), T.StructField("fact", T.StringType()),
-    T.StructField("value", T.StringType()), T.StructField("n", T.LongType()),
+    T.StructField("user_id", T.StringType()), T.StructField("fact", T.IntegerType()),
+    T.StructField("label", T.StringType()), T.StructField("level", T.IntegerType()),
+    T.StructField("number", T.IntegerType()), T.StructField("n", T.LongType()),
 ])
 SCORED = T.StructType([
     T.StructField("user_id", T.StringType()), T.StructField("score", T.LongType()),
@@ -63,62 +69,79 @@ STORED = {
 BUCKET_BY = {**KEYS, "facts": ["user_id"], "scores": ["user_id"]}
 
 
-def _facts_of(rows: DataFrame, table: str, sign: int, advice: AdviceRules) -> DataFrame:
-    """The facts that rows of a child table add (``sign`` 1) or take back (-1)."""
-    def fact(name: str, value: Column, where: Column) -> Column:
-        return F.when(where, F.struct(F.lit(name).alias("fact"), value.cast("string").alias("value")))
-
+def _fact(table: str) -> list[Column]:
+    """The fact that a row of a child table is."""
     if table == "support_tickets":
-        priority, category, csat = F.col("priority"), F.col("category"), F.col("csat_score")
-        kind = F.when(priority == "Critical", "critical").when(priority == "High", "high").otherwise("other")
-        facts = [
-            fact("tickets", F.lit(""), F.lit(True)), fact("open", kind, is_open(F.col("status"))),
-            fact("csat", csat, csat.isNotNull()),
-            fact("category", category, category.isNotNull()),
-        ]
+        priority = F.col("priority")
+        kind = F.when(priority == "Critical", CRITICAL).when(priority == "High", HIGH).otherwise(OTHER)
+        fact, label, level = TICKET, F.col("category"), F.when(is_open(F.col("status")), kind)
+        number = F.col("csat_score")
     else:
-        feature, day = F.col("feature"), F.col("last_used_date")
-        rank = adoption_ordinal(F.col("adoption_level"))
-        facts = [
-            fact("used", day, day.isNotNull()), fact("level", rank, rank.isNotNull()),
-            fact("feature", feature, feature.isNotNull()),
-            fact("adopted", feature, feature.isNotNull() & (rank >= advice.adopted_from)),
-        ]
-    return (
-        rows.select("user_id", F.explode(F.array_compact(F.array(*facts))).alias("f"))
-        .select("user_id", "f.fact", "f.value", F.lit(sign).cast("bigint").alias("n"))
-    )
+        fact, label, level = USE, F.col("feature"), adoption_ordinal(F.col("adoption_level"))
+        number = F.unix_date("last_used_date")
+    return [F.col("user_id"), F.lit(fact).alias("fact"), label.alias("label"), level.alias("level"),
+            number.alias("number")]
+
+
+def _counted(facts: DataFrame, sign: int) -> DataFrame:
+    """Facts that are added (``sign`` 1) or taken back (-1); a use of which nothing is known is none."""
+    told = F.coalesce("label", F.col("level").cast("string"), F.col("number").cast("string"))
+    return facts.where((F.col("fact") == TICKET) | told.isNotNull()).withColumn("n", F.lit(sign).cast("bigint"))
 
 
 def summed(facts: DataFrame) -> DataFrame:
-    """One row per user, fact and value; what has been taken back is gone."""
-    return facts.groupBy("user_id", "fact", "value").agg(F.sum("n").alias("n")).where("n <> 0")
+    """One row per user and fact; what has been taken back is gone. Without labels if there are none."""
+    by = [c for c in FACTS.names if c in facts.columns and c != "n"]
+    return facts.groupBy(*by).agg(F.sum("n").alias("n")).where("n <> 0")
 
 
-def figures(facts: DataFrame) -> DataFrame:
-    """Per-user figures, named as in the summary, from summed facts."""
-    fact, value, n = F.col("fact"), F.col("value"), F.col("n")
-    of = lambda name: F.when(fact == name, value)
+def figures(facts: DataFrame, *more: Column) -> DataFrame:
+    """Per-user figures, named as in the summary, and ``more`` ones, from summed facts."""
+    level, number, n = F.col("level"), F.col("number"), F.col("n")
+    ticket, use = F.col("fact") == TICKET, F.col("fact") == USE
     count = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0).cast("bigint"))
-    open_as = lambda kind: count((fact == "open") & (value == kind))
-    rated = count(fact == "csat")
-    total = F.sum(F.when(fact == "csat", value.cast("bigint") * n))
+    rated = count(ticket & number.isNotNull())
+    total = F.sum(F.when(ticket, number.cast("bigint") * n))
     return facts.groupBy("user_id").agg(
-        F.max(of("used").cast("date")).alias("last_activity"),
-        F.min(of("level").cast("int")).alias("worst_adoption_level"),
-        F.max(of("level").cast("int")).alias("best_adoption_level"),
-        F.collect_set(of("feature")).alias("features"),
-        F.collect_set(of("adopted")).alias("adopted"),
-        count(fact == "tickets").alias("total_tickets"),
-        count(fact == "open").alias("open_tickets"),
-        count((fact == "open") & value.isin("critical", "high")).alias("critical_open_tickets"),
-        *(open_as(kind).alias(f"open_{kind}") for kind in ("critical", "high", "other")),
-        F.min(of("csat").cast("int")).alias("worst_csat"),
+        F.date_from_unix_date(F.max(F.when(use, number))).alias("last_activity"),
+        F.min(F.when(use, level)).alias("worst_adoption_level"),
+        F.max(F.when(use, level)).alias("best_adoption_level"),
+        count(ticket).alias("total_tickets"),
+        count(ticket & level.isNotNull()).alias("open_tickets"),
+        count(ticket & level.isin(CRITICAL, HIGH)).alias("critical_open_tickets"),
+        count(ticket & (level == CRITICAL)).alias("open_critical"),
+        count(ticket & (level == HIGH)).alias("open_high"),
+        count(ticket & (level == OTHER)).alias("open_other"),
+        F.min(F.when(ticket, number)).alias("worst_csat"),
         F.when(rated > 0, F.round(total / rated, 1)).alias("avg_csat"),
-        F.collect_set(of("category")).alias("categories"),
+        F.max(F.col("fact") == NAMED).alias("named"), *more,
     )
 
 
+def figures_and_lists(facts: DataFrame, advice: AdviceRules) -> DataFrame:
+    """Figures, features and categories. Known values are bits of masks; others have a branch of
+    their own, whose join adaptive execution drops where there are none."""
+    label, ticket, use = F.col("label"), F.col("fact") == TICKET, F.col("fact") == USE
+    adopted = use & (F.col("level") >= advice.adopted_from)
+    lists = {
+        "features": (use, advice.catalogue), "adopted": (adopted, advice.catalogue),
+        "categories": (ticket, CATEGORIES),
+    }
+    masks = [
+        mask for name, (held, domain) in lists.items()
+        for mask in _or_all(name, [F.when(held, bit) for bit in domain_masks(label, domain)])
+    ]
+    unlisted = (use & ~label.isin(*advice.catalogue)) | (ticket & ~label.isin(*CATEGORIES))
+    others = facts.where(unlisted).groupBy("user_id").agg(*[
+        F.collect_set(F.when(held, label)).alias(f"more_{name}") for name, (held, _) in lists.items()
+    ])
+    out = figures(facts, *masks).join(others, "user_id", "left")
+    kept = [c for c in out.columns if not c.startswith(tuple(lists)) and not c.startswith("more_")]
+    return out.select(*kept, *[
+        _values(name, f"more_{name}", domain, False).alias(name) for name, (_, domain) in lists.items()
+    ])
+
+
 def crossings(rules: ScoringRules) -> list[int]:
     """The numbers of idle days at which points change."""
     days = set()
@@ -142,6 +165,7 @@ class LiveScores:
         self.spark, self.buckets, self.rules, self.advice = spark, buckets, rules, advice
         self.snapshots = Snapshots(spark, root)
         self.days = crossings(rules)
+        self.lists = any(r.metric in (*LISTS, *JOINED) for r in rules.points)
 
     # Segments ------------------------------------------------------------------------
 
@@ -155,7 +179,7 @@ class LiveScores:
         by = "due_date"
         if table != "due":
             rows, by = rows.withColumn("bucket", self._bucket(table)), "bucket"
-        rows.hint("rebalance", by).sortWithinPartitions(by, "user_id").write.partitionBy(by).parquet(folder)
+        rows.hint("rebalance", by).sortWithinPartitions(by).write.partitionBy(by).parquet(folder)
         return write, self._load(table, [folder])
 
     def _load(self, table: str, folders: list[str]) -> DataFrame:
@@ -258,32 +282,36 @@ class LiveScores:
     ) -> None:
         written, delta, touched = {}, None, None
         for table, rows in changes.items():
-            written[table], new = self._store(
-                table, latest(rows.withColumn("batch_id", F.lit(serial).cast("bigint")), table, "batch_id")
-            )
+            rows = rows.withColumn("batch_id", F.lit(serial).cast("bigint"))
+            written[table], new = self._store(table, latest(rows, table, "batch_id"))
             if table == "users":
-                touched = new.select("user_id")
+                touched = new.select("user_id", "bucket")
                 continue
-            old = new.limit(0)
+            parts = [_counted(new.select(*_fact(table)), 1)]
             if any(t == table for t, _ in state.parts):
-                keys = KEYS[table]
-                met = [r.bucket for r in new.select("bucket").distinct().collect()]
-                before = self._rows(table, state, met).join(new.select(*keys), keys, "left_semi")
-                old = latest(before, table, "batch_id")
-            for part in (_facts_of(new, table, 1, self.advice), _facts_of(old, table, -1, self.advice)):
+                parts.append(_counted(self._replaced(table, state, new), -1))
+            for part in parts:
                 delta = part if delta is None else delta.unionByName(part)
         if delta is not None:
             written["facts"], stored = self._store("facts", summed(delta))
-            ids = stored.select("user_id")
+            ids = stored.select("user_id", "bucket")
             touched = ids if touched is None else touched.unionByName(ids)
         if touched is None:
             return
         now = Snapshot(state.version, {
             **state.parts, **{(t, f"0-{serial:012d}"): w for t, w in written.items()}
         }, "", {})
-        written |= self._score(now, touched.distinct(), serial, as_of)
+        written |= self._score(now, touched, serial, as_of)
         self._publish(state, written, batch_id, serial, as_of)
 
+    def _replaced(self, table: str, state: Snapshot, new: DataFrame) -> DataFrame:
+        """The facts of the last versions before ``new``. A segment has a key once."""
+        keys = KEYS[table]
+        met = [r.bucket for r in new.select("bucket").distinct().collect()]
+        before = self._rows(table, state, met).join(new.select(*keys), keys, "left_semi")
+        last = F.max_by(F.struct(*_fact(table)), "batch_id").alias("last")
+        return before.groupBy(*keys).agg(last).select("last.*")
+
     def advance(self, to: dt.date) -> None:
         """Moves the date on: users whose idle days cross a bound by then are scored again."""
         state, note = self._state()
@@ -293,30 +321,41 @@ class LiveScores:
         serial = note["serial"] + 1
         due = self._rows("due", state).where(
             (F.col("due_date") > F.lit(since)) & (F.col("due_date") <= F.lit(to))
-        ).select("user_id").distinct()
+        ).select("user_id", self._bucket("users").alias("bucket"))
         written = self._score(state, due, serial, to, since)
         self._publish(state, written, note["batch"], serial, to)
 
-    def _facts(self, state: Snapshot, users: DataFrame | None = None) -> DataFrame:
-        """Profile and figures of the named users, or of all known."""
+    def _facts(self, state: Snapshot, users: DataFrame | None = None, lists: bool = True) -> DataFrame:
+        """Profile, figures and, with ``lists``, features and categories of the named users, or of
+        all known."""
         facts, people = self._rows("facts", state), self._rows("users", state)
         if users is not None:
-            met = [
-                r.bucket for r in users.select(self._bucket("users").alias("bucket")).distinct().collect()
-            ]
-            facts, people = (
-                rows.where(F.col("bucket").isin(met)).join(users, "user_id", "left_semi")
-                for rows in (facts, people)
-            )
-        none = F.array().cast("array<string>")
-        profile = user_profile(latest(people, "users", "batch_id").drop(VERSION, "batch_id"))
-        out = profile.join(figures(summed(facts)), "user_id", "left").withColumns({
-            **{c: F.coalesce(c, F.lit(0).cast("bigint")) for c in COUNTS},
-            **{c: F.coalesce(c, none) for c in LISTS},
-        })
-        return out.withColumns({
-            "features_list": joined_or_null(F.col("features")),
-            "ticket_categories": joined_or_null(F.col("categories")),
+            met = {r.bucket: r["count"] for r in users.groupBy("bucket").count().collect()}
+            users = users.select("user_id").distinct()
+            facts, people = (rows.where(F.col("bucket").isin(list(met))) for rows in (facts, people))
+            if sum(met.values()) <= FEW:
+                facts, people = (rows.join(users, "user_id", "left_semi") for rows in (facts, people))
+            marks = users.select("user_id", F.lit(NAMED).alias("fact"), F.lit(1).cast("bigint").alias("n"))
+            facts = facts.unionByName(marks, allowMissingColumns=True)
+        facts = facts.select(*[c for c in FACTS.names if lists or c != "label"])
+        # Dealt by user at once, for the sums, the figures and the join: a segment has few rows of a user.
+        sums = summed(facts.repartition("user_id"))
+        found = figures_and_lists(sums, self.advice) if lists else figures(sums)
+        # A segment has a user once; column by column, for those not needed are not read.
+        last = people.groupBy("user_id").agg(*[
+            F.max_by(c, "batch_id").alias(c) for c in USERS.names if c != "user_id"
+        ])
+        profile, how = user_profile(last), "left"
+        if users is not None:
+            found, how = found.where("named"), "inner"
+        zero, none = F.lit(0).cast("bigint"), F.array().cast("array<string>")
+        out = profile.join(found.drop("named"), "user_id", how).withColumns(
+            {c: F.coalesce(c, zero) for c in COUNTS}
+        )
+        if not lists:
+            return out
+        return out.withColumns({c: F.coalesce(c, none) for c in LISTS}).withColumns({
+            name: joined_or_null(F.col(c)) for name, c in JOINED.items()
         })
 
     def _score(
@@ -324,7 +363,7 @@ class LiveScores:
         since: dt.date | None = None,
     ) -> dict[str, str]:
         """Segments with the scores of the users and the days they are next due."""
-        facts = self._facts(state, users).withColumn(IDLE, days_between(as_of, F.col("last_activity")))
+        facts = self._facts(state, users, self.lists).withColumn(IDLE, days_between(as_of, F.col("last_activity")))
         if since is not None:  # a date that a later use has put off is not due
             before = days_between(since, F.col("last_activity"))
             crossed = F.lit(False)

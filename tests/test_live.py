@@ -205,3 +205,51 @@ def test_a_step_of_many_files_is_one_batch(spark, monkeypatch, tmp_path):
     assert batches == [(0, 2 * tickets.count()), (1, 0), (2, late), (3, late)]
     files = list((tmp_path / "live/incoming/step=3").glob("*.parquet"))
     assert len(files) >= 5
+
+
+def test_a_ticket_and_a_use_are_one_fact_each(spark, make, tmp_path):
+    """The state grows with kinds of tickets and uses, not with the figures they count for."""
+    live = LiveScores(spark, str(tmp_path), buckets=2)
+    tickets = [dict(user_id="a", ticket_id=f"T{i}", status="Open", priority="High", csat_score=2) for i in range(9)]
+    nothing = dict(user_id="a", feature=None, adoption_level=None, last_used_date=None)
+    live.seed(make.users(dict(user_id="a")), make.usage(dict(user_id="a"), nothing), make.tickets(*tickets), AS_OF)
+    assert live._rows("facts", live.snapshots.current()).count() == 2
+    assert by_user(live.current_facts(), "open_high", "avg_csat", "features_list") == {"a": (9, 2.0, "Inventario")}
+    live.process(change_stream(tickets=make.tickets(dict(tickets[0], status="Closed"))), 0)
+    facts = live._rows("facts", live.snapshots.current())
+    assert facts.count() == 2 + 2  # one is taken back, one added
+    assert sorted(r.n for r in module.summed(facts).collect()) == [1, 1, 8]
+
+
+def test_facts_of_many_users_are_dealt_once(spark, make, tmp_path, monkeypatch):
+    """A batch that names many users deals the facts of their buckets by user, without joining them."""
+    monkeypatch.setattr(module, "FEW", -1)
+    live = LiveScores(spark, str(tmp_path), buckets=2)
+    people = make.users(*[dict(user_id=f"u{i}") for i in range(20)])
+    tickets = [dict(user_id=f"u{i % 21}", ticket_id=f"T{i}", status="Open", csat_score=i % 5 + 1) for i in range(60)]
+    live.seed(people, make.usage(dict(user_id="u1")), make.tickets(*tickets), AS_OF)
+    tickets[7] = dict(tickets[7], status="Closed", csat_score=1)
+    live.process(change_stream(tickets=make.tickets(tickets[7])), 0)
+    assert scored_last(live, spark) == ["u7"]
+    live.advance(AS_OF + dt.timedelta(days=31))
+    assert scored_last(live, spark) == ["u1"]
+    assert_equals_full_run(
+        live, people, make.usage(dict(user_id="u1")), make.tickets(*tickets), AS_OF + dt.timedelta(days=31))
+    state = live.snapshots.current()
+    named = live._rows("users", state).select("user_id", "bucket")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = live._facts(state, named, lists=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Join") == 1  # of profiles and figures
+    assert "fact" in text and "label" not in text
+
+
+def test_points_may_follow_lists(spark, make, tmp_path):
+    rules = ScoringRules((*DEFAULT_POINTS, PointRule("x", "ticket_categories", 7, "x", equals="Bug, Sonstiges")))
+    live = LiveScores(spark, str(tmp_path), buckets=2, rules=rules)
+    people = make.users(dict(user_id="a"), dict(user_id="b"))
+    live.seed(people, make.usage(), make.tickets(dict(user_id="a", ticket_id="T1")), AS_OF)
+    live.process(change_stream(tickets=make.tickets(dict(user_id="a", ticket_id="T2", category="Sonstiges"))), 0)
+    assert by_user(live.current_scores(), "score") == {"a": 7, "b": 0}
